@@ -19,6 +19,7 @@ from stellate.functions.casts import cast_loss_report, tolerant_cast
 from stellate.functions.dates import date_to_day_number, day_number_to_date, parse_date
 from stellate.operators import clean, contract, lookup, marts, profile, quality
 from stellate.operators.dims import distinct_dates, time_dimension
+from stellate.operators.joins import left_join_skew_safe
 from stellate.operators.keys import dense_key
 from stellate.plans import warehouse
 from stellate.session import scratch_path
@@ -78,7 +79,8 @@ def _customer_lists(spark, sf) -> DataFrame:
         F.concat(F.col("c_name"), F.lit("'s shop  ")).alias("label"),
     )
     path = scratch_path(spark, "codelists")
-    render_code_list(rows, "list_name", "code", "label").write.text(path)
+    # at most 100 blocks (100,000 entries) per file: each file is parsed as one row
+    render_code_list(rows, "list_name", "code", "label").write.option("maxRecordsPerFile", 100).text(path)
     return parse_code_lists(spark, path)
 
 
@@ -476,7 +478,7 @@ def q_apply_contract(spark, sf):
 def _order_lines(spark, sf) -> DataFrame:
     o = _t(spark, sf, "orders", "o_orderkey", "o_orderpriority")
     li = _t(spark, sf, "lineitem", "l_orderkey", "l_shipdate")
-    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
+    j = left_join_skew_safe(o, li, [("o_orderkey", "l_orderkey")])
     return contract.apply_contract(j.withColumnRenamed("l_shipdate", "ship_date"), ORDER_LINES)
 
 
@@ -500,7 +502,7 @@ def q_key_uniqueness(spark, sf):
 
 def q_bucketed_join(spark, sf):
     tag = scratch_path(spark, "b").rsplit("-", 1)[-1]
-    buckets = 16
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = warehouse.save_bucketed(
         _t(spark, sf, "orders", "o_orderkey", "o_orderstatus"), f"orders_b_{tag}", ["o_orderkey"], buckets,
         path=scratch_path(spark, "orders_bucketed"),

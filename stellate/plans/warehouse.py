@@ -109,7 +109,10 @@ def save_bucketed(
     Two tables bucketed the same way on the join key join without a shuffle.
     ``path`` makes it an external table in a shared folder.
     """
-    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *key).sortBy(*key)
+    # one shuffle into exactly the bucket layout: one file per bucket instead
+    # of one per (task, bucket)
+    laid_out = df.repartition(buckets, *key)
+    writer = laid_out.write.mode(mode).format("parquet").bucketBy(buckets, *key).sortBy(*key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table_name)

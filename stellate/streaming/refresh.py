@@ -57,6 +57,9 @@ def start_refresh(
     ``available_now`` processes what is there and stops (a scheduled daily or
     weekly refresh); otherwise it runs every ``processing_time``.
     """
+    if _read_target(spark, target_path) is None:
+        # an empty table with the schema, so every micro-batch can anti-join
+        spark.createDataFrame([], schema).write.parquet(target_path)
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def _batch(df: DataFrame, _epoch: int) -> None:
