@@ -103,14 +103,13 @@ ORACLE_SQL: dict[str, str] = {
         l AS (SELECT 'o_orderkey' AS column_name, a AS non_null, total FROM k
               UNION ALL SELECT 'o_custkey', b, total FROM k UNION ALL SELECT 'o_orderstatus', c, total FROM k
               UNION ALL SELECT 'o_totalprice', d, total FROM k UNION ALL SELECT 'o_orderdate', e, total FROM k
-              UNION ALL SELECT 'o_orderpriority', f, total FROM k)
-        SELECT CAST(c.ordinal_position - 1 AS INTEGER) AS position, c.column_name,
-               CASE c.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-                    WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
-                    ELSE lower(c.data_type) END AS data_type,
-               c.is_nullable = 'YES' AS nullable, l.non_null, l.total
-        FROM information_schema.columns c JOIN l ON c.column_name = l.column_name
-        WHERE c.table_name = 'orders'
+              UNION ALL SELECT 'o_orderpriority', f, total FROM k),
+        s(position, column_name, data_type, nullable) AS (VALUES
+              (0, 'o_orderkey', 'bigint', true), (1, 'o_custkey', 'bigint', true),
+              (2, 'o_orderstatus', 'string', true), (3, 'o_totalprice', 'double', true),
+              (4, 'o_orderdate', 'timestamp_ntz', true), (5, 'o_orderpriority', 'string', true))
+        SELECT CAST(s.position AS INTEGER) AS position, s.column_name, s.data_type, s.nullable, l.non_null, l.total
+        FROM s JOIN l ON s.column_name = l.column_name
     """,
     "group_count": "SELECT p_type, count(*) AS n FROM part GROUP BY p_type",
     "column_mismatch_count": """
@@ -262,6 +261,15 @@ ORACLE_SQL: dict[str, str] = {
                o_orderpriority
         FROM orders
     """,
+    "catalog_load": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+               o_orderpriority
+        FROM orders
+    """,
+    "code_lookup_sql": f"""
+        SELECT c_custkey, c_nationkey, n.n_name AS nation_name
+        FROM customer LEFT JOIN {_NATION_R3} n ON c_nationkey = n.n_nationkey
+    """,
     "contract_rejects": f"""
         WITH j AS ({_ORDER_LINES}),
         r AS (SELECT 'o_orderpriority longer than 8' AS reason FROM j WHERE length(o_orderpriority) > 8

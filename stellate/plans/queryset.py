@@ -517,6 +517,32 @@ def q_bucketed_join(spark, sf):
     )
 
 
+def q_catalog_load(spark, sf):
+    tag = scratch_path(spark, "c").rsplit("-", 1)[-1]
+    prefix = f"wh_{tag}_"
+    warehouse.drop_tables(spark, [f"{prefix}orders", f"{prefix}part", f"{prefix}staging"])
+    tables = warehouse.create_tables(spark, [ORDERS, PART], scratch_path(spark, "catalog"), prefix)
+    # source columns reordered and renamed in case: loaded by name, not position
+    o = _t(spark, sf, "orders")
+    warehouse.insert_by_name(o.select(*[F.col(c).alias(c.upper()) for c in reversed(o.columns)]), ORDERS,
+                             tables["orders"])
+    return spark.table(tables["orders"])
+
+
+def q_code_lookup_sql(spark, sf):
+    # The same left lookup written as SQL over named relations.
+    tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
+    cust, codes = f"customer_{tag}", f"nation_codes_{tag}"
+    _t(spark, sf, "customer", "c_custkey", "c_nationkey").createOrReplaceTempView(cust)
+    _nation_codes(spark, sf, 3).createOrReplaceTempView(codes)
+    return spark.sql(
+        f"""
+        SELECT /*+ BROADCAST(n) */ c.c_custkey, c.c_nationkey, n.label AS nation_name
+        FROM {cust} c LEFT JOIN {codes} n ON c.c_nationkey = n.code
+        """
+    )
+
+
 _FIVE = ("part", "supplier", "customer", "orders", "lineitem")
 
 
@@ -674,6 +700,8 @@ QUERIES: dict[str, Query] = {
     "write_sample": q_write_sample,
     "load_table": q_load_table,
     "apply_contract": q_apply_contract,
+    "catalog_load": q_catalog_load,
+    "code_lookup_sql": q_code_lookup_sql,
     "contract_rejects": q_contract_rejects,
     "contract_split": q_contract_split,
     "key_uniqueness": q_key_uniqueness,

@@ -96,6 +96,44 @@ def load_table(
     return spark.read.parquet(target_path)
 
 
+def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
+    """``DROP TABLE IF EXISTS`` for each name (absent tables are fine)."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def create_tables(
+    spark: SparkSession, contracts: Sequence[Contract], base: str, prefix: str = ""
+) -> dict[str, str]:
+    """Create an empty parquet table per contract under ``base/<name>``.
+
+    Returns contract name -> catalog table name.  Locations are explicit, so
+    the tables live in the shared folder rather than a machine-local warehouse.
+    """
+    made = {}
+    for c in contracts:
+        table = f"{prefix}{c.name}"
+        cols = ", ".join(f"`{col.name}` {col.dtype}" for col in c.columns)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+            f"LOCATION '{base.rstrip('/')}/{c.name}'"
+        )
+        made[c.name] = table
+    return made
+
+
+def insert_by_name(df: DataFrame, contract: Contract, table: str, overwrite: bool = False) -> int:
+    """Insert into a contract table matching columns by *name*; returns rows inserted.
+
+    ``insertInto`` is positional, so the frame is first shaped to the
+    contract's column order by name with tolerant casts.
+    """
+    shaped = apply_contract(df, contract)
+    obs = Observation(f"insert_{table}")
+    shaped.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=overwrite)
+    return int(obs.get["rows"])
+
+
 def save_bucketed(
     df: DataFrame,
     table_name: str,
