@@ -246,6 +246,12 @@ ORACLE_SQL: dict[str, str] = {
                CAST(weekofyear("time") AS INTEGER) AS week_of_year
         FROM ({_DATES}) WHERE "time" IS NOT NULL
     """,
+    "time_join": """
+        SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
+               CAST(weekofyear(CAST(l_shipdate AS DATE)) AS INTEGER) AS week_of_year,
+               count(*) AS n_lines, round(sum(l_quantity), 6) AS sum_qty
+        FROM lineitem GROUP BY 1, 2
+    """,
     "surrogate_key": """
         SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS id, o_orderkey, o_custkey FROM orders
     """,

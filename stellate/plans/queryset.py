@@ -405,6 +405,20 @@ def q_time_dimension(spark, sf):
     return time_dimension(_fact_dates(spark, sf))
 
 
+def q_time_join(spark, sf):
+    # Fact joined to the time dimension, which is replicated to every task
+    # (broadcast) once its row count is known to be small: dates are bounded
+    # by the calendar, not by the data volume.
+    dim = lookup.bounded_broadcast(time_dimension(_fact_dates(spark, sf)))
+    li = _t(spark, sf, "lineitem", "l_shipdate", "l_quantity").select(
+        F.col("l_shipdate").cast("date").alias("ship_date"), "l_quantity"
+    )
+    j = li.join(dim, li["ship_date"] == dim["time"])
+    return j.groupBy("year", "week_of_year").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 6).alias("sum_qty")
+    )
+
+
 def q_surrogate_key(spark, sf):
     o = _t(spark, sf, "orders", "o_orderkey", "o_custkey")
     return dense_key(o, ["o_custkey", "o_orderkey"])
@@ -502,14 +516,14 @@ def q_key_uniqueness(spark, sf):
 
 def q_bucketed_join(spark, sf):
     tag = scratch_path(spark, "b").rsplit("-", 1)[-1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = _t(spark, sf, "lineitem", "l_orderkey", "l_quantity")
+    buckets = warehouse.choose_buckets(lines)  # sized on the larger table
     o = warehouse.save_bucketed(
         _t(spark, sf, "orders", "o_orderkey", "o_orderstatus"), f"orders_b_{tag}", ["o_orderkey"], buckets,
         path=scratch_path(spark, "orders_bucketed"),
     )
     li = warehouse.save_bucketed(
-        _t(spark, sf, "lineitem", "l_orderkey", "l_quantity"), f"lineitem_b_{tag}", ["l_orderkey"], buckets,
-        path=scratch_path(spark, "lineitem_bucketed"),
+        lines, f"lineitem_b_{tag}", ["l_orderkey"], buckets, path=scratch_path(spark, "lineitem_bucketed")
     )
     j = o.join(li, o["o_orderkey"] == li["l_orderkey"])
     return j.groupBy("o_orderstatus").agg(
@@ -695,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "conform_dimension_wide": q_conform_dimension_wide,
     "time_union": q_time_union,
     "time_dimension": q_time_dimension,
+    "time_join": q_time_join,
     "surrogate_key": q_surrogate_key,
     "write_roundtrip": q_write_roundtrip,
     "write_sample": q_write_sample,

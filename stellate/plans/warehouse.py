@@ -134,6 +134,19 @@ def insert_by_name(df: DataFrame, contract: Contract, table: str, overwrite: boo
     return int(obs.get["rows"])
 
 
+def choose_buckets(
+    df: DataFrame, rows_per_bucket: int = 4_000_000, max_buckets: int = 65_536
+) -> int:
+    """Bucket count from the data volume: about ``rows_per_bucket`` rows per
+    bucket, at least the cluster's default parallelism, at most ``max_buckets``.
+
+    Tables that will be joined must share one count: size it on the larger.
+    """
+    rows = df.count()
+    floor = df.sparkSession.sparkContext.defaultParallelism
+    return int(min(max_buckets, max(floor, -(-rows // rows_per_bucket))))
+
+
 def save_bucketed(
     df: DataFrame,
     table_name: str,
