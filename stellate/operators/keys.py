@@ -48,7 +48,7 @@ def dense_key(
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_off"))
-    if frozen.rdd.getNumPartitions() <= MAX_OFFSET_PARTITIONS:
+    if n <= MAX_OFFSET_PARTITIONS:  # the offset table has at most n rows
         offsets = F.broadcast(offsets)
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)

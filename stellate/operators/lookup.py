@@ -44,6 +44,7 @@ def decode(
     default: str | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     known_rows: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``out`` = label of ``df[code_col]`` in ``codes``; unmatched rows keep NULL
     (or ``default``) and are never dropped.
@@ -52,23 +53,23 @@ def decode(
     other text, the text side is read as that number with ``try_cast`` (so
     ``582.0`` matches ``'582'`` and junk text matches nothing instead of failing
     under ANSI).  The list is reduced to one label per key first, so the join
-    cannot multiply fact rows.
+    cannot multiply fact rows; ``unique=True`` skips that step for lists whose
+    codes are distinct by construction (it is still done after a key cast,
+    which may merge codes such as ``'1'`` and ``'01'``).
     """
     fact_t = _field_type(df, code_col)
     list_t = _field_type(codes, code_key)
     key_name = f"__k_{out}"
     fact_key = F.col(code_col)
     list_key = F.col(code_key)
-    if isinstance(fact_t, _NUMERIC) and isinstance(list_t, T.StringType):
+    cast_list = isinstance(fact_t, _NUMERIC) and isinstance(list_t, T.StringType)
+    if cast_list:
         list_key = F.trim(list_key).try_cast(fact_t)
     elif isinstance(fact_t, T.StringType) and isinstance(list_t, _NUMERIC):
         fact_key = F.trim(fact_key).try_cast(list_t)
-    lk = (
-        codes.select(list_key.alias(key_name), F.col(label).alias(out))
-        .filter(F.col(key_name).isNotNull())
-        .groupBy(key_name)
-        .agg(F.max(out).alias(out))
-    )
+    lk = codes.select(list_key.alias(key_name), F.col(label).alias(out)).filter(F.col(key_name).isNotNull())
+    if cast_list or not unique:
+        lk = lk.groupBy(key_name).agg(F.max(out).alias(out))
     lk = bounded_broadcast(lk, max_broadcast_rows, known_rows)
     joined = df.join(lk, fact_key == lk[key_name], "left").drop(key_name)
     if default is not None:
@@ -84,8 +85,9 @@ def decode_roles(
     label: str = "label",
     default: str | None = None,
     known_rows: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """One list joined once per role: ``roles`` maps output name -> code column."""
     for out, code_col in roles.items():
-        df = decode(df, code_col, codes, out, code_key, label, default, known_rows=known_rows)
+        df = decode(df, code_col, codes, out, code_key, label, default, known_rows=known_rows, unique=unique)
     return df

@@ -23,7 +23,8 @@ def append_new_keys(existing: DataFrame | None, batch: DataFrame, keys: Sequence
     fresh = dedup_by_key(batch, keys)
     if existing is None:
         return fresh
-    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+    # distinct keys: partial aggregation shrinks repeated keys before the shuffle
+    return fresh.join(existing.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame | None:

@@ -135,6 +135,9 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert "SortMergeJoin" in plan
         assert "Exchange" not in plan
         assert j.count() == 60000
+        per_order = li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q"))
+        plan2 = _plan(o.join(per_order, o["o_orderkey"] == per_order["l_orderkey"]))
+        assert "Exchange" not in plan2 and "HashAggregate" in plan2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -307,3 +307,29 @@ def test_arrivals_by_city_does_not_multiply_rows(spark, airp, lookups, immi):
         spark.createDataFrame(DEMO_ROWS, ", ".join(f"`{c}` string" for c in DEMO_COLS))), with_id=False)
     out = star.arrivals_by_city(fact, airport, demo)
     assert out.agg(F.sum("arrivals")).collect()[0][0] == 4
+
+
+def test_build_warehouse_end_to_end(spark, tmp_text):
+    from stellate.session import scratch_path
+
+    out = star.build_warehouse(
+        spark,
+        spark.createDataFrame(IMMI_ROWS, IMMI_SCHEMA),
+        spark.createDataFrame(TEMP_ROWS, TEMP_SCHEMA),
+        spark.createDataFrame(DEMO_ROWS, ", ".join(f"`{c}` string" for c in DEMO_COLS)),
+        spark.createDataFrame(AIRP_ROWS, AIRP_SCHEMA),
+        tmp_text("labels.sas", LABELS),
+        scratch_path(spark, "wh"),
+    )
+    loaded = {r.table_name: r.rows for r in out["load"].collect()}
+    assert loaded == {"immigration": 2, "temperature": 2, "demographics": 3, "airport": 3, "time": 6}
+    assert all(r.ok and r.missing == 0 for r in out["row_counts"].collect())
+    rej = {(r.table_name, r.reason): r.n_rows for r in out["rejects"].collect()}
+    assert rej == {
+        ("immigration", "departure_date is null"): 1,
+        ("immigration", "residence_country is null"): 1,
+        ("temperature", "date is null"): 1,
+    }
+    audit = {(r.table_name, r.column_name): r.pct for r in out["completeness"].collect()}
+    assert audit[("airport", "iata_code")] == 100.0 and audit[("demographics", "city")] == 100.0
+    assert len(audit) == 11
