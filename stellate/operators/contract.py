@@ -86,15 +86,44 @@ def violation_reasons(contract: Contract) -> Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def _flag_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add boolean ``_dup_key``: the row's key value occurs more than once.
+
+    Duplicated keys are found with a partially aggregated count per key and
+    joined back; the rows are the preserved side of that left join, so a hot
+    key's partition can be split by adaptive skew handling.
+    """
+    dups = key_violations(df, keys).select(*[F.col(k).alias(f"__dk_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        c = df[k] == dups[f"__dk_{k}"]
+        cond = c if cond is None else cond & c
+    first = f"__dk_{keys[0]}"
+    return (
+        df.join(dups, cond, "left")
+        .withColumn("_dup_key", F.col(first).isNotNull())
+        .drop(*[f"__dk_{k}" for k in keys])
+    )
+
+
 def enforce_contract(
-    df: DataFrame, contract: Contract, mode: str = "quarantine"
+    df: DataFrame, contract: Contract, mode: str = "quarantine", check_key: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejects) of an already conformed DataFrame.
 
-    ``rejects`` carries a ``reasons`` array.  In ``mode='fail'`` a violation
-    raises (one bounded ``limit(1)`` probe) and ``rejects`` is empty.
+    ``rejects`` carries a ``reasons`` array.  With ``check_key`` every row
+    whose primary key value is shared by another row is rejected too.  In
+    ``mode='fail'`` a violation raises (one bounded ``limit(1)`` probe) and
+    ``rejects`` is empty.
     """
-    tagged = df.withColumn("_reasons", violation_reasons(contract))
+    reasons = violation_reasons(contract)
+    if check_key and contract.primary_key:
+        df = _flag_duplicate_keys(df, contract.primary_key)
+        key_reason = F.when(
+            F.col("_dup_key"), F.array(F.lit(f"{', '.join(contract.primary_key)} duplicated"))
+        ).otherwise(F.array().cast("array<string>"))
+        reasons = F.concat(reasons, key_reason)
+    tagged = df.withColumn("_reasons", reasons).drop("_dup_key")
     valid = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
     rejects = tagged.filter(F.size("_reasons") > 0).withColumnRenamed("_reasons", "reasons")
     if mode == "fail":

@@ -287,6 +287,10 @@ ORACLE_SQL: dict[str, str] = {
                count(*) FILTER (WHERE ship_date IS NULL OR length(o_orderpriority) > 8) AS rejected_rows
         FROM ({_ORDER_LINES})
     """,
+    "contract_key_rejects": """
+        SELECT 'l_orderkey, l_linenumber duplicated' AS reason, CAST(sum(n) AS BIGINT) AS n_rows
+        FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+    """,
     "key_uniqueness": """
         SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
     """,

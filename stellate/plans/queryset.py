@@ -513,6 +513,23 @@ def q_contract_split(spark, sf):
     )
 
 
+LINES = contract.Contract(
+    "lines",
+    (
+        contract.Col("l_orderkey", "bigint", False),
+        contract.Col("l_linenumber", "int", False),
+        contract.Col("l_quantity", "double"),
+    ),
+    primary_key=("l_orderkey", "l_linenumber"),
+)
+
+
+def q_contract_key_rejects(spark, sf):
+    li = contract.apply_contract(_t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_quantity"), LINES)
+    _, rejects = contract.enforce_contract(li, LINES, check_key=True)
+    return contract.reject_summary(rejects)
+
+
 def q_key_uniqueness(spark, sf):
     return contract.key_violations(_t(spark, sf, "lineitem", *_LINE_KEYS), _LINE_KEYS)
 
@@ -728,6 +745,7 @@ QUERIES: dict[str, Query] = {
     "code_lookup_sql": q_code_lookup_sql,
     "contract_rejects": q_contract_rejects,
     "contract_split": q_contract_split,
+    "contract_key_rejects": q_contract_key_rejects,
     "key_uniqueness": q_key_uniqueness,
     "bucketed_join": q_bucketed_join,
     "quality_row_counts": q_quality_row_counts,

@@ -167,3 +167,19 @@ def test_rename_keeps_hyphen(spark):
 def test_scratch_under_checkpoint_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert root and scratch_path(spark, "x").startswith(root.rstrip("/"))
+
+
+def test_primary_key_check(spark):
+    li = read_table(spark, SF001, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"])
+    c = contract.Contract(
+        "lines",
+        (contract.Col("l_orderkey", "bigint", False), contract.Col("l_linenumber", "int", False),
+         contract.Col("l_quantity", "double")),
+        primary_key=("l_orderkey", "l_linenumber"),
+    )
+    valid, rejects = contract.enforce_contract(li, c, check_key=True)
+    dup_rows = contract.key_violations(li, c.primary_key).agg(F.sum("n")).collect()[0][0]
+    assert rejects.count() == dup_rows
+    assert valid.count() + dup_rows == li.count()
+    assert valid.columns == li.columns
+    assert {r.reason for r in contract.reject_summary(rejects).collect()} == {"l_orderkey, l_linenumber duplicated"}
