@@ -59,7 +59,7 @@ def decode(
     """
     fact_t = _field_type(df, code_col)
     list_t = _field_type(codes, code_key)
-    key_name = f"__k_{out}"
+    key_name, value_name = f"__k_{out}", f"__v_{out}"
     fact_key = F.col(code_col)
     list_key = F.col(code_key)
     cast_list = isinstance(fact_t, _NUMERIC) and isinstance(list_t, T.StringType)
@@ -67,14 +67,19 @@ def decode(
         list_key = F.trim(list_key).try_cast(fact_t)
     elif isinstance(fact_t, T.StringType) and isinstance(list_t, _NUMERIC):
         fact_key = F.trim(fact_key).try_cast(list_t)
-    lk = codes.select(list_key.alias(key_name), F.col(label).alias(out)).filter(F.col(key_name).isNotNull())
+    lk = codes.select(list_key.alias(key_name), F.col(label).alias(value_name)).filter(
+        F.col(key_name).isNotNull()
+    )
     if cast_list or not unique:
-        lk = lk.groupBy(key_name).agg(F.max(out).alias(out))
+        lk = lk.groupBy(key_name).agg(F.max(value_name).alias(value_name))
     lk = bounded_broadcast(lk, max_broadcast_rows, known_rows)
-    joined = df.join(lk, fact_key == lk[key_name], "left").drop(key_name)
+    joined = df.join(lk, fact_key == lk[key_name], "left")
+    value = F.col(value_name)
     if default is not None:
-        joined = joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
-    return joined
+        value = F.coalesce(value, F.lit(default))
+    # withColumn keeps the position when ``out`` replaces an existing column
+    # (e.g. a code column decoded into its own label)
+    return joined.withColumn(out, value).drop(key_name, value_name)
 
 
 def decode_roles(

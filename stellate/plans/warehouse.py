@@ -7,7 +7,9 @@ table is computed once, not once to write and again to count.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ def write_counted(
     if sample_rows is not None:
         order = list(sample_order) if sample_order else df.columns[:1]
         df = df.orderBy(*order).limit(sample_rows)
-    obs = Observation(f"write_{abs(hash(path))}")
+    obs = Observation(f"write_{uuid.uuid4().hex}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -45,14 +47,23 @@ def write_tables(
     tables: Mapping[str, DataFrame],
     base: str,
     sample_rows: int | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
-    """Write each table under ``base/<name>``; report (table_name, rows, seconds, path)."""
-    report = []
-    for name, df in tables.items():
+    """Write each table under ``base/<name>``; report (table_name, rows, seconds, path).
+
+    Up to ``parallel`` writes run as concurrent Spark jobs, so small tables
+    use free task slots instead of waiting for the largest one to finish.
+    """
+
+    def _one(item: tuple[str, DataFrame]) -> tuple[str, int, float, str]:
+        name, df = item
         path = f"{base.rstrip('/')}/{name}"
         t0 = time.perf_counter()
         rows = write_counted(df, path, sample_rows=sample_rows)
-        report.append((name, rows, time.perf_counter() - t0, path))
+        return name, rows, time.perf_counter() - t0, path
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        report = list(pool.map(_one, tables.items()))
     return spark.createDataFrame(
         report, "table_name string, rows long, seconds double, path string"
     )
@@ -129,7 +140,7 @@ def insert_by_name(df: DataFrame, contract: Contract, table: str, overwrite: boo
     contract's column order by name with tolerant casts.
     """
     shaped = apply_contract(df, contract)
-    obs = Observation(f"insert_{table}")
+    obs = Observation(f"insert_{uuid.uuid4().hex}")
     shaped.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=overwrite)
     return int(obs.get["rows"])
 

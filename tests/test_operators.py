@@ -183,3 +183,12 @@ def test_primary_key_check(spark):
     assert valid.count() + dup_rows == li.count()
     assert valid.columns == li.columns
     assert {r.reason for r in contract.reject_summary(rejects).collect()} == {"l_orderkey, l_linenumber duplicated"}
+
+
+def test_decode_in_place_replaces_code(spark):
+    c = read_table(spark, SF001, "customer", ["c_custkey", "c_nationkey", "c_name"])
+    codes = read_table(spark, SF001, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("label"))
+    out = lookup.decode(c, "c_nationkey", codes, "c_nationkey")
+    assert out.columns == ["c_custkey", "c_nationkey", "c_name"]
+    assert dict(out.dtypes)["c_nationkey"] == "string"
+    assert out.filter(~F.col("c_nationkey").startswith("NATION_")).count() == 0
