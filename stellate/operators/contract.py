@@ -107,14 +107,20 @@ def _flag_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def enforce_contract(
-    df: DataFrame, contract: Contract, mode: str = "quarantine", check_key: bool = False
+    df: DataFrame,
+    contract: Contract,
+    mode: str = "quarantine",
+    check_key: bool = False,
+    materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejects) of an already conformed DataFrame.
 
     ``rejects`` carries a ``reasons`` array.  With ``check_key`` every row
     whose primary key value is shared by another row is rejected too.  In
     ``mode='fail'`` a violation raises (one bounded ``limit(1)`` probe) and
-    ``rejects`` is empty.
+    ``rejects`` is empty.  Both outputs filter the same tagged rows; with
+    ``materialize`` those rows are checkpointed once so consuming both does
+    not compute ``df`` twice.
     """
     reasons = violation_reasons(contract)
     if check_key and contract.primary_key:
@@ -124,6 +130,10 @@ def enforce_contract(
         ).otherwise(F.array().cast("array<string>"))
         reasons = F.concat(reasons, key_reason)
     tagged = df.withColumn("_reasons", reasons).drop("_dup_key")
+    if materialize:
+        from stellate.session import cut_lineage
+
+        tagged = cut_lineage(tagged)
     valid = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
     rejects = tagged.filter(F.size("_reasons") > 0).withColumnRenamed("_reasons", "reasons")
     if mode == "fail":

@@ -3,7 +3,9 @@
 Plan:
 1. range-partition on the ordering columns (split points are sampled, so a
    hot value of a leading column is spread over several partitions as long
-   as the full ordering is unique) and sort within partitions;
+   as the full ordering is unique) and sort within partitions; the number of
+   ranges follows the session (``spark.sql.shuffle.partitions``, coalesced by
+   adaptive execution) unless given;
 2. reliable checkpoint into the shared checkpoint folder: partition contents
    are now fixed, so the two reads below agree, and a lost executor re-reads
    the checkpoint instead of re-running the sample and shuffle;
@@ -19,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stellate.operators.lookup import bounded_broadcast
 from stellate.session import cut_lineage
 
 # Partitions above this many would make the offset table too large to broadcast.
@@ -36,9 +39,11 @@ def dense_key(
     ``order_by`` must identify rows uniquely for the ids to be reproducible;
     the result equals ``row_number() OVER (ORDER BY order_by) - 1``.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *order_by)
+    else:
+        ranged = df.repartitionByRange(*order_by)
+    ranged = ranged.sortWithinPartitions(*order_by)
     frozen = cut_lineage(ranged)
     tagged = frozen.select(
         "*",
@@ -48,8 +53,8 @@ def dense_key(
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_off"))
-    if n <= MAX_OFFSET_PARTITIONS:  # the offset table has at most n rows
-        offsets = F.broadcast(offsets)
+    # one row per partition: broadcast unless the partition count is extreme
+    offsets = bounded_broadcast(offsets, MAX_OFFSET_PARTITIONS)
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (

@@ -19,15 +19,23 @@ DEFAULT_BROADCAST_ROWS = 200_000
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
 ) -> DataFrame:
     """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows of the small side.
+    The check reads at most ``max_rows + 1`` rows of the small side.  When the
+    small side is the result of an expensive plan, materialize it first
+    (``stellate.session.cut_lineage``) so the check and the broadcast do not
+    both recompute it.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = known_rows <= max_rows if known_rows is not None else fits(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def _field_type(df: DataFrame, name: str) -> T.DataType:

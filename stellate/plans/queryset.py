@@ -22,7 +22,7 @@ from stellate.operators.dims import distinct_dates, time_dimension
 from stellate.operators.joins import left_join_skew_safe
 from stellate.operators.keys import dense_key
 from stellate.plans import warehouse
-from stellate.session import scratch_path
+from stellate.session import cut_lineage, scratch_path
 from stellate.sources.codelists import inline_code_list, parse_code_lists, render_code_list
 from stellate.sources.csv import read_csv_strings, write_csv
 from stellate.sources.tables import read_table, table_counts
@@ -412,7 +412,9 @@ def q_time_join(spark, sf):
     # Fact joined to the time dimension, which is replicated to every task
     # (broadcast) once its row count is known to be small: dates are bounded
     # by the calendar, not by the data volume.
-    dim = lookup.bounded_broadcast(time_dimension(_fact_dates(spark, sf)))
+    # materialized once: the size check and the broadcast then read the small
+    # checkpoint instead of scanning the facts' dates twice
+    dim = lookup.bounded_broadcast(cut_lineage(time_dimension(_fact_dates(spark, sf))))
     li = _t(spark, sf, "lineitem", "l_shipdate", "l_quantity").select(
         F.col("l_shipdate").cast("date").alias("ship_date"), "l_quantity"
     )

@@ -319,10 +319,9 @@ def build_warehouse(
     """
     from functools import reduce
 
-    from stellate.operators.contract import reject_summary, violation_reasons
+    from stellate.operators.contract import enforce_contract, reject_summary
     from stellate.operators.quality import completeness_audit, counts_frame, row_count_check
     from stellate.plans.warehouse import read_counts, write_tables
-    from stellate.session import cut_lineage
     from stellate.sources.codelists import parse_code_lists
 
     lookups = immigration_lookups(spark, parse_code_lists(spark, label_paths))
@@ -334,9 +333,7 @@ def build_warehouse(
     }
     valid, rejects = {}, {}
     for name, df in conformed.items():
-        tagged = cut_lineage(df.withColumn("_reasons", violation_reasons(CONTRACTS[name])))
-        valid[name] = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
-        rejects[name] = tagged.filter(F.size("_reasons") > 0).withColumnRenamed("_reasons", "reasons")
+        valid[name], rejects[name] = enforce_contract(df, CONTRACTS[name], materialize=True)
     valid["time"] = build_time(valid["immigration"], valid["temperature"])
 
     base = base.rstrip("/")

@@ -14,17 +14,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
+from pyspark.sql import functions as F
+
 from stellate.operators.clean import dedup_by_key
+from stellate.operators.lookup import DEFAULT_BROADCAST_ROWS, fits
 from stellate.plans.warehouse import write_counted
 
 
-def append_new_keys(existing: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` (one per key) whose key is absent from ``existing``."""
+def append_new_keys(
+    existing: DataFrame | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of ``batch`` (one per key) whose key is absent from ``existing``.
+
+    A refresh batch is usually far smaller than the table.  When its keys fit
+    a broadcast, the table's keys are first semi-joined against them on the
+    map side, so only table keys that also occur in the batch are shuffled,
+    not the whole table.  Otherwise the table's distinct keys are used.
+    """
+    keys = list(keys)
     fresh = dedup_by_key(batch, keys)
     if existing is None:
         return fresh
-    # distinct keys: partial aggregation shrinks repeated keys before the shuffle
-    return fresh.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    batch_keys = fresh.select(*keys).distinct()
+    table_keys = existing.select(*keys)
+    if fits(batch_keys, max_broadcast_keys):
+        seen = table_keys.join(F.broadcast(batch_keys), keys, "left_semi")
+    else:
+        # distinct keys: partial aggregation shrinks repeated keys before the shuffle
+        seen = table_keys.distinct()
+    return fresh.join(seen, keys, "left_anti")
 
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
