@@ -140,8 +140,11 @@ ORACLE_SQL: dict[str, str] = {
                p_retailprice AS Retail_Price
         FROM part
     """,
-    "drop_low_completeness": f"""
-        SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM ({_ORDERS_GAPS})
+    "drop_low_completeness": """
+        SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+               CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'O' THEN NULL
+                    ELSE o_orderpriority END AS o_orderpriority
+        FROM orders
     """,
     "dedup_by_key": f"""
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,

@@ -178,7 +178,16 @@ def q_rename_columns(spark, sf):
 
 
 def q_drop_low_completeness(spark, sf):
-    return clean.drop_low_completeness(_orders_with_gaps(spark, sf), threshold=80.0)
+    # status ~67 % complete (dropped); priority ~93 % complete (kept): both
+    # far from the 80 % threshold at every scale factor
+    o = _orders_dated(spark, sf)
+    gaps = o.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("F"))).withColumn(
+        "o_orderpriority",
+        F.when(
+            (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O"), F.lit(None)
+        ).otherwise(F.col("o_orderpriority")),
+    )
+    return clean.drop_low_completeness(gaps, threshold=80.0)
 
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber"]

@@ -30,3 +30,13 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["year", "month", "nation", "n_orders"]
     assert df.count() > 0
+
+
+# Operators whose output shape depends on the data (columns chosen by
+# completeness) are also checked at the other scale factors.
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_data_dependent_shapes_across_scales(spark, sf):
+    con = duck(sf)
+    for name in ("drop_low_completeness", "profile_completeness", "quality_completeness"):
+        result = compare(spark, con, name, queries()[name], oracle_sql()[name], sf)
+        assert result.startswith("OK"), result
