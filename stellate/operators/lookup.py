@@ -42,6 +42,50 @@ def _field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def _prepare(
+    fact_t: T.DataType, codes: DataFrame, code_key: str, label: str, unique: bool
+) -> tuple[DataFrame, T.DataType | None]:
+    """Lookup side as (``__k``, ``__v``) with one row per key, and the type the
+    fact key must be cast to (None when it is used as is)."""
+    list_t = _field_type(codes, code_key)
+    list_key = F.col(code_key)
+    fact_cast = None
+    cast_list = isinstance(fact_t, _NUMERIC) and isinstance(list_t, T.StringType)
+    if cast_list:
+        list_key = F.trim(list_key).try_cast(fact_t)
+    elif isinstance(fact_t, T.StringType) and isinstance(list_t, _NUMERIC):
+        fact_cast = list_t
+    lk = codes.select(list_key.alias("__k"), F.col(label).alias("__v")).filter(F.col("__k").isNotNull())
+    if cast_list or not unique:
+        lk = lk.groupBy("__k").agg(F.max("__v").alias("__v"))
+    return lk, fact_cast
+
+
+def _join_prepared(
+    df: DataFrame,
+    code_col: str,
+    lk: DataFrame,
+    fact_cast: T.DataType | None,
+    out: str,
+    small: bool,
+    default: str | None,
+) -> DataFrame:
+    key_name, value_name = f"__k_{out}", f"__v_{out}"
+    side = lk.select(F.col("__k").alias(key_name), F.col("__v").alias(value_name))
+    if small:
+        side = F.broadcast(side)
+    fact_key = F.col(code_col)
+    if fact_cast is not None:
+        fact_key = F.trim(fact_key).try_cast(fact_cast)
+    joined = df.join(side, fact_key == side[key_name], "left")
+    value = F.col(value_name)
+    if default is not None:
+        value = F.coalesce(value, F.lit(default))
+    # withColumn keeps the position when ``out`` replaces an existing column
+    # (e.g. a code column decoded into its own label)
+    return joined.withColumn(out, value).drop(key_name, value_name)
+
+
 def decode(
     df: DataFrame,
     code_col: str,
@@ -65,29 +109,9 @@ def decode(
     codes are distinct by construction (it is still done after a key cast,
     which may merge codes such as ``'1'`` and ``'01'``).
     """
-    fact_t = _field_type(df, code_col)
-    list_t = _field_type(codes, code_key)
-    key_name, value_name = f"__k_{out}", f"__v_{out}"
-    fact_key = F.col(code_col)
-    list_key = F.col(code_key)
-    cast_list = isinstance(fact_t, _NUMERIC) and isinstance(list_t, T.StringType)
-    if cast_list:
-        list_key = F.trim(list_key).try_cast(fact_t)
-    elif isinstance(fact_t, T.StringType) and isinstance(list_t, _NUMERIC):
-        fact_key = F.trim(fact_key).try_cast(list_t)
-    lk = codes.select(list_key.alias(key_name), F.col(label).alias(value_name)).filter(
-        F.col(key_name).isNotNull()
-    )
-    if cast_list or not unique:
-        lk = lk.groupBy(key_name).agg(F.max(value_name).alias(value_name))
-    lk = bounded_broadcast(lk, max_broadcast_rows, known_rows)
-    joined = df.join(lk, fact_key == lk[key_name], "left")
-    value = F.col(value_name)
-    if default is not None:
-        value = F.coalesce(value, F.lit(default))
-    # withColumn keeps the position when ``out`` replaces an existing column
-    # (e.g. a code column decoded into its own label)
-    return joined.withColumn(out, value).drop(key_name, value_name)
+    lk, fact_cast = _prepare(_field_type(df, code_col), codes, code_key, label, unique)
+    small = known_rows <= max_broadcast_rows if known_rows is not None else fits(lk, max_broadcast_rows)
+    return _join_prepared(df, code_col, lk, fact_cast, out, small, default)
 
 
 def decode_roles(
@@ -99,8 +123,21 @@ def decode_roles(
     default: str | None = None,
     known_rows: int | None = None,
     unique: bool = False,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """One list joined once per role: ``roles`` maps output name -> code column."""
+    """One list joined once per role: ``roles`` maps output name -> code column.
+
+    The list is prepared and size-checked once per distinct code type, then
+    joined under a different name for every role.
+    """
+    prepared: dict[str, tuple[DataFrame, T.DataType | None, bool]] = {}
     for out, code_col in roles.items():
-        df = decode(df, code_col, codes, out, code_key, label, default, known_rows=known_rows, unique=unique)
+        fact_t = _field_type(df, code_col)
+        key = fact_t.simpleString()
+        if key not in prepared:
+            lk, fact_cast = _prepare(fact_t, codes, code_key, label, unique)
+            small = known_rows <= max_broadcast_rows if known_rows is not None else fits(lk, max_broadcast_rows)
+            prepared[key] = (lk, fact_cast, small)
+        lk, fact_cast, small = prepared[key]
+        df = _join_prepared(df, code_col, lk, fact_cast, out, small, default)
     return df
