@@ -230,7 +230,7 @@ def test_airport_drop_absent_column(airp):
 
 
 def test_time_dimension(spark):
-    from stellate.operators.dims import distinct_dates, time_dimension
+    from stellate.operators.dims import distinct_dates
 
     a = spark.createDataFrame(
         [(D(2016, 4, 29), D(2016, 5, 6)), (D(2016, 4, 30), None), (D(2016, 4, 29), D(2016, 5, 6))],
