@@ -101,14 +101,15 @@ def render_code_list(df: DataFrame, list_col: str, code_col: str, label_col: str
     """Render (list, code, label) rows as code-list text, one block per row.
 
     The output has one string column ``value`` suitable for ``write.text``.
-    Lines end in CRLF, codes and labels are tab-padded and quotes in labels are
-    doubled, as in hand-written label files.  Each list becomes one block, so
+    Lines end in CRLF, codes are quoted, codes and labels are tab-padded and
+    quotes in labels are doubled, as in hand-written label files (codes
+    themselves must not contain quotes).  Each list becomes one block, so
     callers choose list names that bound the block size.
     """
     line = F.concat(
-        F.lit("\t"),
+        F.lit("\t'"),
         F.col(code_col).cast("string"),
-        F.lit("\t=\t'"),
+        F.lit("'\t=\t'"),
         F.replace(F.col(label_col).cast("string"), F.lit("'"), F.lit("''")),
         F.lit("'"),
     )

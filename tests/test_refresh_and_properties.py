@@ -48,7 +48,10 @@ _label_chars = st.text(
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     entries=st.dictionaries(
-        st.text(alphabet=string.ascii_uppercase + string.digits, min_size=1, max_size=5), _label_chars,
+        st.text(alphabet=string.ascii_uppercase + string.digits + " -.", min_size=1, max_size=5).filter(
+            lambda c: c.strip() == c and c != ""
+        ),
+        _label_chars,
         min_size=1, max_size=20,
     )
 )
