@@ -39,6 +39,8 @@ def dense_key(
     ``order_by`` must identify rows uniquely for the ids to be reproducible;
     the result equals ``row_number() OVER (ORDER BY order_by) - 1``.
     """
+    if id_col in df.columns:
+        raise ValueError(f"column {id_col!r} already exists; choose another id_col")
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *order_by)
     else:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -240,5 +241,8 @@ def test_range_partitioning_spreads_hot_leading_value(spark):
         .collect()
     ]
     assert len(sizes) == 8 and max(sizes) < 2 * (90000 / 8)
-    ids = dense_key(df, ["grp", "id"], num_partitions=8)
-    assert ids.agg(F.countDistinct("id"), F.max("id")).collect()[0][:] == (90000, 89999)
+    ids = dense_key(df, ["grp", "id"], id_col="rid", num_partitions=8)
+    assert ids.columns == ["rid", "grp", "id"]
+    assert ids.agg(F.countDistinct("rid"), F.max("rid")).collect()[0][:] == (90000, 89999)
+    with pytest.raises(ValueError):
+        dense_key(df, ["grp", "id"])
