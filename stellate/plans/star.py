@@ -22,7 +22,7 @@ from stellate.operators.clean import (
 from stellate.operators.contract import Col, Contract
 from stellate.operators.dims import distinct_dates, time_dimension
 from stellate.operators.keys import dense_key
-from stellate.operators.lookup import decode
+from stellate.operators.lookup import decode, decode_roles
 from stellate.sources.codelists import code_list, inline_code_list
 
 # Columns dropped as mostly empty or unused.
@@ -177,8 +177,7 @@ def conform_immigration(df: DataFrame, lookups: dict[str, DataFrame], state_defa
 
     ``visa`` is the category label and ``type`` the class of admission.
     """
-    d = decode(df, "i94cit", lookups["country"], "birth_country")
-    d = decode(d, "i94res", lookups["country"], "residence_country")
+    d = decode_roles(df, lookups["country"], {"birth_country": "i94cit", "residence_country": "i94res"})
     d = decode(d, "i94mode", lookups["mode"], "mode")
     d = decode(d, "i94addr", lookups["state"], "state", default=state_default)
     d = decode(d, "i94visa", lookups["visa"], "visa", known_rows=len(VISA_CODES), unique=True)
@@ -257,7 +256,10 @@ def build_time(immigration: DataFrame, temperature: DataFrame) -> DataFrame:
 
 
 def demographics_by_city(demo: DataFrame) -> DataFrame:
-    """Demographics at (city, state_code) grain: one row per city, race rows summed."""
+    """Demographics at (city, state_code) grain: one row per city.
+
+    The city-level figures repeat on every race row, so each is taken once.
+    """
     return demo.groupBy("city", "state_code").agg(
         F.max("total_population").alias("total_population"),
         F.max("foreign_born").alias("foreign_born"),
