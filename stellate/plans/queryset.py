@@ -10,6 +10,7 @@ reproducible in SQL (timings, plan-dependent values).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,11 @@ RETURN_FLAG = {"A": "Accepted", "N": "Not returned", "R": "Returned"}
 LINE_STATUS = {"F": "Finished", "O": "Open"}
 
 
+def _tag() -> str:
+    """Unique suffix for catalog tables and views created by a query."""
+    return uuid.uuid4().hex[:12]
+
+
 def _t(spark: SparkSession, sf: str, name: str, *cols: str) -> DataFrame:
     return read_table(spark, sf, name, cols or None)
 
@@ -420,9 +426,9 @@ def q_time_dimension(spark, sf):
 def q_time_join(spark, sf):
     # Fact joined to the time dimension, which is replicated to every task
     # (broadcast) once its row count is known to be small: dates are bounded
-    # by the calendar, not by the data volume.
-    # materialized once: the size check and the broadcast then read the small
-    # checkpoint instead of scanning the facts' dates twice
+    # by the calendar, not by the data volume.  The dimension is materialized
+    # once, so the size check and the broadcast read the small checkpoint
+    # instead of scanning the facts' dates twice.
     dim = lookup.bounded_broadcast(cut_lineage(time_dimension(_fact_dates(spark, sf))))
     li = _t(spark, sf, "lineitem", "l_shipdate", "l_quantity").select(
         F.col("l_shipdate").cast("date").alias("ship_date"), "l_quantity"
@@ -546,7 +552,7 @@ def q_key_uniqueness(spark, sf):
 
 
 def q_bucketed_join(spark, sf):
-    tag = scratch_path(spark, "b").rsplit("-", 1)[-1]
+    tag = _tag()
     lines = _t(spark, sf, "lineitem", "l_orderkey", "l_quantity")
     buckets = warehouse.choose_buckets(lines)  # sized on the larger table
     o = warehouse.save_bucketed(
@@ -569,7 +575,7 @@ def q_bucketed_join(spark, sf):
 
 
 def q_catalog_load(spark, sf):
-    tag = scratch_path(spark, "c").rsplit("-", 1)[-1]
+    tag = _tag()
     prefix = f"wh_{tag}_"
     warehouse.drop_tables(spark, [f"{prefix}orders", f"{prefix}part", f"{prefix}staging"])
     tables = warehouse.create_tables(spark, [ORDERS, PART], scratch_path(spark, "catalog"), prefix)
@@ -582,7 +588,7 @@ def q_catalog_load(spark, sf):
 
 def q_code_lookup_sql(spark, sf):
     # The same left lookup written as SQL over named relations.
-    tag = scratch_path(spark, "v").rsplit("-", 1)[-1]
+    tag = _tag()
     cust, codes = f"customer_{tag}", f"nation_codes_{tag}"
     _t(spark, sf, "customer", "c_custkey", "c_nationkey").createOrReplaceTempView(cust)
     _nation_codes(spark, sf, 3).createOrReplaceTempView(codes)
