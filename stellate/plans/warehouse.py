@@ -181,8 +181,25 @@ def save_bucketed(
     return df.sparkSession.table(table_name)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> int:
-    """Write with one directory per value of ``by`` (enables partition pruning)."""
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    mode: str = "overwrite",
+    files_per_value: int | None = None,
+) -> int:
+    """Write with one directory per value of ``by`` (enables partition pruning).
+
+    Without ``files_per_value`` every task writes one file per value it
+    holds.  With it, rows are first shuffled on (``by``, salt) where the salt
+    is a hash of the whole row modulo ``files_per_value``: each value is
+    written by that many tasks at most, and a value holding a large share of
+    the rows is still spread over several writers.  The salt is a hash, not a
+    random number, so a retried task sends every row to the same place.
+    """
+    if files_per_value:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_value))
+        df = df.repartition(*[F.col(c) for c in by], salt)
     return write_counted(df, path, mode=mode, partition_by=by)
 
 

@@ -21,8 +21,16 @@ def build_session(
     app_name: str = "stellate",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    advisory_partition_bytes: str | None = None,
+    max_split_bytes: str | None = None,
 ) -> SparkSession:
-    """Session with adaptive execution, skew-join splitting and no web UI."""
+    """Session with adaptive execution, skew-join splitting and no web UI.
+
+    ``shuffle_partitions`` is the initial shuffle width (adaptive execution
+    coalesces it down to ``advisory_partition_bytes`` per partition at run
+    time); ``max_split_bytes`` caps the bytes a scan task reads.  Size them
+    so that one partition fits comfortably in an executor core's memory.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -36,6 +44,10 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if advisory_partition_bytes:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = advisory_partition_bytes
+    if max_split_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = max_split_bytes
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

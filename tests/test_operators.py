@@ -246,3 +246,15 @@ def test_range_partitioning_spreads_hot_leading_value(spark):
     assert ids.agg(F.countDistinct("rid"), F.max("rid")).collect()[0][:] == (90000, 89999)
     with pytest.raises(ValueError):
         dense_key(df, ["grp", "id"])
+
+
+def test_partitioned_write_bounds_files_per_value(spark):
+    import glob
+
+    o = read_table(spark, SF001, "orders", ["o_orderkey", "o_orderdate"]).withColumn("y", F.year("o_orderdate"))
+    path = scratch_path(spark, "ppf")
+    assert warehouse.write_partitioned(o.repartition(16), path, ["y"], files_per_value=2) == 15000
+    root = path.split(":", 1)[-1]
+    for d in glob.glob(f"{root}/y=*"):
+        assert 1 <= len(glob.glob(f"{d}/*.parquet")) <= 2
+    assert spark.read.parquet(path).count() == 15000
