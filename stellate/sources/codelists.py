@@ -97,15 +97,21 @@ def inline_code_list(
     return spark.createDataFrame(list(mapping.items()), schema)
 
 
-def render_code_list(df: DataFrame, list_col: str, code_col: str, label_col: str) -> DataFrame:
+def render_code_list(
+    df: DataFrame, list_col: str, code_col: str, label_col: str, max_entries: int = 10_000
+) -> DataFrame:
     """Render (list, code, label) rows as code-list text, one block per row.
 
     The output has one string column ``value`` suitable for ``write.text``.
     Lines end in CRLF, codes are quoted, codes and labels are tab-padded and
     quotes in labels are doubled, as in hand-written label files (codes
-    themselves must not contain quotes).  Each list becomes one block, so
-    callers choose list names that bound the block size.
+    themselves must not contain quotes).  A list longer than ``max_entries``
+    is cut into several blocks of the same name by a hash of the code, so no
+    block (one row, built in one task) grows with the data; the parser merges
+    blocks of one name.
     """
+    from stellate.operators.lookup import bounded_broadcast
+
     line = F.concat(
         F.lit("\t'"),
         F.col(code_col).cast("string"),
@@ -113,9 +119,14 @@ def render_code_list(df: DataFrame, list_col: str, code_col: str, label_col: str
         F.replace(F.col(label_col).cast("string"), F.lit("'"), F.lit("''")),
         F.lit("'"),
     )
-    grouped = df.groupBy(F.col(list_col).alias("_list")).agg(
-        F.array_sort(F.collect_list(line)).alias("_lines")
+    sizes = df.groupBy(F.col(list_col).alias("_list")).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).cast("long").alias("_chunks")
+    )
+    rows = df.select(F.col(list_col).alias("_list"), F.col(code_col).alias("_code"), line.alias("_line"))
+    chunked = rows.join(bounded_broadcast(sizes), "_list").select(
+        "_list", F.pmod(F.xxhash64("_code"), F.col("_chunks")).alias("_chunk"), "_line"
     )
+    grouped = chunked.groupBy("_list", "_chunk").agg(F.array_sort(F.collect_list("_line")).alias("_lines"))
     return grouped.select(
         F.concat(
             F.lit("  value "),

@@ -96,3 +96,16 @@ def test_tolerant_int_cast_matches_python(spark, values):
         return int(f) if f == f and abs(f) < 2**63 else None
 
     assert got == [model(v) for v in values]
+
+
+def test_long_list_is_cut_into_blocks_and_parses_whole(spark):
+    c = read_table(spark, SF001, "customer", ["c_custkey", "c_name"])
+    rows = c.select(F.lit("all").alias("list_name"), F.col("c_custkey").alias("code"), F.col("c_name").alias("label"))
+    blocks = render_code_list(rows, "list_name", "code", "label", max_entries=100)
+    assert blocks.count() >= 15  # 1500 codes, about 100 per block
+    path = scratch_path(spark, "long")
+    blocks.write.text(path)
+    parsed = parse_code_lists(spark, path)
+    assert parsed.count() == 1500
+    assert parsed.join(c.select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("label")),
+                       ["code", "label"]).count() == 1500
