@@ -1,6 +1,6 @@
 from stellate.functions.casts import cast_loss_report, tolerant_cast
 from stellate.functions.dates import (
-    SAS_EPOCH,
+    DAY_NUMBER_EPOCH,
     date_parts,
     date_to_day_number,
     day_number_to_date,
@@ -8,7 +8,7 @@ from stellate.functions.dates import (
 )
 
 __all__ = [
-    "SAS_EPOCH",
+    "DAY_NUMBER_EPOCH",
     "cast_loss_report",
     "date_parts",
     "date_to_day_number",

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: day numbers in the source data count days since this date.
-SAS_EPOCH = "1960-01-01"
+# Fixed value: day numbers in the source data count days since this date
+# (the SAS date convention).
+DAY_NUMBER_EPOCH = "1960-01-01"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def day_number_to_date(c: Column | str, epoch: str = SAS_EPOCH) -> Column:
+def day_number_to_date(c: Column | str, epoch: str = DAY_NUMBER_EPOCH) -> Column:
     """Day number (int or double) -> DATE; NULL or out-of-range -> NULL.
 
     ``date_add`` takes an integer day count on Spark 4, so the number is
@@ -22,7 +23,7 @@ def day_number_to_date(c: Column | str, epoch: str = SAS_EPOCH) -> Column:
     return F.date_add(F.lit(epoch).cast("date"), _col(c).try_cast("int"))
 
 
-def date_to_day_number(c: Column | str, epoch: str = SAS_EPOCH) -> Column:
+def date_to_day_number(c: Column | str, epoch: str = DAY_NUMBER_EPOCH) -> Column:
     """DATE/TIMESTAMP -> whole days since ``epoch`` (int)."""
     return F.datediff(_col(c).cast("date"), F.lit(epoch).cast("date"))
 

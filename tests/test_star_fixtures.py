@@ -56,7 +56,7 @@ MEXICO = "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"
 
 @pytest.fixture
 def lookups(spark, tmp_text):
-    parsed = parse_code_lists(spark, tmp_text("labels.sas", LABELS))
+    parsed = parse_code_lists(spark, tmp_text("labels.txt", LABELS))
     return star.immigration_lookups(spark, parsed)
 
 
@@ -269,7 +269,7 @@ CODELIST_TEXT = (
 
 
 def test_codelist_parse_edges(spark, tmp_text):
-    parsed = parse_code_lists(spark, tmp_text("labels.sas", CODELIST_TEXT))
+    parsed = parse_code_lists(spark, tmp_text("labels.txt", CODELIST_TEXT))
     rows = sorted(tuple(r) for r in parsed.collect())
     assert rows == [
         ("i94cntyl", "0", "INVALID: STATELESS"),
@@ -282,8 +282,8 @@ def test_codelist_parse_edges(spark, tmp_text):
 
 
 def test_codelist_last_duplicate_wins_and_many_files(spark, tmp_text):
-    a = tmp_text("a.sas", "value l1\n 1 = 'one'\n 1 = 'uno'\n 2 = 'two'\n;\n")
-    b = tmp_text("b.sas", "value l2\n 'x' = 'ex'\n;\n")
+    a = tmp_text("a.txt", "value l1\n 1 = 'one'\n 1 = 'uno'\n 2 = 'two'\n;\n")
+    b = tmp_text("b.txt", "value l2\n 'x' = 'ex'\n;\n")
     parsed = parse_code_lists(spark, [a, b])
     assert sorted(tuple(r) for r in parsed.collect()) == [("l1", "1", "uno"), ("l1", "2", "two"), ("l2", "x", "ex")]
     assert sorted(tuple(r) for r in code_list(parsed, "l2").collect()) == [("x", "ex")]
@@ -318,7 +318,7 @@ def test_build_warehouse_end_to_end(spark, tmp_text):
         spark.createDataFrame(TEMP_ROWS, TEMP_SCHEMA),
         spark.createDataFrame(DEMO_ROWS, ", ".join(f"`{c}` string" for c in DEMO_COLS)),
         spark.createDataFrame(AIRP_ROWS, AIRP_SCHEMA),
-        tmp_text("labels.sas", LABELS),
+        tmp_text("labels.txt", LABELS),
         scratch_path(spark, "wh"),
     )
     loaded = {r.table_name: r.rows for r in out["load"].collect()}
