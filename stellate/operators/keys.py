@@ -9,8 +9,9 @@ Plan:
 2. reliable checkpoint into the shared checkpoint folder: partition contents
    are now fixed, so the two reads below agree, and a lost executor re-reads
    the checkpoint instead of re-running the sample and shuffle;
-3. count rows per partition (one row per partition), turn the counts into
-   offsets with a window over that tiny table, and broadcast the offsets;
+3. count rows per partition (one number per partition, the same first pass
+   ``RDD.zipWithIndex`` makes), turn the counts into running offsets and
+   broadcast them (their size is the partition count, not the data);
 4. id = offset of the partition + position inside the partition.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.operators.lookup import bounded_broadcast
@@ -52,11 +53,13 @@ def dense_key(
         F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"),
     )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    running = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("_pid", (F.sum("_cnt").over(running) - F.col("_cnt")).alias("_off"))
-    # one row per partition: broadcast unless the partition count is extreme
-    offsets = bounded_broadcast(offsets, MAX_OFFSET_PARTITIONS)
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()
+    offsets_rows, running = [], 0
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        offsets_rows.append((r["_pid"], running))
+        running += r["_cnt"]
+    offsets = df.sparkSession.createDataFrame(offsets_rows, "_pid int, _off long")
+    offsets = bounded_broadcast(offsets, MAX_OFFSET_PARTITIONS, known_rows=len(offsets_rows))
     # monotonically_increasing_id = (partition index << 33) + row index in the partition
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (

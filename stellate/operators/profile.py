@@ -59,14 +59,12 @@ def schema_report(df: DataFrame) -> DataFrame:
 def schema_profile(df: DataFrame) -> DataFrame:
     """Schema report joined with per-column non-null counts (one scan).
 
-    The schema side has one row per column, so it is broadcast.
+    Both sides have one row per column (every column is profiled), so the
+    schema side is broadcast into an inner join.
     """
     comp = completeness(df).select("column_name", "non_null", "total")
-    return (
-        schema_report(df)
-        .hint("broadcast")
-        .join(comp, "column_name", "left")
-        .select("position", "column_name", "data_type", "nullable", "non_null", "total")
+    return comp.join(F.broadcast(schema_report(df)), "column_name").select(
+        "position", "column_name", "data_type", "nullable", "non_null", "total"
     )
 
 
