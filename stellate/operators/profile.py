@@ -91,3 +91,17 @@ def mismatch_count(
 def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 5) -> DataFrame:
     """First ``n`` rows by a stable order (a TakeOrdered plan, no full sort)."""
     return df.orderBy(*order_by).limit(n)
+
+
+def top_key_share(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    """The ``n`` most frequent key values with their share of all rows.
+
+    One partially aggregated count per key, then a top-n (no full sort).
+    Use it before bucketing or range-partitioning on a key: a value holding
+    a large share puts that share in one bucket file, which no reader can
+    split.  Columns: the keys, n_rows, share.
+    """
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = per_key.agg(F.sum("n_rows")).scalar()  # scalar subquery, evaluated once
+    top = per_key.orderBy(F.col("n_rows").desc(), *keys).limit(n)
+    return top.select(*keys, "n_rows", (F.col("n_rows") / total).alias("share"))

@@ -258,3 +258,12 @@ def test_partitioned_write_bounds_files_per_value(spark):
     for d in glob.glob(f"{root}/y=*"):
         assert 1 <= len(glob.glob(f"{d}/*.parquet")) <= 2
     assert spark.read.parquet(path).count() == 15000
+
+
+def test_top_key_share_finds_hot_key(spark):
+    from stellate.operators.profile import top_key_share
+
+    df = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    top = top_key_share(df, ["k"], n=2).collect()
+    assert top[0].k == -1 and top[0].n_rows == 3000 and abs(top[0].share - 1 / 3) < 1e-9
+    assert len(top) == 2 and top[1].n_rows == 1
