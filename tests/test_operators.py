@@ -267,3 +267,19 @@ def test_top_key_share_finds_hot_key(spark):
     top = top_key_share(df, ["k"], n=2).collect()
     assert top[0].k == -1 and top[0].n_rows == 3000 and abs(top[0].share - 1 / 3) < 1e-9
     assert len(top) == 2 and top[1].n_rows == 1
+
+
+def test_time_dimension_unique_and_not_null(spark):
+    from stellate.operators.dims import distinct_dates, time_dimension
+
+    o = read_table(spark, SF001, "orders", ["o_orderdate"]).withColumn(
+        "o_orderdate", F.when(F.col("o_orderdate") > F.lit("2001-01-01").cast("timestamp_ntz"), None)
+        .otherwise(F.col("o_orderdate"))
+    )
+    li = read_table(spark, SF001, "lineitem", ["l_shipdate"])
+    dates = distinct_dates([(o, "o_orderdate"), (li, "l_shipdate")])
+    assert dates.filter(F.col("time").isNull()).count() == 1  # SQL UNION keeps one NULL
+    dim = time_dimension(dates)
+    stats = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("time").alias("d"),
+                    F.count_if(F.col("time").isNull()).alias("nulls")).collect()[0]
+    assert stats.n == stats.d == dates.count() - 1 and stats.nulls == 0
