@@ -110,7 +110,9 @@ def decode(
     which may merge codes such as ``'1'`` and ``'01'``).
     """
     lk, fact_cast = _prepare(_field_type(df, code_col), codes, code_key, label, unique)
-    small = known_rows <= max_broadcast_rows if known_rows is not None else fits(lk, max_broadcast_rows)
+    # the prepared side has at most as many rows as the raw list, so checking
+    # the raw list (a scan with a limit, no shuffle) bounds it
+    small = known_rows <= max_broadcast_rows if known_rows is not None else fits(codes, max_broadcast_rows)
     return _join_prepared(df, code_col, lk, fact_cast, out, small, default)
 
 
@@ -136,7 +138,9 @@ def decode_roles(
         key = fact_t.simpleString()
         if key not in prepared:
             lk, fact_cast = _prepare(fact_t, codes, code_key, label, unique)
-            small = known_rows <= max_broadcast_rows if known_rows is not None else fits(lk, max_broadcast_rows)
+            small = (
+                known_rows <= max_broadcast_rows if known_rows is not None else fits(codes, max_broadcast_rows)
+            )
             prepared[key] = (lk, fact_cast, small)
         lk, fact_cast, small = prepared[key]
         df = _join_prepared(df, code_col, lk, fact_cast, out, small, default)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.operators.contract import Contract, apply_contract
+from stellate.sources.tables import NO_COLUMNS
 
 
 def write_counted(
@@ -72,7 +73,7 @@ def write_tables(
 def read_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """(table_name, actual) by reading each written table back (metadata-only count)."""
     parts = [
-        spark.read.parquet(p).agg(F.count(F.lit(1)).alias("actual")).select(
+        spark.read.schema(NO_COLUMNS).parquet(p).agg(F.count(F.lit(1)).alias("actual")).select(
             F.lit(name).alias("table_name"), "actual"
         )
         for name, p in paths.items()

@@ -7,6 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Schema for scans that only count rows.
+NO_COLUMNS = T.StructType([])
 
 # Names of the tables shipped with the test data (one parquet file each).
 TABLES = (
@@ -31,11 +35,29 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
+# Schemas of source tables inferred so far, by path (source tables are read-only).
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_table(
-    spark: SparkSession, base: str, name: str, columns: Iterable[str] | None = None
+    spark: SparkSession,
+    base: str,
+    name: str,
+    columns: Iterable[str] | None = None,
+    reuse_schema: bool = True,
 ) -> DataFrame:
-    """Scan one parquet table; ``columns`` narrows the ReadSchema at the scan."""
-    df = spark.read.parquet(table_path(base, name))
+    """Scan one parquet table; ``columns`` narrows the ReadSchema at the scan.
+
+    The schema is inferred (a footer read on the driver) the first time a
+    path is read and declared on later reads, so building a plan that reads
+    many tables does not repeat that work.  Pass ``reuse_schema=False`` for a
+    path whose files may have been replaced with a different schema.
+    """
+    path = table_path(base, name)
+    known = _SCHEMAS.get(path) if reuse_schema else None
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if known is None:
+        _SCHEMAS[path] = df.schema
     return df.select(*columns) if columns else df
 
 
@@ -46,9 +68,11 @@ def table_counts(
 
     Each branch reads no columns at all (empty ReadSchema): parquet answers the
     count from row-group metadata, so the cost does not grow with row width.
+    The empty schema is also declared up front, which skips schema inference
+    (a footer read per table on the driver).
     """
     parts = [
-        spark.read.parquet(table_path(base, n))
+        spark.read.schema(NO_COLUMNS).parquet(table_path(base, n))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(n).alias("table_name"), "row_count")
         for n in names
