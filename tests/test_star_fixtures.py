@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -333,3 +334,29 @@ def test_build_warehouse_end_to_end(spark, tmp_text):
     audit = {(r.table_name, r.column_name): r.pct for r in out["completeness"].collect()}
     assert audit[("airport", "iata_code")] == 100.0 and audit[("demographics", "city")] == 100.0
     assert len(audit) == 11
+
+
+def test_example_build_star_runs_on_raw_files(spark, tmp_path, capsys):
+    import importlib.util
+
+    from stellate.session import scratch_path
+
+    base = scratch_path(spark, "raw")
+    spark.createDataFrame(IMMI_ROWS, IMMI_SCHEMA).write.parquet(f"{base}/immi")
+    spark.createDataFrame(TEMP_ROWS, TEMP_SCHEMA).write.option("header", True).csv(f"{base}/temp")
+    spark.createDataFrame(DEMO_ROWS, ", ".join(f"`{c}` string" for c in DEMO_COLS)).write.option(
+        "header", True).option("sep", ";").csv(f"{base}/demo")
+    spark.createDataFrame(AIRP_ROWS, AIRP_SCHEMA).write.option("header", True).csv(f"{base}/airp")
+    labels = tmp_path / "labels.txt"
+    labels.write_bytes(LABELS.encode())
+    path = Path(__file__).resolve().parents[1] / "examples" / "build_star.py"
+    spec = importlib.util.spec_from_file_location("build_star", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    mod.main([
+        "--immigration", f"{base}/immi", "--temperature", f"{base}/temp", "--demographics", f"{base}/demo",
+        "--airport", f"{base}/airp", "--labels", str(labels), "--out", f"{base}/out",
+    ])
+    out = capsys.readouterr().out
+    assert "== row_counts" in out and "residence_country is null" in out
+    assert spark.read.parquet(f"{base}/out/immigration").count() == 2
