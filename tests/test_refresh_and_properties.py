@@ -45,7 +45,8 @@ _label_chars = st.text(
 ).filter(lambda s: s.strip() != "")
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     entries=st.dictionaries(
         st.text(alphabet=string.ascii_uppercase + string.digits + " -.", min_size=1, max_size=5).filter(
@@ -65,7 +66,8 @@ def test_render_then_parse_round_trips(spark, entries):
     assert got == {k: v.strip() for k, v in entries.items()}
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(
         st.one_of(
