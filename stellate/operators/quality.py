@@ -21,8 +21,17 @@ def row_count_check(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
     Output: table_name, expected, actual, missing = expected - actual, ok.
     A table present on one side only shows NULL on the other and ok = false.
+    Each side has one row per table, so the two are stacked and grouped (one
+    shuffle, hash aggregation) rather than joined.
     """
-    j = expected.join(actual, "table_name", "full")
+    stacked = expected.select(
+        "table_name", F.col("expected").cast("long").alias("expected"), F.lit(None).cast("long").alias("actual")
+    ).unionByName(
+        actual.select(
+            "table_name", F.lit(None).cast("long").alias("expected"), F.col("actual").cast("long").alias("actual")
+        )
+    )
+    j = stacked.groupBy("table_name").agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
     return j.select(
         "table_name",
         "expected",

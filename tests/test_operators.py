@@ -283,3 +283,11 @@ def test_time_dimension_unique_and_not_null(spark):
     stats = dim.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("time").alias("d"),
                     F.count_if(F.col("time").isNull()).alias("nulls")).collect()[0]
     assert stats.n == stats.d == dates.count() - 1 and stats.nulls == 0
+
+
+def test_row_count_check_one_sided_tables(spark):
+    from stellate.operators.quality import counts_frame, row_count_check
+
+    r = row_count_check(counts_frame(spark, {"a": 3, "b": 2}, "expected"), counts_frame(spark, {"a": 3, "c": 1}, "actual"))
+    assert sorted(tuple(x) for x in r.collect()) == [
+        ("a", 3, 3, 0, True), ("b", 2, None, None, False), ("c", None, 1, None, False)]
