@@ -94,13 +94,18 @@ def load_table(
 ) -> DataFrame:
     """Load a parquet table into a contract *by column name*, then store it.
 
-    Stored at ``target_path`` (files) or as catalog table ``table_name``.
-    Returns the loaded data read back from storage (lineage cut).
+    Stored at ``target_path`` (files), or as catalog table ``table_name``;
+    with both, the catalog table is external at ``target_path`` (a shared
+    folder rather than the session's warehouse folder).  Returns the loaded
+    data read back from storage (lineage cut).
     """
     src = spark.read.parquet(source_path)
     shaped = apply_contract(src, contract)
     if table_name:
-        shaped.write.mode(mode).format("parquet").saveAsTable(table_name)
+        writer = shaped.write.mode(mode).format("parquet")
+        if target_path:
+            writer = writer.option("path", target_path)
+        writer.saveAsTable(table_name)
         return spark.table(table_name)
     if not target_path:
         raise ValueError("give target_path or table_name")

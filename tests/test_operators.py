@@ -291,3 +291,36 @@ def test_row_count_check_one_sided_tables(spark):
     r = row_count_check(counts_frame(spark, {"a": 3, "b": 2}, "expected"), counts_frame(spark, {"a": 3, "c": 1}, "actual"))
     assert sorted(tuple(x) for x in r.collect()) == [
         ("a", 3, 3, 0, True), ("b", 2, None, None, False), ("c", None, 1, None, False)]
+
+
+def test_catalog_loads_by_name(spark):
+    import uuid
+
+    from stellate.plans.queryset import ORDERS, PART
+
+    tag = uuid.uuid4().hex[:8]
+    part = read_table(spark, SF001, "part")
+    src = scratch_path(spark, "src")
+    part.select("p_size", "p_name", "p_partkey", "p_retailprice", "p_type").write.parquet(src)
+    target = scratch_path(spark, "ext")
+    loaded = warehouse.load_table(spark, src, PART, target_path=target, table_name=f"part_{tag}")
+    assert loaded.columns == PART.names and loaded.count() == 2000
+    assert spark.read.parquet(target).count() == 2000  # external table in the shared folder
+
+    tables = warehouse.create_tables(spark, [ORDERS], scratch_path(spark, "cat"), prefix=f"t{tag}_")
+    o = read_table(spark, SF001, "orders")
+    assert warehouse.insert_by_name(o, ORDERS, tables["orders"]) == 15000
+    assert warehouse.insert_by_name(o, ORDERS, tables["orders"], overwrite=True) == 15000
+    assert spark.table(tables["orders"]).count() == 15000
+    warehouse.drop_tables(spark, [tables["orders"], f"t{tag}_absent"])
+    assert not spark.catalog.tableExists(tables["orders"])
+
+
+def test_apply_contract_strict_and_lenient(spark):
+    from stellate.plans.queryset import ORDERS
+
+    o = read_table(spark, SF001, "orders").drop("o_orderpriority")
+    lenient = contract.apply_contract(o, ORDERS)
+    assert lenient.filter(F.col("o_orderpriority").isNotNull()).count() == 0
+    with pytest.raises(ValueError):
+        contract.apply_contract(o, ORDERS, strict=True)
