@@ -56,10 +56,9 @@ def parse_code_lists(
         "_bpos",
         F.regexp_extract("_block", NAME_PATTERN, 1).alias("list_name"),
         F.posexplode(
-            F.zip_with(
-                F.regexp_extract_all("_block", F.lit(ENTRY_PATTERN), 1),
-                F.regexp_extract_all("_block", F.lit(ENTRY_PATTERN), 2),
-                lambda c, lab: F.struct(c.alias("code"), lab.alias("label")),
+            F.arrays_zip(
+                F.regexp_extract_all("_block", F.lit(ENTRY_PATTERN), 1).alias("code"),
+                F.regexp_extract_all("_block", F.lit(ENTRY_PATTERN), 2).alias("label"),
             )
         ).alias("_epos", "_e"),
     )
