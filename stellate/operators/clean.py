@@ -40,6 +40,7 @@ def drop_low_completeness(df: DataFrame, threshold: float = 80.0, keep: Iterable
 
 
 def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
+    """Keep rows where every named column is not NULL (pushed to the scan as IsNotNull)."""
     cond = None
     for c in cols:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
@@ -47,6 +48,7 @@ def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def filter_equals(df: DataFrame, col: str, value: object) -> DataFrame:
+    """Keep rows where ``col`` equals a literal (pushed to the scan as EqualTo)."""
     return df.filter(F.col(col) == F.lit(value))
 
 

@@ -134,6 +134,7 @@ AUDITED = {
 # ---- clean ---------------------------------------------------------------
 
 def clean_immigration(df: DataFrame) -> DataFrame:
+    """Drop the unused columns and keep one row per ``cicid`` (deterministic survivor)."""
     return dedup_by_key(drop_columns(df, *IMMIGRATION_DROP), ["cicid"])
 
 
@@ -151,12 +152,14 @@ def clean_airport(df: DataFrame, types: tuple[str, ...] | None = None, country:
 
 
 def clean_temperature(df: DataFrame, country: str = "United States", sentinel: str = "None") -> DataFrame:
+    """Keep one country's measurements that are not the missing-value text (NULL drops too)."""
     return chain_filters(
         df, F.col("Country") == F.lit(country), F.col("AverageTemperature") != F.lit(sentinel)
     )
 
 
 def clean_demographics(df: DataFrame) -> DataFrame:
+    """Column names with spaces become ``_`` (``Foreign-born`` keeps its hyphen)."""
     return rename_columns(df)
 
 
@@ -200,6 +203,7 @@ def conform_immigration(df: DataFrame, lookups: dict[str, DataFrame], state_defa
 
 
 def conform_temperature(df: DataFrame, with_id: bool = True) -> DataFrame:
+    """Typed measurements: text date with ``yyyy-MM-dd``, tolerant doubles, dense ``id``."""
     out = df.select(
         F.col("Country").alias("country"),
         F.col("City").alias("city"),
@@ -234,6 +238,7 @@ def conform_demographics(df: DataFrame, with_id: bool = True) -> DataFrame:
 
 
 def conform_airport(df: DataFrame) -> DataFrame:
+    """Airport dimension columns: ``id`` = ident, elevation as a tolerant int."""
     return df.select(
         F.col("ident").alias("id"),
         "type",

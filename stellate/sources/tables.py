@@ -32,6 +32,7 @@ TABLES = (
 
 
 def table_path(base: str, name: str) -> str:
+    """``<base>/<name>.parquet``."""
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
