@@ -17,7 +17,7 @@ from stellate.sources.codelists import code_list, parse_code_lists
 D = dt.date
 
 LABELS = (
-    "/* I94CIT & I94RES - country codes, value lists below */\r\n"
+    "/* country list used for birth and residence */\r\n"
     "  value i94cntyl\r\n"
     "   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'\r\n"
     "   101 =  'ALBANIA'\r\n"
@@ -26,14 +26,14 @@ LABELS = (
     "   0   =  'INVALID: STATELESS'\r\n"
     ";\r\n"
     "\r\n"
-    "/* I94MODE - There are missing values as well as not reported (9) */\r\n"
+    "/* travel mode; 9 means not reported */\r\n"
     "value i94model\r\n"
     "\t1 = 'Air'\r\n"
     "\t2 = 'Sea'\r\n"
     "\t3 = 'Land'\r\n"
     "\t9 = 'Not reported' ;\r\n"
     "\r\n"
-    "/* I94ADDR */\r\n"
+    "/* state of address */\r\n"
     "value i94addrl\r\n"
     "\t'CA'='CALIFORNIA'\r\n"
     "\t'99'='All Other Codes'\r\n"
@@ -253,8 +253,8 @@ def test_time_dimension(spark):
 
 
 CODELIST_TEXT = (
-    "libname library 'Your file location' ;\r\n"
-    "/* I94CIT & I94RES - This format shows all the valid and invalid codes; values below */\r\n"
+    "title 'code lists for the parser test' ;\r\n"
+    "/* country codes; the word values inside a comment must not open a block */\r\n"
     "  value i94cntyl\r\n"
     "   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'\r\n"
     "     0 =  'INVALID: STATELESS'\r\n"
