@@ -5,9 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stellate.llm.arc_warc import convert_pages
 from stellate.llm.common import table
+from stellate.llm.crf_lang import identify
+from stellate.llm.hilbert import hilbert_shards
+from stellate.llm.length_buckets import pack
+from stellate.llm.line_dedup import dedup_lines
+from stellate.llm.mixing import mix
+from stellate.llm.perm_index import nearest, usable
+from stellate.llm.stream_dedup import exact_dedup
 from stellate.llm.tensor_minhash import near_duplicates
+from stellate.llm.weak_quality import classify_quality
+
+
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak-label posterior, linear score and decision for every document."""
+    return classify_quality(table(spark, sf_dir, "documents"))
+
+
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose vec_id is divisible by 20, among all others."""
+    vectors = usable(table(spark, sf_dir, "embeddings"))
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and digest of the remaining text for every document."""
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("clean_text", "UTF-8"), 256).alias("clean_sha256"))
+
+
+def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of every document at the default target weights."""
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of every document."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op6_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies of every document, through the keyed state of a stream."""
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("file", "row")
+
+
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through ARC and WARC archives and back."""
+    return convert_pages(table(spark, sf_dir, "pages")).drop("url", "date")
 
 
 def op8_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +62,54 @@ def op8_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document along the curve over source, lang and size."""
+    return hilbert_shards(table(spark, sf_dir, "documents"))
+
+
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op8_tensor_minhash": op8_tensor_minhash,
+    f.__name__: f
+    for f in (op1_weak_quality, op2_permutation_index, op3_line_windows, op4_soft_mixing, op5_length_buckets, op6_stream_dedup,
+              op7_arc_to_warc, op8_tensor_minhash, op9_hilbert_shards, op10_crf_language)
 }
 
+LINES_SQL = """
+WITH l AS (
+  SELECT doc_id, ls, unnest(range(0, len(ls))) AS pos
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+r AS (SELECT doc_id, pos, ls[pos + 1] AS line, rtrim(ls[pos + 1], ' ') AS t FROM l),
+w AS (SELECT doc_id, pos, t AS a, lead(t, 1) OVER d AS b, lead(t, 2) OVER d AS c FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+g AS (SELECT doc_id, pos, first_value(doc_id) OVER k AS fd, first_value(pos) OVER k AS fp, count(*) OVER (PARTITION BY a, b, c) AS n
+      FROM w WHERE c IS NOT NULL AND a || b || c <> '' WINDOW k AS (PARTITION BY a, b, c ORDER BY doc_id, pos)),
+v AS (SELECT doc_id, CASE WHEN doc_id = fd THEN greatest(pos, fp + 3) ELSE pos END AS lo, pos + 2 AS hi
+      FROM g WHERE n > 1 AND NOT (doc_id = fd AND pos = fp)),
+x AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM v WHERE lo <= hi),
+k AS (SELECT r.doc_id, count(*) AS n_lines, count(x.pos) AS n_removed,
+             coalesce(string_agg(r.line, chr(10) ORDER BY r.pos) FILTER (x.pos IS NULL), '') AS clean
+      FROM r LEFT JOIN x ON x.doc_id = r.doc_id AND x.pos = r.pos GROUP BY r.doc_id)
+SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(k.clean) AS clean_sha256
+FROM documents d LEFT JOIN k USING (doc_id)
+"""
+
+EXACT_SQL = """
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER k AS keep_id, count(*) OVER k AS group_size, doc_id = min(doc_id) OVER k AS kept, sha256(t) AS text_sha256
+FROM n WINDOW k AS (PARTITION BY t)
+"""
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, '')))::BIGINT AS n FROM pages),
+g AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first_id FROM p)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM g
+"""
+
 NEAR_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -38,6 +129,11 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# Trained models (1, 4, 10), the approximate search (2), dynamic programming with hash-ordered batches (5) and the curve
+# with CRC-32 (9) are not expressed in SQL; tests/llm compares them with brute force or held-out labels.
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_windows": LINES_SQL,
+    "op6_stream_dedup": EXACT_SQL,
+    "op7_arc_to_warc": WARC_SQL,
     "op8_tensor_minhash": NEAR_SQL,
 }
