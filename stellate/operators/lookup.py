@@ -1,7 +1,7 @@
 """Code-list lookups: left joins of a fact onto small (code, label) lists.
 
-A lookup side is broadcast only after its row count has been checked against
-a bound; beyond the bound the join is left to the planner (sort-merge, or a
+A lookup side is broadcast only after its rows and bytes have been counted
+against bounds; beyond them the join is left to the planner (sort-merge, or a
 runtime broadcast chosen by adaptive execution).
 """
 
@@ -13,23 +13,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest lookup side (rows) that is broadcast without asking the planner.
+# Largest lookup side (rows, and bytes as JSON text) that is broadcast without asking the planner.
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (rendered as JSON).
+
+    Both are partial aggregates: each task sends one row of totals, never the rows themselves.
+    """
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    total = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return total["rows"] <= max_rows and total["bytes"] <= max_bytes
 
 
 def bounded_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None
 ) -> DataFrame:
-    """``F.broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+    """``F.broadcast(df)`` if it is within the bounds of ``fits``, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows of the small side.  When the
+    The check is one pass of partial totals over the small side.  When the
     small side is the result of an expensive plan, materialize it first
     (``stellate.session.cut_lineage``) so the check and the broadcast do not
     both recompute it.
@@ -86,6 +92,19 @@ def _join_prepared(
     return joined.withColumn(out, value).drop(key_name, value_name)
 
 
+def merged_codes(codes: DataFrame, to: T.DataType | str, code_key: str = "code", label: str = "label") -> DataFrame:
+    """(code, codes, labels): text codes that meet in one value of type ``to`` (``'1'`` and ``'01'``) with different labels.
+
+    ``decode`` takes the greatest label of such a code; this report shows which lists need a look first.
+    """
+    value = F.trim(F.col(code_key)).try_cast(to)
+    return (
+        codes.select(value.alias("code"), F.col(code_key).alias("_c"), F.col(label).alias("_l")).where(F.col("code").isNotNull())
+        .groupBy("code").agg(F.countDistinct("_c").alias("codes"), F.countDistinct("_l").alias("labels"))
+        .where("codes > 1 and labels > 1")
+    )
+
+
 def decode(
     df: DataFrame,
     code_col: str,
@@ -111,7 +130,7 @@ def decode(
     """
     lk, fact_cast = _prepare(_field_type(df, code_col), codes, code_key, label, unique)
     # the prepared side has at most as many rows as the raw list, so checking
-    # the raw list (a scan with a limit, no shuffle) bounds it
+    # the raw list (no shuffle of rows) bounds it
     small = known_rows <= max_broadcast_rows if known_rows is not None else fits(codes, max_broadcast_rows)
     return _join_prepared(df, code_col, lk, fact_cast, out, small, default)
 

@@ -1,13 +1,14 @@
 """Session defaults and the shared scratch location.
 
 Scratch output (checkpoints, round-trip tables, rendered fixtures) always goes
-under the folder the cluster names in ``spark.checkpoint.dir``.  A private
-temporary folder is only created when that setting is absent, which happens in
-local tests.
+under the folder the cluster names in ``spark.checkpoint.dir``.  Where that
+setting is absent a private folder serves a local master, as in tests; any
+other master is refused, because its executors could not see the folder.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -64,7 +65,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only reached when nothing is configured (local tests).
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stellate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

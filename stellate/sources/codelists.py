@@ -23,18 +23,28 @@ BLOCK_PATTERN = r"(?ms)^[ \t]*value[ \t]+\$?\w+\s[^;]*;"
 NAME_PATTERN = r"value[ \t]+\$?(\w+)"
 # One entry: a quoted or bare code, "=", a quoted label in which '' is a quote.
 ENTRY_PATTERN = r"(?m)^[ \t]*('[^'\r\n]*'|-?\w+)[ \t]*=[ \t]*'((?:[^'\r\n]|'')*)'"
-# Block comments, removed before parsing.
-COMMENT_PATTERN = r"(?s)/\*.*?\*/"
-
-CODELIST_SCHEMA = "list_name string, code string, label string"
+# Pieces of the text: a quoted string of one line, a block comment, or anything between.
+PIECE_PATTERN = r"(?s)'[^'\r\n]*'|/\*.*?\*/|[^'/]+|['/]"
+# A ";" inside quotes is held back as the first of these characters until the blocks are cut.
+HELD = "\ue000\ue001"
+
+
+def _protected(text: Column) -> Column:
+    """The text without comments, its quoted ``;`` held back; quotes hide both ``;`` and ``/*``."""
+    piece = F.transform(
+        F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0)),
+        lambda p: F.when(p.startswith("/*"), F.lit(" "))
+        .when(p.startswith("'"), F.translate(p, ";" + HELD[0], HELD)).otherwise(p),
+    )
+    return F.array_join(piece, "")
 
 
 def _clean_code(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"^'|'$", ""))
+    return F.trim(F.translate(F.regexp_replace(c, r"^'|'$", ""), HELD, ";" + HELD[0]))
 
 
 def _clean_label(c: Column) -> Column:
-    return F.trim(F.translate(F.replace(c, F.lit("''"), F.lit("'")), "\t", ""))
+    return F.trim(F.translate(F.replace(c, F.lit("''"), F.lit("'")), HELD + "\t", ";" + HELD[0]))
 
 
 def parse_code_lists(
@@ -46,10 +56,9 @@ def parse_code_lists(
     labels.  When a code repeats inside a list the last entry wins.
     """
     raw = spark.read.text(paths, wholetext=True)
-    text = F.regexp_replace("value", COMMENT_PATTERN, " ")
     blocks = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.posexplode(F.regexp_extract_all(text, F.lit(BLOCK_PATTERN), 0)).alias("_bpos", "_block"),
+        F.posexplode(F.regexp_extract_all(_protected(F.col("value")), F.lit(BLOCK_PATTERN), 0)).alias("_bpos", "_block"),
     )
     entries = blocks.select(
         "_file",
@@ -103,21 +112,19 @@ def render_code_list(
 
     The output has one string column ``value`` suitable for ``write.text``.
     Lines end in CRLF, codes are quoted, codes and labels are tab-padded and
-    quotes in labels are doubled, as in hand-written label files (codes
-    themselves must not contain quotes).  A list longer than ``max_entries``
+    quotes in labels are doubled, as in hand-written label files.  What the
+    format cannot carry is refused: line breaks and tabs in either, quotes in
+    codes, the two characters the parser reserves.  A list longer than ``max_entries``
     is cut into several blocks of the same name by a hash of the code, so no
     block (one row, built in one task) grows with the data; the parser merges
     blocks of one name.
     """
     from stellate.operators.lookup import bounded_broadcast
 
-    line = F.concat(
-        F.lit("\t'"),
-        F.col(code_col).cast("string"),
-        F.lit("'\t=\t'"),
-        F.replace(F.col(label_col).cast("string"), F.lit("'"), F.lit("''")),
-        F.lit("'"),
-    )
+    code, label = F.col(code_col).cast("string"), F.col(label_col).cast("string")
+    refused = F.rlike(code, F.lit(f"['\t\r\n{HELD}]")) | F.rlike(label, F.lit(f"[\t\r\n{HELD}]"))
+    line = F.when(refused, F.raise_error(F.concat(F.lit("a code list cannot carry code "), code, F.lit(" with label "), label))).otherwise(
+        F.concat(F.lit("\t'"), code, F.lit("'\t=\t'"), F.replace(label, F.lit("'"), F.lit("''")), F.lit("'")))
     sizes = df.groupBy(F.col(list_col).alias("_list")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).cast("long").alias("_chunks")
     )

@@ -36,29 +36,12 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
-# Schemas of source tables inferred so far, by path (source tables are read-only).
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
-def read_table(
-    spark: SparkSession,
-    base: str,
-    name: str,
-    columns: Iterable[str] | None = None,
-    reuse_schema: bool = True,
-) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Scan one parquet table; ``columns`` narrows the ReadSchema at the scan.
 
-    The schema is inferred (a footer read on the driver) the first time a
-    path is read and declared on later reads, so building a plan that reads
-    many tables does not repeat that work.  Pass ``reuse_schema=False`` for a
-    path whose files may have been replaced with a different schema.
+    The schema is read from the files each time, so a rewritten table shows its new columns.
     """
-    path = table_path(base, name)
-    known = _SCHEMAS.get(path) if reuse_schema else None
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if known is None:
-        _SCHEMAS[path] = df.schema
+    df = spark.read.parquet(table_path(base, name))
     return df.select(*columns) if columns else df
 
 
