@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellate.operators.profile import completeness
 
@@ -57,6 +58,19 @@ def filter_not_sentinel(df: DataFrame, col: str, sentinel: str = "None") -> Data
     return df.filter(F.col(col) != F.lit(sentinel))
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType)
+
+
+def _orderable(df: DataFrame, name: str) -> Column:
+    c = F.col(f"`{name}`")
+    return F.to_json(F.struct(c)) if _has_map(df.schema[name].dataType) else c
+
+
 def dedup_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -74,7 +88,15 @@ def dedup_by_key(
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order = [c for c in (order_by or []) if c not in keys]
-    fields = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)]
+    # a type without an order (MAP, also nested) is ranked by its JSON text
+    fields = [_orderable(df, c).alias(f"_o{i}") for i, c in enumerate(order)]
+    fields += [_orderable(df, c).alias(f"_t{i}") for i, c in enumerate(rest) if _has_map(df.schema[c].dataType)]
+    if any(_has_map(df.schema[c].dataType) for c in rest):
+        ordered = F.struct(*fields, *[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(rest) if not _has_map(df.schema[c].dataType)])
+        whole = F.struct(*[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)])
+        by = F.min_by if keep == "first" else F.max_by
+        agg = df.groupBy(*keys).agg(by(whole, ordered).alias("_s"))
+        return agg.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_s._r{rest.index(c)}").alias(c) for c in df.columns])
     fields += [F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)]
     if not rest:
         return df.select(*keys).distinct()
@@ -84,11 +106,6 @@ def dedup_by_key(
     return agg.select(*[F.col(f"`{c}`") if c in keys else out[c].alias(c) for c in df.columns])
 
 
-def drop_duplicates_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key with an arbitrary survivor (Spark's ``dropDuplicates``)."""
-    return df.dropDuplicates(list(keys))
-
-
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """rows_in, rows_out, duplicate_rows, duplicated_keys in one aggregate pass.
 

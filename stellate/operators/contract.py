@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.casts import tolerant_cast
+from stellate.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,11 @@ class Contract:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    def without(self, *names: str) -> Contract:
+        """The same rules without some columns (and without a key that uses them)."""
+        key = () if set(names) & set(self.primary_key) else self.primary_key
+        return Contract(self.name, tuple(c for c in self.columns if c.name not in names), key)
+
     def ddl(self, using: str = "parquet") -> str:
         cols = ", ".join(f"`{c.name}` {c.dtype}" for c in self.columns)
         return f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}) USING {using}"
@@ -68,24 +75,36 @@ def apply_contract(df: DataFrame, contract: Contract, strict: bool = False) -> D
     return df.select(*out)
 
 
-def violation_reasons(contract: Contract) -> Column:
-    """Array of constraint violations of a conformed row (empty when valid)."""
+def violations(contract: Contract) -> list[tuple[Column, str]]:
+    """(broken, reason) of every constraint; ``broken`` is never NULL."""
     checks = []
     for c in contract.columns:
         if not c.nullable:
-            checks.append(F.when(F.col(f"`{c.name}`").isNull(), F.lit(f"{c.name} is null")))
+            checks.append((F.col(f"`{c.name}`").isNull(), f"{c.name} is null"))
         if c.max_length is not None:
-            checks.append(
-                F.when(
-                    F.length(F.col(f"`{c.name}`")) > c.max_length,
-                    F.lit(f"{c.name} longer than {c.max_length}"),
-                )
-            )
-    if not checks:
-        return F.array().cast("array<string>")
-    # array_compact drops the NULLs of passed checks; unlike a lambda filter
-    # it is an ordinary generated-code expression, and it runs on every row
-    return F.array_compact(F.array(*checks))
+            too_long = F.coalesce(F.length(F.col(f"`{c.name}`")) > c.max_length, F.lit(False))
+            checks.append((too_long, f"{c.name} longer than {c.max_length}"))
+    return checks
+
+
+def _any(checks: Sequence[tuple[Column, str]]) -> Column:
+    return reduce(lambda a, b: a | b, [broken for broken, _ in checks], F.lit(False))
+
+
+def _reasons(checks: Sequence[tuple[Column, str]]) -> Column:
+    """The reasons of the broken checks as an array, by concatenation (no lambda, stays in generated code)."""
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(broken, F.array(F.lit(reason))).otherwise(none) for broken, reason in checks])
+
+
+def violation_reasons(contract: Contract) -> Column:
+    """Array of constraint violations of a conformed row (empty when valid)."""
+    return _reasons(violations(contract))
+
+
+def is_violated(contract: Contract) -> Column:
+    """Whether a conformed row breaks any constraint: an ``OR`` of the plain checks."""
+    return _any(violations(contract))
 
 
 def _flag_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -118,26 +137,24 @@ def enforce_contract(
     """(valid, rejects) of an already conformed DataFrame.
 
     ``rejects`` carries a ``reasons`` array.  With ``check_key`` every row
-    whose primary key value is shared by another row is rejected too.  In
+    whose primary key value is shared by another row is rejected too (a NULL
+    key is left to the NOT NULL check).  In
     ``mode='fail'`` a violation raises (one bounded ``limit(1)`` probe) and
-    ``rejects`` is empty.  Both outputs filter the same tagged rows; with
-    ``materialize`` those rows are checkpointed once so consuming both does
-    not compute ``df`` twice.
+    ``rejects`` is empty.  Rows are split on a plain boolean, and only rejected
+    rows build their reasons; with ``materialize`` the rows are written once to
+    the shared folder (as Parquet), so consuming both does not compute ``df`` twice.
     """
-    reasons = violation_reasons(contract)
+    checks, columns = violations(contract), df.columns
     if check_key and contract.primary_key:
         df = _flag_duplicate_keys(df, contract.primary_key)
-        key_reason = F.when(
-            F.col("_dup_key"), F.array(F.lit(f"{', '.join(contract.primary_key)} duplicated"))
-        ).otherwise(F.array().cast("array<string>"))
-        reasons = F.concat(reasons, key_reason)
-    tagged = df.withColumn("_reasons", reasons).drop("_dup_key")
+        checks.append((F.col("_dup_key"), f"{', '.join(contract.primary_key)} duplicated"))
     if materialize:
-        from stellate.session import cut_lineage
-
-        tagged = cut_lineage(tagged)
-    valid = tagged.filter(F.size("_reasons") == 0).drop("_reasons")
-    rejects = tagged.filter(F.size("_reasons") > 0).withColumnRenamed("_reasons", "reasons")
+        path = scratch_path(df.sparkSession, f"split-{contract.name}")
+        df.write.parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
+    broken = _any(checks)
+    valid = df.filter(~broken).select(*[F.col(f"`{c}`") for c in columns])
+    rejects = df.filter(broken).withColumn("reasons", _reasons(checks)).drop("_dup_key")
     if mode == "fail":
         first = rejects.limit(1).collect()
         if first:

@@ -6,9 +6,10 @@ Plan:
    as the full ordering is unique) and sort within partitions; the number of
    ranges follows the session (``spark.sql.shuffle.partitions``, coalesced by
    adaptive execution) unless given;
-2. reliable checkpoint into the shared checkpoint folder: partition contents
-   are now fixed, so the two reads below agree, and a lost executor re-reads
-   the checkpoint instead of re-running the sample and shuffle;
+2. one Parquet write into the shared scratch folder, each row with its
+   partition and place inside it: partition contents are now fixed, the two
+   reads below agree and prune columns, and a lost executor re-reads the files
+   instead of re-running the sample and shuffle;
 3. count rows per partition (one number per partition, the same first pass
    ``RDD.zipWithIndex`` makes), turn the counts into running offsets and
    broadcast them (their size is the partition count, not the data);
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.operators.lookup import bounded_broadcast
-from stellate.session import cut_lineage
+from stellate.session import scratch_path
 
 # Partitions above this many would make the offset table too large to broadcast.
 MAX_OFFSET_PARTITIONS = 1_000_000
@@ -47,12 +48,12 @@ def dense_key(
     else:
         ranged = df.repartitionByRange(*order_by)
     ranged = ranged.sortWithinPartitions(*order_by)
-    frozen = cut_lineage(ranged)
-    tagged = frozen.select(
-        "*",
-        F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid"),
-    )
+    path = scratch_path(df.sparkSession, "dense-key")
+    # monotonically_increasing_id = (partition index << 33) + row index in the partition
+    ranged.select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
+    ).write.parquet(path)
+    tagged = df.sparkSession.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()
     offsets_rows, running = [], 0
     for r in sorted(counts, key=lambda r: r["_pid"]):
@@ -60,7 +61,6 @@ def dense_key(
         running += r["_cnt"]
     offsets = df.sparkSession.createDataFrame(offsets_rows, "_pid int, _off long")
     offsets = bounded_broadcast(offsets, MAX_OFFSET_PARTITIONS, known_rows=len(offsets_rows))
-    # monotonically_increasing_id = (partition index << 33) + row index in the partition
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return (
         tagged.join(offsets, "_pid")

@@ -8,6 +8,7 @@ join key first (a city with several demographic rows counts once).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +39,12 @@ def by_month_and_place(
 
 
 def drill_across(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two aggregates on their shared grain columns."""
-    return left.join(right, list(keys), "full")
+    """Full outer join of two aggregates on their shared grain columns.
 
+    Keys are compared null-safely: an unknown place is one row, not one per fact.
+    """
+    keys = list(keys)
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    rest = [left[c] for c in left.columns if c not in keys] + [right[c] for c in right.columns if c not in keys]
+    return left.join(right, same, "full").select(*[F.coalesce(left[k], right[k]).alias(k) for k in keys], *rest)
 
-def collapse_to_key(dim: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
-    """Reduce a dimension to one row per join key before it meets a fact."""
-    return dim.groupBy(*keys).agg(*measures)

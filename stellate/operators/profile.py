@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    """Global count as a one-row DataFrame (``row_count``)."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"))
-
-
 def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Non-null count and percentage per column, long format, least complete first.
 

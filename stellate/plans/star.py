@@ -23,6 +23,7 @@ from stellate.operators.contract import Col, Contract
 from stellate.operators.dims import distinct_dates, time_dimension
 from stellate.operators.keys import dense_key
 from stellate.operators.lookup import decode, decode_roles
+from stellate.session import cut_lineage
 from stellate.sources.codelists import code_list, inline_code_list
 
 # Columns dropped as mostly empty or unused.
@@ -34,8 +35,10 @@ AIRPORT_DROP = ("coordinates", "Latitude", "Longitude", "local_code", "gps_code"
 COUNTRY_LIST = "i94cntyl"
 MODE_LIST = "i94model"
 STATE_LIST = "i94addrl"
+PORT_LIST = "i94prtl"
 VISA_CODES = {"1": "Business", "2": "Pleasure", "3": "Student"}
 
+# Names and types of the five target tables.
 IMMIGRATION = Contract(
     "immigration",
     (
@@ -122,6 +125,13 @@ TIME = Contract(
 
 CONTRACTS = {c.name: c for c in (IMMIGRATION, TEMPERATURE, AIRPORT, DEMOGRAPHICS, TIME)}
 
+# Text columns of the cleaned sources and the types they are cast to.
+CASTS = {
+    "temperature": {"dt": "date", "AverageTemperature": "double", "AverageTemperatureUncertainty": "double"},
+    "demographics": {"Median_Age": "double", "Total_Population": "int", "Count": "int"},
+    "airport": {"elevation_ft": "int"},
+}
+
 # Audited columns of the completeness check, per table.
 AUDITED = {
     "immigration": ("arrival_date", "departure_date", "port"),
@@ -166,24 +176,36 @@ def clean_demographics(df: DataFrame) -> DataFrame:
 # ---- conform -------------------------------------------------------------
 
 def immigration_lookups(spark: SparkSession, parsed_lists: DataFrame) -> dict[str, DataFrame]:
-    """The four lookups from a parsed label file plus the inline visa list."""
+    """The lookups from a parsed label file plus the inline visa list.
+
+    The parsed lists are materialized once, so size checks and joins do not
+    parse the label files again.
+    """
+    parsed_lists = cut_lineage(parsed_lists)
     return {
         "country": code_list(parsed_lists, COUNTRY_LIST),
         "mode": code_list(parsed_lists, MODE_LIST),
         "state": code_list(parsed_lists, STATE_LIST),
+        "port": code_list(parsed_lists, PORT_LIST),
         "visa": inline_code_list(spark, VISA_CODES),
     }
 
 
-def conform_immigration(df: DataFrame, lookups: dict[str, DataFrame], state_default: str | None = None) -> DataFrame:
+def conform_immigration(
+    df: DataFrame, lookups: dict[str, DataFrame], state_default: str | None = None, port_names: bool = False
+) -> DataFrame:
     """Decode the five codes, convert day numbers to dates and type the columns.
 
     ``visa`` is the category label and ``type`` the class of admission.
+    ``port`` stays the code (the key of the airport table); ``port_names``
+    adds its label as ``port_name``.
     """
     d = decode_roles(df, lookups["country"], {"birth_country": "i94cit", "residence_country": "i94res"})
     d = decode(d, "i94mode", lookups["mode"], "mode")
     d = decode(d, "i94addr", lookups["state"], "state", default=state_default)
     d = decode(d, "i94visa", lookups["visa"], "visa", known_rows=len(VISA_CODES), unique=True)
+    if port_names:
+        d = decode(d, "i94port", lookups["port"], "port_name")
     types = {f.name: f.dataType for f in df.schema.fields}
     return d.select(
         tolerant_cast("cicid", "bigint", types.get("cicid")).alias("id"),
@@ -199,9 +221,23 @@ def conform_immigration(df: DataFrame, lookups: dict[str, DataFrame], state_defa
         "mode",
         "state",
         F.col("visatype").alias("type"),
+        *(["port_name"] if port_names else []),
     )
 
 
+# Orderings of the numbered tables; together with every other column they identify a row.
+ID_ORDER = {
+    "temperature": ("country", "city", "date", "average_temp", "uncertanty"),
+    "demographics": ("state_code", "city", "race", "count"),
+}
+
+
+def number_rows(name: str, df: DataFrame) -> DataFrame:
+    """Dense ``id`` from 0 for a conformed table; ties in the leading order go by the other columns."""
+    order = ID_ORDER[name]
+    return dense_key(df, [*order, *[c for c in df.columns if c not in order]])
+
+
 def conform_temperature(df: DataFrame, with_id: bool = True) -> DataFrame:
     """Typed measurements: text date with ``yyyy-MM-dd``, tolerant doubles, dense ``id``."""
     out = df.select(
@@ -212,7 +248,7 @@ def conform_temperature(df: DataFrame, with_id: bool = True) -> DataFrame:
         tolerant_cast("AverageTemperatureUncertainty", "double").alias("uncertanty"),
     )
     if with_id:
-        out = dense_key(out, ["country", "city", "date", "average_temp", "uncertanty"])
+        out = number_rows("temperature", out)
     return out
 
 
@@ -233,7 +269,7 @@ def conform_demographics(df: DataFrame, with_id: bool = True) -> DataFrame:
         F.col("City").alias("city"),
     )
     if with_id:
-        out = dense_key(out, ["state_code", "city", "race", "count"])
+        out = number_rows("demographics", out)
     return out
 
 
@@ -277,15 +313,20 @@ def arrivals_by_city(immigration: DataFrame, airport: DataFrame, demo: DataFrame
     city-grain demographics on municipality and state (region ``US-CA`` -> ``CA``).
 
     Airports and cities are collapsed to one row per join key first, so the
-    fact's rows never multiply.
+    fact's rows never multiply; of several airports of one code the first by
+    (municipality, state, id) is taken whole, airports without a municipality last.
     """
+    place = F.struct(
+        F.col("municipality").isNull().alias("unknown"),
+        "municipality",
+        F.regexp_extract("region", r"-(\w+)$", 1).alias("state_code"),
+        "id",
+    )
     ports = (
         airport.filter(F.col("iata_code").isNotNull())
         .groupBy("iata_code")
-        .agg(
-            F.min("municipality").alias("municipality"),
-            F.min(F.regexp_extract("region", r"-(\w+)$", 1)).alias("state_code"),
-        )
+        .agg(F.min(place).alias("p"))
+        .select("iata_code", "p.municipality", "p.state_code")
     )
     cities = demographics_by_city(demo)
     monthly = immigration.groupBy(
@@ -317,31 +358,48 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Clean, conform, check and write the five tables under ``base``.
 
-    Per table the conformed rows are tagged with contract violations and
-    checkpointed once, so the valid rows (written to ``base/<table>``) and the
-    rejected rows (``base/_rejects/<table>``, with reasons) come from one
-    computation.  Returns report DataFrames: ``load`` (rows and seconds per
-    table), ``row_counts`` (written vs read back), ``completeness`` (audited
-    columns of the loaded tables) and ``rejects`` (rows per table and reason).
+    Per table the conformed rows are written once to the scratch folder and
+    split by the contract (primary keys included) into valid rows (numbered
+    where the table has a generated id, then written to ``base/<table>``) and
+    rejected rows (``base/_rejects/<table>``, with reasons).  Returns report
+    DataFrames: ``load`` (rows and seconds per table), ``row_counts`` (written
+    vs read back), ``completeness`` (audited columns of the loaded tables),
+    ``rejects`` (rows per table and reason), ``sources`` (rows read per
+    source), ``duplicates`` (rows a key de-duplication removes) and
+    ``cast_losses`` (values the typed columns could not take).
     """
     from functools import reduce
 
+    from stellate.functions.casts import cast_loss_report
+    from stellate.operators.clean import duplicate_report
     from stellate.operators.contract import enforce_contract, reject_summary
     from stellate.operators.quality import completeness_audit, counts_frame, row_count_check
     from stellate.plans.warehouse import read_counts, write_tables
     from stellate.sources.codelists import parse_code_lists
 
+    sources = {"immigration": immigration, "temperature": temperature, "demographics": demographics, "airport": airport}
     lookups = immigration_lookups(spark, parse_code_lists(spark, label_paths))
+    cleaned = {
+        "temperature": clean_temperature(temperature),
+        "demographics": clean_demographics(demographics),
+        "airport": clean_airport(airport),
+    }
     conformed = {
         "immigration": conform_immigration(clean_immigration(immigration), lookups, state_default),
-        "temperature": conform_temperature(clean_temperature(temperature)),
-        "demographics": conform_demographics(clean_demographics(demographics)),
-        "airport": conform_airport(clean_airport(airport)),
+        "temperature": conform_temperature(cleaned["temperature"], with_id=False),
+        "demographics": conform_demographics(cleaned["demographics"], with_id=False),
+        "airport": conform_airport(cleaned["airport"]),
     }
     valid, rejects = {}, {}
     for name, df in conformed.items():
-        valid[name], rejects[name] = enforce_contract(df, CONTRACTS[name], materialize=True)
-    valid["time"] = build_time(valid["immigration"], valid["temperature"])
+        numbered = name in ID_ORDER
+        rules = CONTRACTS[name].without("id") if numbered else CONTRACTS[name]
+        # a generated id is given to the rows that are loaded, so it is dense and cannot repeat
+        valid[name], rejects[name] = enforce_contract(df, rules, check_key=True, materialize=True)
+        if numbered:
+            valid[name] = number_rows(name, valid[name])
+    times = build_time(valid["immigration"], valid["temperature"])
+    valid["time"], rejects["time"] = enforce_contract(times, CONTRACTS["time"], check_key=True, materialize=True)
 
     base = base.rstrip("/")
     load = write_tables(spark, valid, base, sample_rows=sample_rows)
@@ -356,7 +414,14 @@ def build_warehouse(
         [reject_summary(spark.read.parquet(f"{base}/_rejects/{t}")).select(F.lit(t).alias("table_name"), "*")
          for t in rejects],
     )
+    counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in sources.items()]
+    keyed = {"immigration": (immigration, ["cicid"]), "airport": (airport, ["ident"])}
+    duplicates = [duplicate_report(df, keys).select(F.lit(t).alias("table_name"), "*") for t, (df, keys) in keyed.items()]
+    losses = [cast_loss_report(cleaned[t], CASTS[t]).select(F.lit(t).alias("table_name"), "*") for t in CASTS]
     return {
+        "sources": reduce(DataFrame.unionByName, counted),
+        "duplicates": reduce(DataFrame.unionByName, duplicates),
+        "cast_losses": reduce(DataFrame.unionByName, losses),
         "load": load,
         "row_counts": row_count_check(expected, actual),
         "completeness": audit,

@@ -13,8 +13,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellate.operators.contract import Contract, apply_contract
+from stellate.operators.profile import top_key_share
 from stellate.sources.tables import NO_COLUMNS
 
 
@@ -49,9 +51,12 @@ def write_tables(
     base: str,
     sample_rows: int | None = None,
     parallel: int = 4,
+    sample_order: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Write each table under ``base/<name>``; report (table_name, rows, seconds, path).
 
+    ``sample_rows`` writes the first rows of each table by ``sample_order[name]``,
+    by default by all its columns, so the sample is the same each time.
     Up to ``parallel`` writes run as concurrent Spark jobs, so small tables
     use free task slots instead of waiting for the largest one to finish.
     """
@@ -60,7 +65,8 @@ def write_tables(
         name, df = item
         path = f"{base.rstrip('/')}/{name}"
         t0 = time.perf_counter()
-        rows = write_counted(df, path, sample_rows=sample_rows)
+        order = (sample_order or {}).get(name) or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        rows = write_counted(df, path, sample_rows=sample_rows, sample_order=order)
         return name, rows, time.perf_counter() - t0, path
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -155,13 +161,18 @@ def choose_buckets(
     df: DataFrame, rows_per_bucket: int = 4_000_000, max_buckets: int = 65_536
 ) -> int:
     """Bucket count from the data volume: about ``rows_per_bucket`` rows per
-    bucket, at least the cluster's default parallelism, at most ``max_buckets``.
+    bucket, at least the cluster's default parallelism.
 
     Tables that will be joined must share one count: size it on the larger.
+    A table that asks for more than ``max_buckets`` is refused: raise the
+    bound or ``rows_per_bucket`` knowingly, instead of getting larger buckets.
     """
     rows = df.count()
     floor = df.sparkSession.sparkContext.defaultParallelism
-    return int(min(max_buckets, max(floor, -(-rows // rows_per_bucket))))
+    buckets = int(max(floor, -(-rows // rows_per_bucket)))
+    if buckets > max_buckets:
+        raise ValueError(f"{rows} rows ask for {buckets} buckets, more than {max_buckets}")
+    return buckets
 
 
 def save_bucketed(
@@ -171,15 +182,27 @@ def save_bucketed(
     buckets: int,
     path: str | None = None,
     mode: str = "overwrite",
+    files_per_bucket: int | None = None,
 ) -> DataFrame:
     """Store ``df`` bucketed and sorted by ``key`` as a catalog table.
 
     Two tables bucketed the same way on the join key join without a shuffle.
-    ``path`` makes it an external table in a shared folder.
+    ``path`` makes it an external table in a shared folder.  A bucket is
+    written as up to ``files_per_bucket`` files by as many tasks, dealt by a
+    hash of the whole row (the same on a retry), so a key holding a large
+    share of the rows does not land in one write task.  By default the number
+    follows the largest key's share: one file for an even table.
     """
-    # one shuffle into exactly the bucket layout: one file per bucket instead
-    # of one per (task, bucket)
-    laid_out = df.repartition(buckets, *key)
+    if files_per_bucket is None:
+        top = top_key_share(df, key, n=1).collect()  # one row
+        files_per_bucket = max(1, -(-int(top[0]["share"] * buckets * 1000) // 1000)) if top else 1
+    if files_per_bucket == 1:
+        # one shuffle into exactly the bucket layout: one file per bucket instead of one per (task, bucket)
+        laid_out = df.repartition(buckets, *key)
+    else:
+        bucket = F.pmod(F.hash(*key), F.lit(buckets))  # the hash that bucketBy uses
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_bucket))
+        laid_out = df.repartition(buckets * min(files_per_bucket, 8), bucket, salt)
     writer = laid_out.write.mode(mode).format("parquet").bucketBy(buckets, *key).sortBy(*key)
     if path:
         writer = writer.option("path", path)
