@@ -9,9 +9,19 @@ round, so results are cast and truncated to Spark's types; its
 
 from __future__ import annotations
 
+from stellate.plans.star_queries import STAR_SQL
 from stellate.sources.tables import TABLES
 
-_NATION_R3 = "(SELECT n_nationkey, n_name FROM nation WHERE n_regionkey < 3)"
+_CUSTOMER_CODES = """
+    (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey FROM customer)
+"""
+
+_LINES = """
+    (SELECT CASE WHEN l_linenumber = 7 THEN l_suppkey + 1099511627776 WHEN l_linenumber = 6 THEN NULL ELSE l_suppkey END AS l_suppkey,
+            CASE WHEN l_linenumber = 5 AND l_orderkey % 4 = 0 THEN l_orderkey + 1099511627776 ELSE l_orderkey END AS l_orderkey,
+            l_linenumber, l_quantity, l_returnflag, l_linestatus, l_shipdate
+     FROM lineitem)
+"""
 
 _ORDERS_GAPS = """
     SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus, 'F') AS o_orderstatus, o_totalprice,
@@ -61,10 +71,13 @@ _ORDERS_MONTH_NATION = """
     GROUP BY 1, 2, 3
 """
 
-_LINES_MONTH_NATION = """
+_KNOWN_ORDERS_MONTH_NATION = _ORDERS_MONTH_NATION.replace(
+    "orders o JOIN customer c ON", "orders o LEFT JOIN customer c ON o.o_custkey % 10 <> 0 AND")
+
+_LINES_MONTH_NATION = f"""
     SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS INTEGER) AS month,
            n.n_name AS nation, avg(l.l_quantity) AS avg_quantity
-    FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    FROM {_LINES} l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
     LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
     GROUP BY 1, 2, 3
 """
@@ -87,7 +100,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "codelist_parse": """
         SELECT 'cust_' || CAST(c_custkey // 1000 AS VARCHAR) AS list_name, CAST(c_custkey AS VARCHAR) AS code,
-               c_name || '''s shop' AS label
+               c_name || '''s shop; /* open */ ''daily''' AS label
         FROM customer
     """,
     "codelist_inline": """
@@ -172,21 +185,21 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "code_lookup": f"""
         SELECT c_custkey, c_nationkey, n.n_name AS nation_name
-        FROM customer LEFT JOIN {_NATION_R3} n ON c_nationkey = n.n_nationkey
+        FROM {_CUSTOMER_CODES} c LEFT JOIN nation n ON c_nationkey = n.n_nationkey
     """,
     "code_lookup_typed": f"""
         SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS nation_code, n.n_name AS nation_name
-        FROM customer LEFT JOIN {_NATION_R3} n ON c_nationkey = n.n_nationkey
+        FROM {_CUSTOMER_CODES} c LEFT JOIN nation n ON c_nationkey = n.n_nationkey
     """,
     "code_lookup_default": f"""
         SELECT c_custkey, c_nationkey, COALESCE(n.n_name, 'Other') AS nation_name
-        FROM customer LEFT JOIN {_NATION_R3} n ON c_nationkey = n.n_nationkey
+        FROM {_CUSTOMER_CODES} c LEFT JOIN nation n ON c_nationkey = n.n_nationkey
     """,
     "role_playing_lookup": """
         SELECT cn.n_name AS customer_nation, sn.n_name AS supplier_nation, count(*) AS n_lines
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-        JOIN customer c ON o.o_custkey = c.c_custkey
-        JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        FROM """ + _LINES + """ l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+        LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+        LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
         LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
         LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey
         GROUP BY 1, 2
@@ -217,9 +230,9 @@ ORACLE_SQL: dict[str, str] = {
                CAST(l.l_shipdate AS DATE) AS ship_date, cn.n_name AS customer_nation, sn.n_name AS supplier_nation,
                CAST(trunc(l.l_quantity) AS INTEGER) AS quantity, st.label AS order_status,
                rf.label AS return_status, ls.label AS line_status
-        FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-        JOIN orders o ON l.l_orderkey = o.o_orderkey
-        JOIN customer c ON o.o_custkey = c.c_custkey
+        FROM """ + _LINES + """ l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+        LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+        LEFT JOIN customer c ON o.o_custkey = c.c_custkey
         LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
         LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey
         LEFT JOIN (VALUES ('F', 'Fulfilled'), ('O', 'Open'), ('P', 'Partial')) st(code, label) ON o.o_orderstatus = st.code
@@ -253,7 +266,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year,
                CAST(weekofyear(CAST(l_shipdate AS DATE)) AS INTEGER) AS week_of_year,
                count(*) AS n_lines, round(sum(l_quantity), 6) AS sum_qty
-        FROM lineitem GROUP BY 1, 2
+        FROM (SELECT CASE WHEN l_linenumber < 7 THEN l_shipdate END AS l_shipdate, l_quantity FROM lineitem) GROUP BY 1, 2
     """,
     "surrogate_key": """
         SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS id, o_orderkey, o_custkey FROM orders
@@ -277,7 +290,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "code_lookup_sql": f"""
         SELECT c_custkey, c_nationkey, n.n_name AS nation_name
-        FROM customer LEFT JOIN {_NATION_R3} n ON c_nationkey = n.n_nationkey
+        FROM {_CUSTOMER_CODES} c LEFT JOIN nation n ON c_nationkey = n.n_nationkey
     """,
     "contract_rejects": f"""
         WITH j AS ({_ORDER_LINES}),
@@ -302,6 +315,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
         GROUP BY 1
     """,
+    "load_report": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, true AS timed FROM {t}"
+        for t in ("part", "supplier", "customer", "orders", "lineitem")
+    ),
     "quality_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS expected, count(*) AS actual, CAST(0 AS BIGINT) AS missing, "
         f"true AS ok FROM {t}"
@@ -331,10 +348,11 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "arrivals_by_place": _ORDERS_MONTH_NATION,
     "drill_across": f"""
-        WITH a AS ({_ORDERS_MONTH_NATION}), b AS ({_LINES_MONTH_NATION})
+        WITH a AS ({_KNOWN_ORDERS_MONTH_NATION}), b AS ({_LINES_MONTH_NATION})
         SELECT COALESCE(a.year, b.year) AS year, COALESCE(a.month, b.month) AS month,
                COALESCE(a.nation, b.nation) AS nation, a.n_orders, round(b.avg_quantity, 6) AS avg_quantity
-        FROM a FULL JOIN b ON a.year = b.year AND a.month = b.month AND a.nation = b.nation
+        FROM a FULL JOIN b ON a.year IS NOT DISTINCT FROM b.year AND a.month IS NOT DISTINCT FROM b.month
+          AND a.nation IS NOT DISTINCT FROM b.nation
     """,
     "partition_pruned_read": """
         SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS order_year
@@ -342,4 +360,5 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "incremental_append": _ORDERS_SLIM,
     "incremental_stream": _ORDERS_SLIM,
+    **STAR_SQL,
 }
