@@ -17,7 +17,7 @@ SF0001 = "/root/testdata/sf0.001"
 def spark():
     s = build_session("local[*]", app_name="stellate-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(s)  # sets a private folder only when none is configured
+    checkpoint_root(s)  # a private folder: the master is local
     yield s
     s.stop()
 

@@ -143,6 +143,64 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_key_of_a_bucketed_table_is_written_by_several_tasks(spark):
+    df = spark.range(0, 60000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id"))
+    other = spark.range(0, 2000).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+    tag = scratch_path(spark, "h").rsplit("-", 1)[-1]
+    path = scratch_path(spark, "hot")
+    hot = warehouse.save_bucketed(df, f"hot_{tag}", ["k"], 8, path=path)
+    side = warehouse.save_bucketed(other, f"side_{tag}", ["k"], 8, path=scratch_path(spark, "side"))
+    files = spark.read.parquet(path).where("k = -1").groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 2 and max(r["count"] for r in files) < 15000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hot.join(side, "k")
+        assert "Exchange" not in _plan(joined) and joined.count() == df.where("k between 0 and 1999").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        warehouse.drop_tables(spark, [f"hot_{tag}", f"side_{tag}"])
+    with pytest.raises(ValueError):
+        warehouse.choose_buckets(df, rows_per_bucket=1, max_buckets=100)
+
+
+def test_size_check_sends_totals_only(spark):
+    # rows and bytes are bounded; no row passes through a single partition
+    df = spark.range(0, 1000).select("id", F.lit("x" * 100).alias("t"))
+    assert lookup.fits(df, 1000) and not lookup.fits(df, 999) and not lookup.fits(df, 1000, max_bytes=50_000)
+
+
+def test_rewritten_table_shows_its_new_columns(spark):
+    base = scratch_path(spark, "rewritten")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(f"{base}/t.parquet")
+    assert read_table(spark, base, "t").columns == ["k", "v"]
+    spark.createDataFrame([(1, 2.0)], "k int, n double").write.mode("overwrite").parquet(f"{base}/t.parquet")
+    assert read_table(spark, base, "t").collect()[0].asDict() == {"k": 1, "n": 2.0}
+
+
+def test_contract_split_uses_no_lambda(spark):
+    c = contract.Contract("o", (contract.Col("o_orderkey", "bigint", False), contract.Col("o_orderstatus", "string", False, 1)), ("o_orderkey",))
+    for df in contract.enforce_contract(contract.apply_contract(read_table(spark, SF001, "orders"), c), c, check_key=True):
+        assert "lambda" not in _plan(df)
+
+
+def test_dedup_takes_map_columns(spark):
+    df = spark.createDataFrame([(1, {"a": 2}, "y"), (1, {"a": 1}, "z"), (2, None, "x")], "k int, m map<string,int>, v string")
+    assert {(r.k, str(r.m), r.v) for r in clean.dedup_by_key(df, ["k"]).collect()} == {(1, "{'a': 1}", "z"), (2, "None", "x")}
+
+
+def test_drill_across_joins_unknown_places(spark):
+    from stellate.operators.marts import drill_across
+
+    a = spark.createDataFrame([(2020, None, 3)], "year int, place string, n int")
+    b = spark.createDataFrame([(2020, None, 1.5), (2021, "x", 2.0)], "year int, place string, q double")
+    assert sorted(tuple(r) for r in drill_across(a, b, ["year", "place"]).collect()) == [(2020, None, 3, 1.5), (2021, "x", None, 2.0)]
+
+
+def test_merged_codes_are_reported(spark):
+    codes = spark.createDataFrame([("1", "uno"), ("01", "eins"), ("2", "due"), ("x", "y")], "code string, label string")
+    assert [tuple(r) for r in lookup.merged_codes(codes, "int").collect()] == [(1, 2, 2)]
+
+
 def test_partition_pruning(spark):
     o = read_table(spark, SF001, "orders", ["o_orderkey", "o_orderdate"])
     path = scratch_path(spark, "pp")
@@ -165,6 +223,18 @@ def test_rename_keeps_hyphen(spark):
     assert clean.rename_columns(df).columns == ["Median_Age", "Foreign-born"]
 
 
+def test_no_machine_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from stellate.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(SimpleNamespace(sparkContext=context, conf=conf))
+
+
 def test_scratch_under_checkpoint_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert root and scratch_path(spark, "x").startswith(root.rstrip("/"))

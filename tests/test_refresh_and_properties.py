@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from stellate.functions.casts import tolerant_cast
 from stellate.session import scratch_path
 from stellate.sources.codelists import parse_code_lists, render_code_list
 from stellate.sources.tables import read_table
-from stellate.streaming.refresh import refresh_once, start_refresh
+from stellate.streaming.refresh import in_key_range, refresh_once, start_refresh
 from tests.conftest import SF001
 
 
@@ -20,13 +21,40 @@ def test_refresh_once_is_idempotent(spark):
     o = read_table(spark, SF001, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     target = scratch_path(spark, "refresh")
     first = o.filter(F.year("o_orderdate") < 1998)
-    assert refresh_once(spark, first, target, ["o_orderkey"]) == first.count()
-    assert refresh_once(spark, first, target, ["o_orderkey"]) == 0  # retried batch appends nothing
+    n = first.count()
+    assert refresh_once(spark, first, target, ["o_orderkey"]) == (n, 0, 0)
+    assert refresh_once(spark, first, target, ["o_orderkey"]) == (0, n, 0)  # retried batch appends nothing
     refresh_once(spark, o, target, ["o_orderkey"])
     out = spark.read.parquet(target)
     assert out.count() == o.count() == out.select("o_orderkey").distinct().count()
 
 
+def test_refresh_null_keys_changed_rows_and_new_columns(spark):
+    target = scratch_path(spark, "refresh-null")
+    batch = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b")], "k int, v string")
+    assert refresh_once(spark, batch, target, ["k"]) == (3, 0, 0)
+    assert refresh_once(spark, batch, target, ["k"]) == (0, 3, 0)  # the NULL key is known too
+    again = spark.createDataFrame([(1, "a2"), (2, "b"), (3, "c")], "k int, v string")
+    assert refresh_once(spark, again, target, ["k"]) == (1, 2, 1)
+    assert sorted((r.k or 0, r.v) for r in spark.read.parquet(target).collect()) == [(0, "n"), (1, "a"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError):
+        refresh_once(spark, again.withColumn("extra", F.lit(1)), target, ["k"])
+    broken = scratch_path(spark, "refresh-broken")
+    spark.createDataFrame([("x",)], "k string").write.text(broken)
+    with pytest.raises(Exception):  # not a parquet table: an error, not "no table yet"
+        refresh_once(spark, batch, broken, ["k"])
+
+
+def test_refresh_reads_only_the_batch_key_range(spark):
+    target = scratch_path(spark, "refresh-range")
+    spark.range(0, 1000).withColumn("day", (F.col("id") / 100).cast("int")).write.partitionBy("day").parquet(target)
+    batch = spark.createDataFrame([(990, 9), (2000, 9)], "id long, day int")
+    pruned = in_key_range(spark.read.parquet(target), batch, ["day", "id"])
+    plan = pruned._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and ">= 9" in plan and "GreaterThanOrEqual(id,990)" in plan
+    assert refresh_once(spark, batch, target, ["day", "id"]) == (1, 1, 0)
+
+
 def test_refresh_stream_survives_restart(spark):
     o = read_table(spark, SF001, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     drops, target, ckpt = (scratch_path(spark, n) for n in ("drops", "target", "ckpt"))
@@ -41,10 +69,29 @@ def test_refresh_stream_survives_restart(spark):
 
 
 _label_chars = st.text(
-    alphabet=string.ascii_letters + string.digits + " '-,.:()#&/", min_size=1, max_size=30
+    alphabet=string.ascii_letters + string.digits + " '\"-,.:;()#&/*=\u00e9", min_size=1, max_size=30
 ).filter(lambda s: s.strip() != "")
 
 
+def test_labels_with_separators_and_comment_marks(spark, tmp_path):
+    entries = {"1": "a; b", "2": "x /* y", "3": "it's", "4": "z */ w", "5": "; value foo 'q' = 'r';"}
+    rows = spark.createDataFrame([("lst", k, v) for k, v in entries.items()], "list_name string, code string, label string")
+    path = scratch_path(spark, "marks")
+    render_code_list(rows, "list_name", "code", "label").write.text(path)
+    assert {r.code: r.label for r in parse_code_lists(spark, path).collect()} == entries
+    for code, label in (("a'b", "x"), ("a", "x\ny"), ("a", "\ue000")):
+        with pytest.raises(Exception, match="cannot carry"):
+            render_code_list(spark.createDataFrame([("l", code, label)], rows.schema), "list_name", "code", "label").collect()
+
+
+def test_many_entries_in_one_block_parse(spark):
+    n = 9000  # one block: no pattern may recurse over it
+    rows = spark.range(n).select(F.lit("big").alias("l"), F.col("id").cast("string").alias("c"), F.concat(F.lit("it's; "), F.col("id")).alias("v"))
+    path = scratch_path(spark, "big")
+    render_code_list(rows, "l", "c", "v").coalesce(1).write.text(path)
+    assert parse_code_lists(spark, path).where("label = concat(\"it's; \", code)").count() == n
+
+
 @settings(max_examples=12, deadline=None, derandomize=True,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(

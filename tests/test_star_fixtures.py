@@ -16,6 +16,7 @@ from stellate.sources.codelists import code_list, parse_code_lists
 
 D = dt.date
 
+# List names and entries in the format of the source's label file.
 LABELS = (
     "/* country list used for birth and residence */\r\n"
     "  value i94cntyl\r\n"
@@ -334,6 +335,32 @@ def test_build_warehouse_end_to_end(spark, tmp_text):
     audit = {(r.table_name, r.column_name): r.pct for r in out["completeness"].collect()}
     assert audit[("airport", "iata_code")] == 100.0 and audit[("demographics", "city")] == 100.0
     assert len(audit) == 11
+    wh = out["load"].where("table_name = 'temperature'").first().path
+    for name, n in (("temperature", 2), ("demographics", 3)):
+        ids = [r.id for r in spark.read.parquet(wh.replace("temperature", name)).collect()]
+        assert sorted(ids) == list(range(n))  # numbered after the rejects left
+    assert {r.table_name: r.row_count for r in out["sources"].collect()}["immigration"] == 5
+    assert {r.table_name: r.duplicate_rows for r in out["duplicates"].collect()}["immigration"] == 1
+    assert {(r.table_name, r.column_name): r.lost for r in out["cast_losses"].collect()}[("temperature", "dt")] == 1
+
+
+def test_build_warehouse_rejects_merging_ids(spark, tmp_text):
+    from stellate.session import scratch_path
+
+    rows = [(i, *IMMI_ROWS[0][1:]) for i in (5.2, 5.7, 6.0)]
+    out = star.build_warehouse(
+        spark, spark.createDataFrame(rows, IMMI_SCHEMA), spark.createDataFrame(TEMP_ROWS, TEMP_SCHEMA),
+        spark.createDataFrame(DEMO_ROWS, ", ".join(f"`{c}` string" for c in DEMO_COLS)), spark.createDataFrame(AIRP_ROWS, AIRP_SCHEMA),
+        tmp_text("labels.txt", LABELS), scratch_path(spark, "wh"))
+    assert {(r.table_name, r.reason): r.n_rows for r in out["rejects"].collect()}[("immigration", "id duplicated")] == 2
+
+
+def test_conflicting_airports_give_one_whole_place(spark):
+    fact = spark.createDataFrame([(1, D(2016, 4, 1), "LAX")], "id int, arrival_date date, port string")
+    airport = spark.createDataFrame([("b", "Aaa", "US-NV", "LAX"), ("a", "Los Angeles", "US-CA", "LAX"), ("c", None, "US-AA", "LAX")],
+                                    "id string, municipality string, region string, iata_code string")
+    demo = spark.createDataFrame([("Aaa", "NV", 5, 1, 2.0), ("Aaa", "CA", 9, 1, 2.0)], "city string, state_code string, total_population int, foreign_born int, median_age double")
+    assert [tuple(r) for r in star.arrivals_by_city(fact, airport, demo).collect()] == [(2016, 4, "LAX", "Aaa", "NV", 1, 5)]
 
 
 def test_example_build_star_runs_on_raw_files(spark, tmp_path, capsys):
