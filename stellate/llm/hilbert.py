@@ -3,7 +3,7 @@
 Each metadata dimension is quantised to 2**bits cells of near equal row
 counts in the dimension's order (from exact counts of its distinct values).
 The cell coordinates become an index on the Hilbert curve (Skilling's
-transform, bitwise columns), rows are ordered by it, and the order is cut into
+transform, folded over the bits), rows are ordered by it, and the order is cut into
 runs: shard s holds the ranks from ceil(s*N/shards) on, so counts differ by
 one at most (law ``rows``).  Neighbouring cells lie in the same files, whose
 minima and maxima then prune on any of the dimensions.
@@ -15,7 +15,7 @@ checksum 0.  Repeated rows take neighbouring slots.  Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,36 +43,23 @@ def _cells(df: DataFrame, dim: str, bits: int, rows: int) -> DataFrame:
 def hilbert_index(df: DataFrame, axes: list[str], bits: int, out: str = "curve") -> DataFrame:
     """Adds the Hilbert curve index of integer coordinates 0 <= x < 2**bits.
 
-    Every step is one projection, so no expression is evaluated twice.
+    The steps of the transform fold over literal arrays, so the expressions stay small whatever the
+    optimizer inlines.
     """
     n = len(axes)
-    x = [f"_x{i}" for i in range(n)]
-    df = df.withColumns({x[i]: F.col(axes[i]) for i in range(n)})
-    col = lambda i: F.col(x[i])
-    for level in range(bits - 1, 0, -1):
-        bit, low = 1 << level, (1 << level) - 1
-        for i in range(n):
-            high = col(i).bitwiseAND(bit) != 0
-            swap = col(0).bitwiseXOR(col(i)).bitwiseAND(F.lit(low))
-            new = {x[0]: F.when(high, col(0).bitwiseXOR(F.lit(low))).otherwise(col(0).bitwiseXOR(swap))}
-            if i:
-                new[x[i]] = F.when(high, col(i)).otherwise(col(i).bitwiseXOR(swap))
-            else:
-                new[x[0]] = F.when(high, col(0).bitwiseXOR(F.lit(low))).otherwise(col(0))
-            df = df.withColumns(new)
-    for i in range(1, n):
-        df = df.withColumn(x[i], col(i).bitwiseXOR(col(i - 1)))
-    turn: Column = F.lit(0)
-    for level in range(bits - 1, 0, -1):
-        turn = F.when(col(n - 1).bitwiseAND(1 << level) != 0, turn.bitwiseXOR(F.lit((1 << level) - 1))).otherwise(turn) if level < bits - 1 else F.when(col(n - 1).bitwiseAND(1 << level) != 0, F.lit((1 << level) - 1)).otherwise(F.lit(0))
-        df = df.withColumn("_turn", turn)
-        turn = F.col("_turn")
-    df = df.withColumns({x[i]: col(i).bitwiseXOR(turn) for i in range(n)})
-    index: Column = F.lit(0).cast("long")
-    for level in range(bits - 1, -1, -1):
-        for i in range(n):
-            index = index * 2 + F.shiftright(col(i), level).bitwiseAND(1)
-    return df.withColumn(out, index).drop(*x, "_turn")
+    steps = ", ".join(f"struct({1 << level} as q, {i} as i)" for level in range(bits - 1, 0, -1) for i in range(n))
+    turned = f"""aggregate(array({steps}), _x, (a, s) -> transform(a, (v, j) ->
+        CASE WHEN (a[s.i] & s.q) <> 0 THEN CASE WHEN j = 0 THEN v ^ (s.q - 1) ELSE v END
+             WHEN j = 0 OR j = s.i THEN v ^ ((a[0] ^ a[s.i]) & (s.q - 1)) ELSE v END))""" if bits > 1 else "_x"
+    gray = "transform(_x, (v, j) -> aggregate(slice(_x, 1, j + 1), 0, (p, u) -> p ^ u))"
+    tops = ", ".join(str(1 << level) for level in range(bits - 1, 0, -1))
+    turn = f"aggregate(array({tops}), 0, (t, q) -> CASE WHEN (_x[{n - 1}] & q) <> 0 THEN t ^ (q - 1) ELSE t END)" if bits > 1 else "0"
+    places = ", ".join(f"struct({level} as l, {i} as i)" for level in range(bits - 1, -1, -1) for i in range(n))
+    index = f"aggregate(array({places}), 0L, (p, s) -> p * 2 + (shiftright(_x[s.i] ^ _t, s.l) & 1))"
+    return (
+        df.withColumn("_x", F.array(*[F.col(a).cast("int") for a in axes])).withColumn("_x", F.expr(turned)).withColumn("_x", F.expr(gray))
+        .withColumn("_t", F.expr(turn)).withColumn(out, F.expr(index)).drop("_x", "_t")
+    )
 
 
 def hilbert_shards(docs: DataFrame, dims: list[str] | None = None, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
