@@ -131,6 +131,10 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     try:
         docs.select(*place)
     except AnalysisException:
-        docs = stored(docs, "located")
-    gone = exact_dedup(docs).where("not kept").select(F.col("file").alias("_file"), F.col("row").alias("_row"))
-    return docs.select(*columns, *place).join(gone, ["_file", "_row"], "left_anti").select(*columns)
+        # neutral names: a column called _metadata would hide the place
+        docs = stored(docs.toDF(*[f"c{i}" for i in range(len(columns))]), "located")
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    keyed = docs.select(*own, *place)
+    ids = docs.select(F.col(docs.columns[columns.index("doc_id")]).alias("doc_id"), F.col(docs.columns[columns.index("text")]).alias("text"), "_metadata")
+    gone = exact_dedup(ids).where("not kept").select(F.col("file").alias("_file"), F.col("row").alias("_row"))
+    return keyed.join(gone, ["_file", "_row"], "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
