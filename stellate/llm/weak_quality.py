@@ -30,6 +30,7 @@ from stellate.llm.common import stored
 
 LABELLERS = ("repeats", "pairs", "tails", "bars", "capitals", "shouts", "marks", "vocabulary", "sentences")
 DIMS, SAMPLE, KEEP = 1 << 14, 6000, 0.5
+SHORT = np.array([64, 12])  # bytes and words at which a text speaks half as loud as a long one
 
 
 def _byte_set(text: str) -> np.ndarray:
@@ -158,10 +159,11 @@ def shape_indices(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _share(rows: np.ndarray, idx: np.ndarray, n: int) -> np.ndarray:
-    """Weight of one occurrence: one over the row's count in its family (bytes, words)."""
+    """Weight of one occurrence: one over the row's count in its family (bytes, words), held down in short rows,
+    whose few words say little."""
     family = (idx >= DIMS // 2).astype(np.int64)
     size = np.bincount(rows * 2 + family, minlength=2 * n)
-    return 1.0 / size[rows * 2 + family]
+    return 1.0 / (size + np.tile(SHORT, n))[rows * 2 + family]
 
 
 def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,6 +247,7 @@ def classify_quality(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP,
     rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
     y = [r["posterior"] for r in rows]
     w, b = fit_scorer(rows) if rows and min(y) < 0.5 <= max(y) else (None, 0.0)
+    b += float(np.log(model["good"] / (1 - model["good"])))  # the fit weighs both sides alike; the corpus doesn't
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     extra = "".join(f"c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(carry))
     scored = whole.mapInArrow(_score_task(w, b, posteriors), f"doc_id long, {extra}pattern int, posterior double, score double")
