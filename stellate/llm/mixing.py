@@ -5,11 +5,12 @@ joined to ``labels``; ``sample`` rows, by hash, spread over the domains) and
 predicts for every document the posterior of each domain: ``clean`` (good and
 not toxic), ``toxic`` and ``junk`` (bad, not toxic).  Document d with posteriors
 p_d and n_d tokens gets a rate r_d >= 0 such that the expected tokens of each
-domain, sum of r_d n_d p_dk, match the targets t_k in the least squares sense.
-Projected gradient descent starts at r = 1; in the metric of tokens and domain
-supplies D_k the step is r <- max(0, r + sum_k p_dk (t_k - S_k) / D_k), which is
-stable because the scaled Gram matrix is row-stochastic.  A pass over the
-documents (narrow, stored) returns only the K sums S_k to the driver.
+domain S_k, sum of r_d n_d p_dk, match the targets t_k in the least squares sense.
+Projected gradient descent starts at r = 1.  Residuals are weighted by the inverse
+of the domains' Gram matrix M (sum of n_d p_d p_d'), rates by tokens: the step is
+r <- max(0, r + p_d . M^-1 (t - S)), whose Hessian is a projection, so a step of one
+is stable and soft memberships do not slow it down.  A pass over the documents
+(narrow, stored) returns only the K sums S_k (once also M) to the driver.
 
 ``copies`` turns the rate into whole copies: its floor, plus one when a hash of
 doc_id falls below the fraction.  Null and empty texts have no tokens: rate as
@@ -176,18 +177,19 @@ def fit_rates(members: DataFrame, weights: list[float], total: float | None = No
     """
     kinds = len(weights)
     sums = {f"s{k}": F.sum(F.col("rate") * F.col("n_tokens") * F.col("p")[k]) for k in range(kinds)}
-    now, seen = stored_observed(members.withColumn("rate", F.lit(1.0)), "members", **sums)
+    gram = {f"m{k}_{j}": F.sum(F.col("n_tokens") * F.col("p")[k] * F.col("p")[j]) for k in range(kinds) for j in range(kinds)}
+    now, seen = stored_observed(members.withColumn("rate", F.lit(1.0)), "members", **sums, **gram)
     supply = np.array([seen[f"s{k}"] or 0.0 for k in range(kinds)])
     share = np.array(weights, dtype=float) / max(sum(weights), 1e-300)
     top = int(np.argmax(share))
     total = supply[top] / share[top] if total is None else total
     target = share * total
-    scale = np.where(supply > 0, supply, np.inf)
+    inverse = np.linalg.pinv(np.array([[seen[f"m{k}_{j}"] or 0.0 for j in range(kinds)] for k in range(kinds)]), rcond=1e-9, hermitian=True)
     reached, pending, pushes = supply, [], []
     for _ in range(rounds):
         if np.abs(target - reached).max(initial=0) <= tolerance * max(total, 1):
             break
-        pending.append([float(x) for x in (target - reached) / scale])
+        pending.append([float(x) for x in inverse @ (target - reached)])
         pushes.append(pending[-1])
         rate = F.col("rate")
         moved = now
