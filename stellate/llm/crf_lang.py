@@ -35,7 +35,7 @@ from stellate.llm.common import stored
 BI, TRI, AFFIX, LEX = 1 << 15, 1 << 17, 1 << 16, 1 << 17
 OFF_TRI, OFF_AFFIX, OFF_LEX = BI, BI + TRI, BI + TRI + AFFIX
 DIMS = BI + TRI + AFFIX + LEX
-BLOCK, CHAIN, PER_LANGUAGE, CHAINS = 32, 40, 300, 3000
+BLOCK, CHAIN, PER_LANGUAGE, CHAINS, BATCH = 32, 40, 200, 3600, 300
 UNKNOWN = "und"
 
 
@@ -189,8 +189,8 @@ def forward_backward(e: np.ndarray, woffs: np.ndarray, trans: np.ndarray) -> np.
     return post / post.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 60, seed: int = 10) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions by maximum likelihood (Adam) on spliced chains of CHAIN words.
+def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 300, seed: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions by maximum likelihood (Adam on batches of BATCH chains) on spliced chains of CHAIN words.
 
     rows: (text, lang); each chain joins segments of 4 to 20 words from random documents, so a language
     change shows as often as segments meet.
@@ -232,27 +232,34 @@ def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 60,
     pos = np.arange(size[pick].sum()) - np.repeat(np.cumsum(size[pick]) - size[pick], size[pick]) + np.repeat(start[pick], size[pick])
     own = np.arange(len(pick))
     known_word = in_lexicon[pick]
-    idx = np.concatenate([bi[pos], tri[pos], pre[pick], suf[pick], lex[pick][known_word]])
-    of = np.concatenate([rep, rep, own, own, own[known_word]])
+    idx = np.concatenate([bi[pos], tri[pos], pre[pick], suf[pick], lex[pick][known_word]]).astype(np.int32)
+    of = np.concatenate([rep, rep, own, own, own[known_word]]).astype(np.int32)
+    del bi, tri, pre, suf, lex, rep, pos
     used, idx = np.unique(idx, return_inverse=True)
     order = np.argsort(of, kind="stable")
-    idx, of = idx[order], of[order]
-    bounds = np.searchsorted(of, own)
+    all_idx, all_of = idx[order].astype(np.int32), of[order]
+    del idx, of, order
+    all_bounds = np.searchsorted(all_of, np.arange(len(pick) + 1))
     v = np.zeros((len(used), k))
-    hot = np.eye(k)[y]
-    pairs = np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:])
+    all_hot = np.eye(k)[y]
+    batch = min(BATCH, chains)
     m1, m2, t1, t2 = np.zeros_like(v), np.zeros_like(v), np.zeros_like(trans), np.zeros_like(trans)
     for s in range(1, steps + 1):
-        e = np.add.reduceat(v[idx], bounds, axis=0).reshape(chains, CHAIN, k)
+        at = (s - 1) * batch % max(chains - batch + 1, 1)
+        lo, hi = all_bounds[at * CHAIN], all_bounds[(at + batch) * CHAIN]
+        idx, of, hot = all_idx[lo:hi], all_of[lo:hi] - at * CHAIN, all_hot[at : at + batch]
+        bounds = all_bounds[at * CHAIN : (at + batch) * CHAIN] - lo
+        pairs = np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:])
+        e = np.add.reduceat(v[idx], bounds, axis=0).reshape(batch, CHAIN, k)
         p = np.exp(e - e.max(axis=2, keepdims=True))
         step = np.exp(trans)
         alpha, beta = np.empty_like(p), np.empty_like(p)
-        a = np.full((chains, k), 1.0 / k)
+        a = np.full((batch, k), 1.0 / k)
         for t in range(CHAIN):
             a = (a @ step) * p[:, t]
             a /= a.sum(axis=1, keepdims=True)
             alpha[:, t] = a
-        b = np.ones((chains, k))
+        b = np.ones((batch, k))
         joint = np.zeros((k, k))
         for t in range(CHAIN - 1, -1, -1):
             beta[:, t] = b
@@ -265,9 +272,9 @@ def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 60,
         post = alpha * beta
         post /= post.sum(axis=2, keepdims=True)
         g = (post - hot).reshape(-1, k)[of]
-        gv = np.stack([np.bincount(idx, weights=g[:, c], minlength=len(used)) for c in range(k)], axis=1) / chains + 1e-4 * v
-        gt = (joint - pairs) / chains
-        rate = 0.1 / (1 + s / 30)
+        gv = np.stack([np.bincount(idx, weights=g[:, c], minlength=len(used)) for c in range(k)], axis=1) / batch + 1e-4 * v
+        gt = (joint - pairs) / batch
+        rate = 0.1 / (1 + s / 60)
         m1, m2 = 0.9 * m1 + 0.1 * gv, 0.99 * m2 + 0.01 * gv * gv
         v -= rate * (m1 / (1 - 0.9 ** s)) / (np.sqrt(m2 / (1 - 0.99 ** s)) + 1e-6)
         t1, t2 = 0.9 * t1 + 0.1 * gt, 0.99 * t2 + 0.01 * gt * gt
