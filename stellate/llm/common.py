@@ -69,7 +69,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         moved = both.join(least, "u")
         if large:
-            return moved.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+            return moved.where("v > u and v > m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         out = moved.select(F.col("v").alias("a"), F.col("m").alias("b"))
         return out.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a > b").distinct()
 

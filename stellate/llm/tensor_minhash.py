@@ -15,11 +15,14 @@ Steps, all of them jobs over the whole input:
 3. half keys held by one class alone are dropped (they cannot meet), the rest
    are paired into table keys;
 4. in each bucket every member is compared with the bucket's smallest member,
-   on full sets, and links become components;
-5. buckets whose members still lie in several components are compared across
-   components: directly when small, else through an exact prefix filter (two
-   sets of similarity s share one of their rarest (1-s)n+1 shingles), so no
-   pair is left out and no bucket is expanded into all pairs.
+   on full sets; linked members share a centre;
+5. buckets whose members still have several centres are compared across them:
+   directly when small, else through an exact prefix filter (two sets of
+   similarity s share one of their first (1-s)n+1 shingles in any common order;
+   here rare ones come first) and a parity sketch (its differing bits never
+   outnumber the symmetric difference of the sets), so no pair is left out and no
+   bucket is expanded into all pairs;
+6. all links become connected components.
 
 Null or empty texts have an empty set and are linked with nothing.  Rows that
 repeat a doc_id are one node: their sets are taken per class, and each input
@@ -32,6 +35,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +44,7 @@ from stellate.llm import textarrays as ta
 from stellate.llm.common import connected_components, stored
 
 HALF_KEYS, ROWS, SHINGLE, PERCENT = 10, 2, 4, 80
+SLOTS, SLOT_BLOCK, PARITY = 1 << 16, 1024, 16  # counters of the rarity sketch, in blocks; 64-bit words of the parity sketch
 SMALL_BUCKET = 32  # above it, a bucket of several components goes through the prefix filter
 
 
@@ -124,25 +129,67 @@ def _fits(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _across(members: DataFrame, key: str, percent: int) -> DataFrame:
-    """Pairs of one key whose ends lie in different components and whose sizes fit."""
-    x = members.select(key, F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = members.select(key, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb", percent)).select("a", "b").distinct()
+def _across(members: DataFrame, key: str, percent: int, sketch: bool = False) -> DataFrame:
+    """Pairs of one key whose ends lie in different components and whose sizes (and parity sketches) fit."""
+    more = ["parity"] if sketch else []
+    x = members.select(key, F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias("pa") for c in more])
+    y = members.select(key, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias("pb") for c in more])
+    fit = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb", percent)
+    if sketch:
+        differ = sum((F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i])) for i in range(PARITY)), F.lit(0))
+        fit = fit & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+    return x.join(y, key).where(fit).select("a", "b").distinct()
+
+
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return tokens & (SLOTS - 1)  # the tokens are hashes already
+
+
+def _slot_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, dtype=np.int64)
+    for batch in batches:
+        total += np.bincount(_slot(batch.column(0).flatten().to_numpy()), minlength=SLOTS)
+    blocks = np.flatnonzero(total.reshape(-1, SLOT_BLOCK).any(axis=1))
+    counts = total.reshape(-1, SLOT_BLOCK)[blocks]
+    yield pa.record_batch([pa.array(blocks.astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.arange(len(blocks) + 1, dtype=np.int32) * SLOT_BLOCK), pa.array(counts.ravel()))],
+                          ["block", "n"])
+
+
+def _sum_slots(part: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"block": part["block"].iloc[:1], "n": [np.sum(np.stack(part["n"].to_numpy()), axis=0)]})
+
+
+def _prefix_task(rarity: np.ndarray, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, at, parity = [], [], []
+            for i, tokens in enumerate(batch.column(3)):
+                t = tokens.values.to_numpy()
+                slot = _slot(t)
+                first = t[np.lexsort((t, rarity[slot]))][: len(t) - -(-len(t) * percent // 100) + 1]
+                first = first[rarity[_slot(first)] > 1]  # alone in its slot: nobody shares it
+                out.append(first)
+                at.append(np.full(len(first), i))
+                bits = np.bincount((ta.mix(t.view(np.uint64) + np.uint64(1)) % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+                parity.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+            if out and len(take := np.concatenate(at)):
+                sketches = pa.ListArray.from_arrays(pa.array(np.arange(len(parity) + 1, dtype=np.int32) * PARITY), pa.array(np.concatenate(parity)))
+                take = pa.array(take)
+                yield pa.record_batch([pa.array(np.concatenate(out)), *[batch.column(c).take(take) for c in range(3)], sketches.take(take)],
+                                      ["token", "node", "n", "component", "parity"])
+    return run
 
 
 def _prefix_members(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rarest (1-s)n+1 shingles of every hot node: token, node, n, component."""
-    tokens = hot.join(sets, "node").select("node", "n", "component", F.explode("shingles").alias("token"))
-    tokens = stored(tokens, "hot-tokens")
-    seen = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    keep = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
-    return (
-        tokens.join(seen, "token").groupBy("node", "n", "component")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))  # one document's shingles
-        .select("node", "n", "component", F.explode(F.slice("t", F.lit(1), keep.cast("int"))).alias("p"))
-        .where("p.df > 1").select(F.col("p.token").alias("token"), "node", "n", "component")
-    )
+    """token, node, n, component, parity: the rarest (1-s)n+1 shingles of every hot node, without those nobody shares."""
+    whole = stored(hot.join(sets, "node").select("node", "n", "component", "shingles"), "hot-sets")
+    # a task sends at most SLOTS / SLOT_BLOCK rows of counters, whatever it has read
+    counts = whole.select("shingles").mapInArrow(_slot_task, "block int, n array<long>").groupBy("block").applyInPandas(
+        _sum_slots, "block int, n array<long>")
+    rarity = np.zeros(SLOTS, dtype=np.int64)
+    for r in counts.collect():  # SLOTS counters
+        rarity[r["block"] * SLOT_BLOCK : (r["block"] + 1) * SLOT_BLOCK] = r["n"]
+    return whole.mapInArrow(_prefix_task(rarity, percent), "token long, node long, n long, component long, parity array<long>")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: int = ROWS, percent: int = PERCENT,
@@ -171,8 +218,10 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: in
     # rows may repeat a doc_id with another text: the class's own sequence names the text that counts
     sets = stored(shingle_sets(some, k).groupBy("node").agg(F.min("shingles").alias("shingles")), "sets")
     links = stored(_linked(pairs, sets, percent), "links")
-    parts = connected_components(links)
-    # what the stars left apart
+    # each member's smallest linked centre, and that one's: enough to tell what the stars left apart
+    up = stored(links.groupBy("b").agg(F.min("a").alias("a")), "centres")
+    above = up.select(F.col("b").alias("a"), F.col("a").alias("top"))
+    parts = up.join(above, "a", "left").select(F.col("b").alias("node"), F.coalesce("top", "a").alias("component"))
     placed = stored(
         members.join(star.select("bucket"), "bucket", "left_semi").join(parts, "node", "left")
         .withColumn("component", F.coalesce("component", "node")), "placed")
@@ -181,13 +230,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: in
     pairs2 = _across(rest.where(F.col("c") <= small_bucket), "bucket", percent)
     hot = stored(rest.where(F.col("c") > small_bucket).select("node", "n", "component").distinct(), "hot")
     if not hot.isEmpty():
-        pairs2 = pairs2.unionByName(_across(stored(_prefix_members(hot, sets, percent), "prefixes"), "token", percent)).distinct()
+        pairs2 = pairs2.unionByName(_across(stored(_prefix_members(hot, sets, percent), "prefixes"), "token", percent, sketch=True)).distinct()
     pairs2 = pairs2.join(pairs, ["a", "b"], "left_anti")
     more = _linked(pairs2, sets, percent)
-    by_class = sig.where("n_shingles > 0 and doc_id is not null").join(classes.select("seq", "node"), "seq").where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    found = connected_components(links.unionByName(more).unionByName(by_class)).withColumnRenamed("node", "doc_id")
+    found = connected_components(links.unionByName(more))
+    by_class = classes.select("seq", "node").join(found, "node", "left").select("seq", F.coalesce("component", "node").alias("component_id"))
+    # rows without a set have no class: they stand alone
     return (
-        sig.select("doc_id", "n_shingles").join(found, "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("seq")).alias("seq"))
+        .join(by_class, "seq", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
