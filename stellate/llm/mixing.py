@@ -79,20 +79,19 @@ def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for lo, hi, data, offs in ta.slices(batch.column(1)):
             idx, row, value = word_indices(data, offs)
-            ends = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
+            ends = np.searchsorted(row, np.arange(hi - lo + 1))
             yield pa.record_batch([
-                batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(idx.astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(value.astype(np.float32))), batch.column(2).slice(lo, hi - lo)],
-                ["doc_id", "idx", "value", "domain"])
+                batch.column(0).slice(lo, hi - lo), ta.packed(idx.astype(np.int32), ends), ta.packed(value.astype(np.float32), ends),
+                batch.column(2).slice(lo, hi - lo)], ["doc_id", "idx", "value", "domain"])
 
 
 def fit_domains(rows: list, kinds: int, steps: int = 200, least: int = 5, z_least: float = 4.0, l2: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression on hashed features; words whose occurrence tells domains apart (z score) only."""
     if not rows:
         return np.zeros((DIMS, kinds)), np.zeros(kinds)
-    idx = np.concatenate([np.asarray(r["idx"], dtype=np.int64) for r in rows])
-    val = np.concatenate([np.asarray(r["value"], dtype=np.float64) for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r["idx"]) for r in rows])
+    idx = np.frombuffer(b"".join(r["idx"] for r in rows), dtype=np.int32)
+    val = np.frombuffer(b"".join(r["value"] for r in rows), dtype=np.float32)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r["idx"]) // 4 for r in rows])
     y = np.array([r["domain"] for r in rows])
     size = np.bincount(y, minlength=kinds).astype(np.float64)
     df = np.stack([np.bincount(idx[y[row] == k], minlength=DIMS) for k in range(kinds)], axis=1)
@@ -149,7 +148,7 @@ def train_domains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
         picked = part if picked is None else picked.unionByName(part)
     picked = stored(picked, "sample")  # at most ``sample`` rows
     rows = own.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "domain").mapInArrow(
-        _feature_task, "doc_id long, idx array<int>, value array<float>, domain int").collect()
+        _feature_task, "doc_id long, idx binary, value binary, domain int").collect()
     rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
     w, b = fit_domains(rows, len(DOMAINS))
     used = np.flatnonzero(np.abs(w).max(axis=1) > 0)

@@ -91,6 +91,12 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(h + (end - start).astype(np.uint64))
 
 
+def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of a numeric array as binary values, so that a driver holds them without an object per number."""
+    width = values.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * width).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
 # Multipliers by position of a word in its shingle.
 _PLACE = np.random.default_rng(77).integers(1, 1 << 63, 16, dtype=np.uint64) | _U(1)
 

@@ -172,17 +172,17 @@ def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             idx, rows = shape_indices(data, offs)
             key, inv = np.unique(rows * DIMS + idx, return_inverse=True)
             value = np.bincount(inv, weights=_share(rows, idx, hi - lo), minlength=len(key)).astype(np.float32)
-            ends = np.searchsorted(key // DIMS, np.arange(hi - lo + 1)).astype(np.int32)
+            ends = np.searchsorted(key // DIMS, np.arange(hi - lo + 1))
             yield pa.record_batch([
-                batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array((key % DIMS).astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(value)), batch.column(2).slice(lo, hi - lo)], ["doc_id", "idx", "value", "posterior"])
+                batch.column(0).slice(lo, hi - lo), ta.packed((key % DIMS).astype(np.int32), ends), ta.packed(value, ends),
+                batch.column(2).slice(lo, hi - lo)], ["doc_id", "idx", "value", "posterior"])
 
 
 def fit_scorer(rows: list, steps: int = 300, l2: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression (full-batch, Adam) of posteriors on sparse feature shares; balanced by side."""
-    size = np.array([len(r["idx"]) for r in rows])
-    idx = np.concatenate([np.asarray(r["idx"], dtype=np.int64) for r in rows])
-    val = np.concatenate([np.asarray(r["value"], dtype=np.float64) for r in rows])
+    size = np.array([len(r["idx"]) // 4 for r in rows])
+    idx = np.frombuffer(b"".join(r["idx"] for r in rows), dtype=np.int32)
+    val = np.frombuffer(b"".join(r["value"] for r in rows), dtype=np.float32)
     row = np.repeat(np.arange(len(rows)), size)
     y = np.array([r["posterior"] for r in rows])
     # square roots spread the shares of rare and common shapes
@@ -243,7 +243,7 @@ def classify_quality(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP,
     ]
     chosen = stored(picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"]), "sample")  # at most ``sample`` rows
     train = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "posterior")
-    rows = train.mapInArrow(_feature_task, "doc_id long, idx array<int>, value array<float>, posterior double").collect()
+    rows = train.mapInArrow(_feature_task, "doc_id long, idx binary, value binary, posterior double").collect()
     rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
     y = [r["posterior"] for r in rows]
     w, b = fit_scorer(rows) if rows and min(y) < 0.5 <= max(y) else (None, 0.0)
