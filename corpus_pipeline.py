@@ -19,6 +19,8 @@ from stellate.llm.stream_dedup import kept_rows
 from stellate.llm.tensor_minhash import near_duplicates
 from stellate.llm.weak_quality import classify_quality
 
+NEAR_SHINGLE = 5  # operator 8's own contract has four words
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier keeps; null texts and texts without words go."""
@@ -33,8 +35,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, the one with the smallest doc_id; rows without id stay."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    """One document of each near-duplicate component (five-word shingles, similarity 0.8), the one with the smallest
+    doc_id; rows without id stay."""
+    gone = near_duplicates(docs, k=NEAR_SHINGLE).where("not kept").select("doc_id").distinct()
     return docs.select(*DOC_COLUMNS).join(gone, "doc_id", "left_anti").select(*DOC_COLUMNS)
 
 

@@ -15,7 +15,7 @@ import corpus_pipeline
 from stellate.llm import arc_warc, hilbert, length_buckets, queries, stream_dedup, tensor_minhash, weak_quality
 from stellate.llm.common import stored, table
 from stellate.session import scratch_path
-from tests.llm.helpers import awkward, frame, prose
+from tests.llm.helpers import awkward, components, frame, prose, shingle_set
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -196,6 +196,29 @@ def test_pipeline_stages_do_what_their_operators_say(spark):
     assert sorted(r.doc_id for r in run.select("doc_id").collect()) == ids[names[4]]
 
 
+def test_pipeline_links_near_copies_by_five_words(spark):
+    # three isolated edits of 120 words: similarity 0.81 of four-word sets, 0.77 of five-word sets; two edits: 0.84
+    rows = []
+    for i in range(12):
+        base = prose(900 + i, 120).split()
+        rows.append((100 + i, " ".join(base)))
+        for edits in (2, 3):
+            rows.append((100 * (edits + 1) + i, " ".join(f"edit{n}" if n in (20, 60, 100)[:edits] else w for n, w in enumerate(base))))
+    sets = {i: shingle_set(t, 5) for i, t in rows}
+    four = {i: shingle_set(t, 4) for i, t in rows}
+    ids = sorted(sets)
+
+    def links(of):
+        return [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if 100 * len(of[a] & of[b]) >= 80 * len(of[a] | of[b])]
+
+    assert set(links(sets)) < set(links(four))
+    # without the copies of two edits, for the copies of three are near to those
+    for rows_, most in ((rows, None), ([r for r in rows if not 300 <= r[0] < 400], 24)):
+        want = {i: c for i, c in components([r[0] for r in rows_], [p for p in links(sets) if {*p} <= {r[0] for r in rows_}]).items() if i == c}
+        got = corpus_pipeline.near_copies(spark, frame(spark, rows_), SF0001)
+        assert sorted(r.doc_id for r in got.collect()) == sorted(want) and (most is None or len(want) == most)
+
+
 def test_pipeline_stages_take_awkward_rows(spark):
     for rows in (awkward(), []):
         docs = frame(spark, rows)
