@@ -16,7 +16,7 @@ from stellate.llm.common import DOC_COLUMNS, stored, table
 from stellate.llm.length_buckets import pack
 from stellate.llm.mixing import mixed_rows
 from stellate.llm.stream_dedup import kept_rows
-from stellate.llm.tensor_minhash import near_duplicates
+from stellate.llm.tensor_minhash import near_duplicates, text_mark
 from stellate.llm.weak_quality import classify_quality
 
 NEAR_SHINGLE = 5  # operator 8's own contract has four words
@@ -37,8 +37,10 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component (five-word shingles, similarity 0.8), the one with the smallest
     doc_id; rows without id stay."""
-    gone = near_duplicates(docs, k=NEAR_SHINGLE).where("not kept").select("doc_id").distinct()
-    return docs.select(*DOC_COLUMNS).join(gone, "doc_id", "left_anti").select(*DOC_COLUMNS)
+    marked = docs.select(*DOC_COLUMNS, text_mark().alias("mark"))
+    # by id and text: another text under the same doc_id stays
+    gone = near_duplicates(docs, k=NEAR_SHINGLE, mark=True).where("not kept").select("doc_id", "mark").distinct()
+    return marked.join(gone, ["doc_id", "mark"], "left_anti").select(*DOC_COLUMNS)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

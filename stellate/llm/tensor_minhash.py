@@ -10,8 +10,8 @@ Steps, all of them jobs over the whole input:
 
 1. words, distinct shingles, half keys and a digest of the word sequence per
    document (numpy inside the tasks);
-2. documents of equal word sequence become one class; only its smallest
-   doc_id goes on;
+2. documents of equal word sequence become one class with an id of its own;
+   only classes go on;
 3. half keys held by one class alone are dropped (they cannot meet), the rest
    are paired into table keys;
 4. in each bucket every member is compared with the bucket's smallest member,
@@ -22,11 +22,15 @@ Steps, all of them jobs over the whole input:
    here rare ones come first) and a parity sketch (its differing bits never
    outnumber the symmetric difference of the sets), so no pair is left out and no
    bucket is expanded into all pairs;
-6. all links become connected components.
-
-Null or empty texts have an empty set and are linked with nothing.  Rows that
-repeat a doc_id are one node: their sets are taken per class, and each input
-row is returned.  Extra columns are ignored.  A null doc_id stays alone.
+6. all links become connected components of classes; a component bears the
+   smallest doc_id in it, and its class with that doc_id (ties: the smaller
+   digest) is the kept one.
+
+Null or empty texts have an empty set and are linked with nothing.  Each input
+row is returned.  Rows that repeat a doc_id with one word sequence get equal
+results; with other texts each row follows its own text, so they can have
+different components, and one can be kept while another goes.  Extra columns are
+ignored.  A null doc_id stays alone.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm import textarrays as ta
@@ -48,6 +52,11 @@ SLOTS, SLOT_BLOCK, PARITY = 1 << 16, 1024, 16  # counters of the rarity sketch,
 SMALL_BUCKET = 32  # above it, a bucket of several components goes through the prefix filter
 
 
+def _digest(text: bytes) -> bytes:
+    """Of the lower-cased word sequence."""
+    return hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest()
+
+
 def _signature_task(k: int, m: int, r: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(4242)
@@ -67,8 +76,7 @@ def _signature_task(k: int, m: int, r: int):
                 for i in range(hi - lo):
                     if size[i]:
                         n[i] = len(np.unique(sh[soffs[i] : soffs[i + 1]]))
-                    words = raw[offs[i] : offs[i + 1]].lower().split()
-                    seq.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                    seq.append(_digest(raw[offs[i] : offs[i + 1]]))
                 if len(full):
                     at = soffs[full]
                     for j in range(2 * m):
@@ -80,15 +88,20 @@ def _signature_task(k: int, m: int, r: int):
                 flat = pa.array(keys.view(np.int64).ravel())
                 yield pa.record_batch(
                     [ids.slice(lo, hi - lo), pa.array(seq, pa.binary()), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * 2 * m), flat)],
-                    ["doc_id", "seq", "n_shingles", "half"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * 2 * m), flat), batch.column(2).slice(lo, hi - lo)],
+                    ["doc_id", "seq", "n_shingles", "half", "mark"])
     return run
 
 
-def signatures(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: int = ROWS) -> DataFrame:
-    """doc_id, seq (digest of the lower-cased word sequence), n_shingles, half (2m half keys)."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _signature_task(k, m, r), "doc_id long, seq binary, n_shingles long, half array<long>")
+def text_mark() -> Column:
+    """Digest of the text's bytes: names one of several texts that share a doc_id."""
+    return F.unhex(F.md5(F.encode(F.col("text").cast("string"), "UTF-8")))
+
+
+def signatures(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: int = ROWS, mark: bool = False) -> DataFrame:
+    """doc_id, seq (digest of the lower-cased word sequence), n_shingles, half (2m half keys), mark (``text_mark``, if asked for)."""
+    own = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (text_mark() if mark else F.lit(None).cast("binary")).alias("mark"))
+    return own.mapInArrow(_signature_task(k, m, r), "doc_id long, seq binary, n_shingles long, half array<long>, mark binary")
 
 
 def _set_task(k: int):
@@ -98,18 +111,20 @@ def _set_task(k: int):
                 start, end, woffs = ta.words(data, offs)
                 sh, soffs = ta.shingles(ta.span_hashes(data, start, end), woffs, k)
                 sets = [np.unique(sh[soffs[i] : soffs[i + 1]]) for i in range(hi - lo)]
+                raw = data.tobytes()
+                seq = [_digest(raw[offs[i] : offs[i + 1]]) for i in range(hi - lo)]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 flat = pa.array(np.concatenate(sets).view(np.int64))
                 yield pa.record_batch(
-                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                    ["node", "shingles"])
+                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(seq, pa.binary())],
+                    ["node", "shingles", "seq"])
     return run
 
 
 def shingle_sets(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """node (doc_id), shingles: the distinct shingle fingerprints (64 bit) of each whole text."""
+    """node (doc_id), shingles: the distinct shingle fingerprints (64 bit) of each whole text; seq as in ``signatures``."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _set_task(k), "node long, shingles array<long>")
+        _set_task(k), "node long, shingles array<long>, seq binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -193,12 +208,14 @@ def _prefix_members(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: int = ROWS, percent: int = PERCENT,
-                    small_bucket: int = SMALL_BUCKET) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
-    sig = stored(signatures(docs, k, m, r), "signatures")
+                    small_bucket: int = SMALL_BUCKET, mark: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``mark`` adds each row's ``text_mark``."""
+    sig = stored(signatures(docs, k, m, r, mark), "signatures")
+    # a node is a class, whatever its doc_id; the write fixes the ids
     classes = stored(
         sig.where("n_shingles > 0 and doc_id is not null").groupBy("seq")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("half").alias("half")), "classes")
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
     half = classes.select("node", "n", F.posexplode("half").alias("i", "h"))
     shared = half.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
     own = half.join(shared, "h").groupBy("node", "n").agg(F.collect_list(F.struct("i", "h")).alias("hs"))  # 2m at most
@@ -213,10 +230,12 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: in
         members.join(star, "bucket").where("node <> p.node").select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
         .where(_fits("na", "nb", percent)).select("a", "b").distinct()
     )
-    wanted = members.join(star.select("bucket"), "bucket", "left_semi").select(F.col("node").alias("doc_id")).distinct()
-    some = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted, "doc_id", "left_semi")
-    # rows may repeat a doc_id with another text: the class's own sequence names the text that counts
-    sets = stored(shingle_sets(some, k).groupBy("node").agg(F.min("shingles").alias("shingles")), "sets")
+    met = members.join(star.select("bucket"), "bucket", "left_semi").select("node").distinct()
+    wanted = stored(classes.select("node", "doc_id", "seq").join(met, "node"), "wanted")
+    some = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    # rows may repeat a doc_id with another text: the word sequence names the class that a set belongs to
+    by_seq = shingle_sets(some, k).groupBy("seq").agg(F.min("shingles").alias("shingles"))
+    sets = stored(by_seq.join(wanted.select("seq", "node"), "seq").select("node", "shingles"), "sets")
     links = stored(_linked(pairs, sets, percent), "links")
     # each member's smallest linked centre, and that one's: enough to tell what the stars left apart
     up = stored(links.groupBy("b").agg(F.min("a").alias("a")), "centres")
@@ -234,11 +253,16 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: in
     pairs2 = pairs2.join(pairs, ["a", "b"], "left_anti")
     more = _linked(pairs2, sets, percent)
     found = connected_components(links.unionByName(more))
-    by_class = classes.select("seq", "node").join(found, "node", "left").select("seq", F.coalesce("component", "node").alias("component_id"))
+    place = classes.select("seq", "doc_id", "node").join(found, "node")
+    heads = place.groupBy("component").agg(F.min(F.struct("doc_id", "seq")).alias("head"))
+    linked = place.join(heads, "component").select("node", F.col("head.doc_id").alias("component_id"), (F.col("seq") == F.col("head.seq")).alias("is_head"))
+    by_class = classes.select("seq", "doc_id", "node").join(linked, "node", "left").select(
+        "seq", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("is_head", F.lit(True)).alias("is_head"))
     # rows without a set have no class: they stand alone
+    more_columns = ["mark"] if mark else []
     return (
-        sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("seq")).alias("seq"))
+        sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("seq")).alias("seq"), *more_columns)
         .join(by_class, "seq", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .withColumn("kept", F.coalesce(F.col("is_head") & (F.col("doc_id") == F.col("component_id")), F.lit(True)))
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "kept", *more_columns)
     )

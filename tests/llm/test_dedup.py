@@ -34,6 +34,35 @@ def test_near_duplicates_of_awkward_rows(spark):
             assert (r.n_shingles, r.component_id, r.kept) == want[r.doc_id]
 
 
+def shared_ids():
+    """Rows whose doc_ids bear several texts, near copies of others' among them; (doc_id, text) pairs are unique."""
+    rows = []
+    for i in range(8):
+        base = prose(500 + i, 120).split()
+        near = [" ".join("edit" if n == at else w for n, w in enumerate(base)) for at in (30, 60, 90)]
+        # id 10+i: a text, its near copy, and a text of its own; id 50+i: another near copy, and the first text again
+        rows += [(10 + i, " ".join(base)), (10 + i, near[0]), (10 + i, prose(600 + i, 60)), (50 + i, near[1]), (50 + i, " ".join(base)), (7, near[2]), (7, prose(700 + i, 50))]
+    return rows
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rows = shared_ids()
+    got = {(r.doc_id, r.mark): (r.n_shingles, r.component_id, r.kept) for r in tensor_minhash.near_duplicates(frame(spark, rows), mark=True).collect()}
+    assert len(got) == len(rows)
+    texts = sorted({t for _, t in rows})
+    sets = [shingle_set(t) for t in texts]
+    links = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    comp = components(range(len(texts)), links)
+    least = {c: min(i for i, t in rows if comp[texts.index(t)] == c) for c in set(comp.values())}
+    kept: dict[int, int] = {}
+    for i, t in rows:
+        n, component, keep = got[i, hashlib.md5(t.encode()).digest()]
+        c = comp[texts.index(t)]
+        assert (n, component) == (len(shingle_set(t)), least[c]) and (i == component or not keep)
+        kept[c] = kept.get(c, 0) + keep
+    assert set(kept.values()) == {1} and len(kept) == 24
+
+
 def family(seed: int, size: int, far: int) -> list[str]:
     """Copies of one text with few changed words, and some with many."""
     rng = random.Random(seed)

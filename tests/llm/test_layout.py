@@ -219,6 +219,13 @@ def test_pipeline_links_near_copies_by_five_words(spark):
         assert sorted(r.doc_id for r in got.collect()) == sorted(want) and (most is None or len(want) == most)
 
 
+def test_pipeline_keeps_texts_that_share_the_id_of_a_near_copy(spark):
+    base, alone = prose(950, 200), prose(951, 200)
+    near = base.replace(base.split()[100], "edit", 1)
+    got = corpus_pipeline.near_copies(spark, frame(spark, [(1, base), (2, near), (2, alone), (None, near)]), SF0001).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, base), (2, alone), (None, near)])
+
+
 def test_pipeline_stages_take_awkward_rows(spark):
     for rows in (awkward(), []):
         docs = frame(spark, rows)
