@@ -35,7 +35,7 @@ from stellate.llm.common import stored
 BI, TRI, AFFIX, LEX = 1 << 15, 1 << 17, 1 << 16, 1 << 17
 OFF_TRI, OFF_AFFIX, OFF_LEX = BI, BI + TRI, BI + TRI + AFFIX
 DIMS = BI + TRI + AFFIX + LEX
-BLOCK, CHAIN, PER_LANGUAGE, CHAINS, BATCH = 32, 40, 200, 3600, 300
+BLOCK, CHAIN, PER_LANGUAGE, CHAINS, BATCH = 32, 40, 300, 3600, 300
 UNKNOWN = "und"
 
 
@@ -189,7 +189,7 @@ def forward_backward(e: np.ndarray, woffs: np.ndarray, trans: np.ndarray) -> np.
     return post / post.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 300, seed: int = 10) -> tuple[np.ndarray, np.ndarray]:
+def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 600, seed: int = 10) -> tuple[np.ndarray, np.ndarray]:
     """Weights and transitions by maximum likelihood (Adam on batches of BATCH chains) on spliced chains of CHAIN words.
 
     rows: (text, lang); each chain joins segments of 4 to 20 words from random documents, so a language

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import inspect
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -11,6 +14,7 @@ from stellate.llm import crf_lang, mixing, perm_index, textarrays as ta, weak_qu
 from stellate.llm.common import table
 from tests.llm.helpers import awkward, frame, prose
 
+fit_language = crf_lang.fit
 SF01, SF001 = "/root/testdata/sf0.1", "/root/testdata/sf0.01"
 
 
@@ -116,6 +120,28 @@ def test_language_learns_nothing_from_held_out_rows(spark):
     assert a == {r.doc_id: (r.lang_pred, r.score) for r in crf_lang.identify(hidden, 40, 200).collect()}
 
 
+def fitted_on(monkeypatch, module, name):
+    """The rows that the module's fit gets, which is not run."""
+    seen = []
+
+    def fit(rows, *more, **named):
+        seen.extend(rows)
+        raise StopIteration
+
+    monkeypatch.setattr(module, name, fit)
+    return seen
+
+
+def test_language_learns_from_its_whole_sample(spark, monkeypatch):
+    rows = [(i, f"text number {i}", "en" if i % 2 else "fr", "a") for i in range(1000)]
+    seen = fitted_on(monkeypatch, crf_lang, "fit")
+    with pytest.raises(StopIteration):
+        crf_lang.train(frame(spark, rows))
+    assert Counter(r["lang"] for r in seen) == {"en": 300, "fr": 300}
+    steps = inspect.signature(fit_language).parameters["steps"].default
+    assert steps * crf_lang.BATCH >= 60 * 3000  # chains visited
+
+
 def test_language_of_awkward_rows(spark):
     rows = awkward()
     got = crf_lang.identify(frame(spark, rows), 20, 50).collect()
