@@ -296,7 +296,9 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, chains: int = CHAIN
     if ids is None:
         return [], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0))
     ids = stored(ids, "language-sample")  # per_language rows a language
-    rows = known.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("doc_id", "lang", "text").collect()
+    # of an id's rows in a language the smallest text with a letter
+    lettered = known.where(F.rlike("text", F.lit(r"\p{L}")))
+    rows = lettered.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     weights, trans = fit(rows, languages, chains)
     return languages, weights, trans

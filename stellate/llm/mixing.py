@@ -147,7 +147,9 @@ def train_domains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
         part = known.where(F.col("domain") == k).orderBy(*order).limit(sample // len(DOMAINS))
         picked = part if picked is None else picked.unionByName(part)
     picked = stored(picked, "sample")  # at most ``sample`` rows
-    rows = own.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "domain").mapInArrow(
+    # of an id's rows the smallest text: no more rows than the sample has ids
+    train = own.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
+    rows = train.select("doc_id", "text", "domain").mapInArrow(
         _feature_task, "doc_id long, idx binary, value binary, domain int").collect()
     rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
     w, b = fit_domains(rows, len(DOMAINS))

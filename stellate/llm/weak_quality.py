@@ -7,8 +7,8 @@ patterns (3**9 at most, so they fit the driver whatever the input), and
 expectation-maximisation over those counts estimates the share of junk and each
 labeller's accuracies.  The posterior of a document's pattern labels it, and a
 logistic regression over hashed shape features is fitted to the posteriors of a
-bounded sample (``sample`` documents, half from each side of 0.5, by hash of
-doc_id).  The linear scorer then scores every whole text; 0.5 and more is kept.
+bounded sample (``sample`` doc_ids, half from each side of 0.5, by hash; of an
+id's rows the smallest text, with its own posterior).  The linear scorer then scores every whole text; 0.5 and more is kept.
 
 Null texts and texts without words have score 0 and are not kept.  Repeated rows
 get the same score.  With no document on one side of the posterior the scorer
@@ -166,16 +166,20 @@ def _share(rows: np.ndarray, idx: np.ndarray, n: int) -> np.ndarray:
     return 1.0 / (size + np.tile(SHORT, n))[rows * 2 + family]
 
 
-def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, data, offs in ta.slices(batch.column(1)):
-            idx, rows = shape_indices(data, offs)
-            key, inv = np.unique(rows * DIMS + idx, return_inverse=True)
-            value = np.bincount(inv, weights=_share(rows, idx, hi - lo), minlength=len(key)).astype(np.float32)
-            ends = np.searchsorted(key // DIMS, np.arange(hi - lo + 1))
-            yield pa.record_batch([
-                batch.column(0).slice(lo, hi - lo), ta.packed((key % DIMS).astype(np.int32), ends), ta.packed(value, ends),
-                batch.column(2).slice(lo, hi - lo)], ["doc_id", "idx", "value", "posterior"])
+def _feature_task(posteriors: dict[int, float]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = 3 ** np.arange(len(LABELLERS))
+        for batch in batches:
+            for lo, hi, data, offs in ta.slices(batch.column(1)):
+                idx, rows = shape_indices(data, offs)
+                key, inv = np.unique(rows * DIMS + idx, return_inverse=True)
+                value = np.bincount(inv, weights=_share(rows, idx, hi - lo), minlength=len(key)).astype(np.float32)
+                ends = np.searchsorted(key // DIMS, np.arange(hi - lo + 1))
+                code = ((labeller_votes(data, offs) + 1) * base).sum(axis=1)
+                yield pa.record_batch([
+                    batch.column(0).slice(lo, hi - lo), ta.packed((key % DIMS).astype(np.int32), ends), ta.packed(value, ends),
+                    pa.array([posteriors[int(x)] for x in code], pa.float64())], ["doc_id", "idx", "value", "posterior"])
+    return run
 
 
 def fit_scorer(rows: list, steps: int = 300, l2: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -237,13 +241,15 @@ def classify_quality(docs: DataFrame, sample: int = SAMPLE, keep: float = KEEP,
     posteriors = {int(p): float(x) for p, x in zip(patterns, model["posterior"])}
     labels = spark.createDataFrame(list(posteriors.items()), "pattern int, posterior double")
     posts = votes.where("doc_id is not null").join(F.broadcast(labels), "pattern")
+    # one row an id before the limit, so that a repeated id takes one place
+    by_id = posts.groupBy("doc_id").agg(F.min("posterior").alias("posterior"))
     picked = [
-        posts.where(side).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample // 2).select("doc_id", "posterior")
+        by_id.where(side).orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample // 2).select("doc_id")
         for side in (F.col("posterior") >= 0.5, F.col("posterior") < 0.5)
     ]
-    chosen = stored(picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"]), "sample")  # at most ``sample`` rows
-    train = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "posterior")
-    rows = train.mapInArrow(_feature_task, "doc_id long, idx binary, value binary, posterior double").collect()
+    chosen = stored(picked[0].unionByName(picked[1]), "sample")  # at most ``sample`` rows
+    train = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = train.mapInArrow(_feature_task(posteriors), "doc_id long, idx binary, value binary, posterior double").collect()
     rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
     y = [r["posterior"] for r in rows]
     w, b = fit_scorer(rows) if rows and min(y) < 0.5 <= max(y) else (None, 0.0)

@@ -142,6 +142,36 @@ def test_language_learns_from_its_whole_sample(spark, monkeypatch):
     assert steps * crf_lang.BATCH >= 60 * 3000  # chains visited
 
 
+def test_a_repeated_id_takes_one_place_in_the_samples(spark, monkeypatch):
+    junk = "!!! ### $$$ ||| BUY BUY BUY BUY !!! ### " * 6
+    rows = [(i, (junk if i % 2 else prose(i, 80)) + f" end{i}", "en" if i % 4 < 2 else "fr", "a") for i in range(60)]
+    hot = [(8, prose(8, 80) + " end8", "en", "a")] * 300
+    docs = frame(spark, rows + hot)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    for module, name, run in ((weak_quality, "fit_scorer", lambda: weak_quality.classify_quality(docs, sample=200)),
+                              (mixing, "fit_domains", lambda: mixing.train_domains(docs, labels)),
+                              (crf_lang, "fit", lambda: crf_lang.train(docs))):
+        seen = fitted_on(monkeypatch, module, name)
+        with pytest.raises(StopIteration):
+            run()
+        ids = [r["doc_id"] for r in seen]
+        want = set(range(60)) if module is not crf_lang else {r.doc_id for r in docs.where(~crf_lang.held_out(F.col("doc_id"))).collect()}
+        assert len(ids) == len(set(ids)) and set(ids) == want
+        if module is weak_quality:
+            assert {r["posterior"] >= 0.5 for r in seen} == {True, False}
+
+
+def test_quality_sample_is_not_filled_by_one_id(spark, monkeypatch):
+    # sample of 40: the good side's 20 places go to 20 ids, though the first id by hash has 300 rows
+    first = spark.range(0, 60, 2).orderBy(F.xxhash64("id", F.lit(1))).first()[0]
+    junk = "!!! ### $$$ ||| BUY BUY BUY BUY !!! ### " * 6
+    rows = [(i, (junk if i % 2 else prose(i, 80)) + f" end{i}", "en", "a") for i in range(60)]
+    seen = fitted_on(monkeypatch, weak_quality, "fit_scorer")
+    with pytest.raises(StopIteration):
+        weak_quality.classify_quality(frame(spark, rows + [rows[first]] * 300), sample=40)
+    assert len(seen) == 40 and len({r["doc_id"] for r in seen}) == 40
+
+
 def test_language_of_awkward_rows(spark):
     rows = awkward()
     got = crf_lang.identify(frame(spark, rows), 20, 50).collect()
