@@ -273,6 +273,23 @@ def test_neighbour_recall(spark, segment):
     assert np.mean(hits) >= 0.9
 
 
+def test_neighbour_recall_of_pruned_segments(spark):
+    # four segments of about 500 vectors, of which 30 % are reranked
+    v = perm_index.usable(table(spark, SF01, "embeddings"))
+    got: dict[int, set] = {}
+    for r in perm_index.nearest(v, v.where("vec_id % 20 = 0"), segment=500, least=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = [(r.vec_id, r.v) for r in v.collect()]
+    x, ids = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    hits = []
+    for q in ids[ids % 20 == 0]:
+        score = x @ x[ids == q][0]
+        score[ids == q] = -np.inf
+        hits.append(len(set(ids[np.argsort(-score, kind="stable")[:20]]) & got[q]) / 20)
+    print(f"recall {np.mean(hits):.4f} of {len(ids)} vectors, {len(hits)} queries")
+    assert np.mean(hits) >= 0.9
+
+
 def test_footrule_by_hand():
     rng = np.random.default_rng(7)
     x, pivots = rng.normal(size=(40, 6)), rng.normal(size=(12, 6))
