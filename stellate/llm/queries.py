@@ -18,6 +18,7 @@ from stellate.llm.perm_index import nearest, usable
 from stellate.llm.stream_dedup import exact_dedup
 from stellate.llm.tensor_minhash import near_duplicates
 from stellate.llm.weak_quality import classify_quality
+from stellate.llm.winnow import edited_neighbours
 
 
 def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,10 +73,16 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness and the next document's."""
+    return edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_weak_quality, op2_permutation_index, op3_line_windows, op4_soft_mixing, op5_length_buckets, op6_stream_dedup,
-              op7_arc_to_warc, op8_tensor_minhash, op9_hilbert_shards, op10_crf_language)
+              op7_arc_to_warc, op8_tensor_minhash, op9_hilbert_shards, op10_crf_language,
+              op12_winnowing)
 }
 
 LINES_SQL = """
@@ -129,6 +136,31 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# Winnowing: codes of words, rolling hashes modulo two primes, the rightmost smallest of each window of four.
+_ROLL = "(((coalesce(c[j], 0) % {p}) * 1000003 + coalesce(c[j + 1], 0) % {p}) % {p} * 1000003 + coalesce(c[j + 2], 0) % {p}) % {p}"
+PRINTS_SQL = f"""
+WITH o AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, row_number() OVER (ORDER BY doc_id) AS r FROM documents),
+e AS (SELECT a.doc_id, a.r, a.t, a.n, b.t AS nt, left(a.t, (a.n - a.n // 4)::INT) || left(b.t, (a.n // 4)::INT) AS et
+      FROM o a JOIN o b ON b.r = CASE WHEN a.r = (SELECT max(r) FROM o) THEN 1 ELSE a.r + 1 END),
+x AS (SELECT r, 0 AS kind, t AS s FROM e UNION ALL SELECT r, 1, et FROM e UNION ALL SELECT r, 2, nt FROM e),
+c AS (SELECT r, kind, list_transform(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+'), lambda w: ('0x' || substr(md5(w), 1, 15))::BIGINT + 1) AS c FROM x),
+h AS (SELECT r, kind, CASE WHEN len(c) = 0 THEN []::BIGINT[] ELSE list_transform(range(1, greatest(len(c) - 2, 1) + 1), lambda j:
+        {_ROLL.format(p=2147483647)} * 2147483648 + {_ROLL.format(p=2147483629)}) END AS h FROM c),
+m AS (SELECT r, kind, h, CASE WHEN len(h) = 0 THEN [] ELSE list_transform(range(1, greatest(len(h) - 3, 1) + 1), lambda j:
+        struct_pack(j := j, m := least(h[j], coalesce(h[j + 1], h[j]), coalesce(h[j + 2], h[j]), coalesce(h[j + 3], h[j])))) END AS m FROM h),
+p AS (SELECT r, kind, h, list_sort(list_distinct(list_transform(m, lambda v:
+        CASE WHEN h[v.j + 3] = v.m THEN v.j + 3 WHEN h[v.j + 2] = v.m THEN v.j + 2 WHEN h[v.j + 1] = v.m THEN v.j + 1 ELSE v.j END))) AS p FROM m),
+f AS (SELECT r, kind, coalesce(array_to_string(list_transform(p, lambda i: h[i] || '@' || (i - 1)), ' '), '') AS f,
+        list_distinct(list_transform(p, lambda i: h[i])) AS k FROM p),
+g AS (SELECT r, max(f) FILTER (kind = 0) AS f, max(f) FILTER (kind = 1) AS ef, any_value(k) FILTER (kind = 0) AS a, any_value(k) FILTER (kind = 1) AS b,
+        any_value(k) FILTER (kind = 2) AS c FROM f GROUP BY r),
+l AS (SELECT *, len(list_intersect(a, b)) AS ab, len(list_intersect(a, c)) AS ac FROM g)
+SELECT e.doc_id, e.n AS n_chars, sha256(e.et) AS edited_sha256, l.f AS fingerprint, l.ef AS edited_fingerprint,
+       CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE ab / (len(a) + len(b) - ab) END AS near_edited,
+       CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac / (len(a) + len(c) - ac) END AS near_next
+FROM e JOIN l USING (r)
+"""
+
 # Trained models (1, 4, 10), the approximate search (2), dynamic programming with hash-ordered batches (5) and the curve
 # with CRC-32 (9) are not expressed in SQL; tests/llm compares them with brute force or held-out labels.
 ORACLE_SQL: dict[str, str] = {
@@ -136,4 +168,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_stream_dedup": EXACT_SQL,
     "op7_arc_to_warc": WARC_SQL,
     "op8_tensor_minhash": NEAR_SQL,
+    "op12_winnowing": PRINTS_SQL,
 }
