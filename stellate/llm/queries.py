@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from stellate.llm.arc_warc import convert_pages
 from stellate.llm.common import table
+from stellate.llm.cover_tree import hard_negatives, quantised
 from stellate.llm.crf_lang import identify
 from stellate.llm.hilbert import hilbert_shards
 from stellate.llm.length_buckets import pack
 from stellate.llm.line_dedup import dedup_lines
 from stellate.llm.mixing import mix
 from stellate.llm.perm_index import nearest, usable
+from stellate.llm.prefix_trie import prefix_trie
 from stellate.llm.stream_dedup import exact_dedup
 from stellate.llm.tensor_minhash import near_duplicates
 from stellate.llm.weak_quality import classify_quality
@@ -73,16 +75,27 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members, children, leaves, savings and ends of every node of the rebuilt conversations' trie."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness and the next document's."""
     return edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose vec_id is divisible by 100, among all others."""
+    rows = quantised(table(spark, sf_dir, "embeddings"))
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_weak_quality, op2_permutation_index, op3_line_windows, op4_soft_mixing, op5_length_buckets, op6_stream_dedup,
               op7_arc_to_warc, op8_tensor_minhash, op9_hilbert_shards, op10_crf_language,
-              op12_winnowing)
+              op11_prefix_trie, op12_winnowing, op13_cover_tree)
 }
 
 LINES_SQL = """
@@ -136,6 +149,31 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+# CRC-32 by bits (its reflected polynomial is a fixed value); prefixes of turns as lists of digests.
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS g, length(coalesce(text, ''))::BIGINT AS n, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list(struct_pack(g := g, n := n) ORDER BY turn NULLS FIRST, g) AS own,
+         xor(4294967295, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda s, b:
+           list_reduce(range(0, 8), lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END, xor(s, b)), 4294967295)) % 6 AS h
+  FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, coalesce(b.own, [])[1:c.h] || c.own[c.h + 1:] AS path
+      FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+m AS (SELECT conv_id, d AS depth, list_transform(path[1:d], lambda x: x.g) AS k, CASE WHEN d = 0 THEN 0 ELSE path[d].n END AS n, d = len(path) AS at_end
+      FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM r)),
+v AS (SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (at_end), '')) AS ends_sha256
+      FROM m GROUP BY k, depth),
+p AS (SELECT k, count(*) AS n_children FROM (SELECT k[1:depth - 1] AS k FROM v WHERE depth > 0) GROUP BY k),
+w AS (SELECT v.*, coalesce(p.n_children, 0) AS n_children FROM v LEFT JOIN p USING (k)),
+s AS (SELECT k[1:d] AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((n_convs - 1) * n)::BIGINT AS saved_tokens
+      FROM (SELECT k, n, n_convs, n_children, unnest(range(0, depth + 1)) AS d FROM w) GROUP BY 1)
+SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+FROM w JOIN s USING (k) LEFT JOIN w u ON w.depth > 0 AND u.depth = w.depth - 1 AND u.k = w.k[1:w.depth - 1]
+"""
+
 # Winnowing: codes of words, rolling hashes modulo two primes, the rightmost smallest of each window of four.
 _ROLL = "(((coalesce(c[j], 0) % {p}) * 1000003 + coalesce(c[j + 1], 0) % {p}) % {p} * 1000003 + coalesce(c[j + 2], 0) % {p}) % {p}"
 PRINTS_SQL = f"""
@@ -161,6 +199,22 @@ SELECT e.doc_id, e.n AS n_chars, sha256(e.et) AS edited_sha256, l.f AS fingerpri
 FROM e JOIN l USING (r)
 """
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, min(struct_pack(label := CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END,
+                                 e := list_transform(embedding, lambda x: floor(256 * x::DOUBLE)))) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.r.label = b.r.label AS same, list_inner_product(a.r.e, b.r.e)::BIGINT AS s
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS pos, p.s AS ps, s.b AS neg, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS k
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.s <= 100 * s.s AND 100 * s.s <= 100 * p.s)
+SELECT a AS anchor_id, pos AS positive_id, k::INT AS rank, neg AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE k <= 5
+"""
+
 # Trained models (1, 4, 10), the approximate search (2), dynamic programming with hash-ordered batches (5) and the curve
 # with CRC-32 (9) are not expressed in SQL; tests/llm compares them with brute force or held-out labels.
 ORACLE_SQL: dict[str, str] = {
@@ -168,5 +222,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_stream_dedup": EXACT_SQL,
     "op7_arc_to_warc": WARC_SQL,
     "op8_tensor_minhash": NEAR_SQL,
+    "op11_prefix_trie": TRIE_SQL,
     "op12_winnowing": PRINTS_SQL,
+    "op13_cover_tree": NEGATIVES_SQL,
 }
