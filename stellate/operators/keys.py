@@ -35,11 +35,13 @@ def dense_key(
     order_by: Sequence[str | Column],
     id_col: str = "id",
     num_partitions: int | None = None,
+    start: int = 0,
 ) -> DataFrame:
-    """Add ``id_col`` (long) = 0-based rank of each row by ``order_by``.
+    """Add ``id_col`` (long) = ``start`` + 0-based rank of each row by ``order_by``.
 
     ``order_by`` must identify rows uniquely for the ids to be reproducible;
-    the result equals ``row_number() OVER (ORDER BY order_by) - 1``.
+    the result equals ``row_number() OVER (ORDER BY order_by) - 1 + start``.
+    A later load goes on from ``start`` (see ``stellate.streaming.loads``).
     """
     if id_col in df.columns:
         raise ValueError(f"column {id_col!r} already exists; choose another id_col")
@@ -55,7 +57,7 @@ def dense_key(
     ).write.parquet(path)
     tagged = df.sparkSession.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect()
-    offsets_rows, running = [], 0
+    offsets_rows, running = [], start
     for r in sorted(counts, key=lambda r: r["_pid"]):
         offsets_rows.append((r["_pid"], running))
         running += r["_cnt"]

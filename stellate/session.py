@@ -78,6 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared scratch folder and read it back: columnar, prunable, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: data is written to the shared folder, so a lost
     executor does not force a recompute of the whole lineage."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 # Schema for scans that only count rows.
 NO_COLUMNS = T.StructType([])
 
+# Error conditions of a folder that does not exist yet or holds no file.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 # Names of the tables shipped with the test data (one parquet file each).
 TABLES = (
     "region",
@@ -45,6 +49,16 @@ def read_table(spark: SparkSession, base: str, name: str, columns: Iterable[str]
     return df.select(*columns) if columns else df
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when there is none yet; other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in _ABSENT:
+            return None
+        raise
+
+
 def table_counts(
     spark: SparkSession, base: str, names: Iterable[str] = TABLES
 ) -> DataFrame:

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,11 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from stellate.operators.clean import dedup_by_key
 from stellate.operators.lookup import DEFAULT_BROADCAST_ROWS, fits
 from stellate.plans.warehouse import write_counted
-from stellate.session import cut_lineage
-
-# Error conditions of a target that does not exist yet or holds no file.
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
+from stellate.session import stage
+from stellate.sources.tables import read_if_present
 
 class Refresh(NamedTuple):
     """What a batch did: rows appended, rows whose key was known, and those of them that differ from the stored row."""
@@ -62,12 +58,12 @@ def split_new_keys(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(new, known): rows of ``batch``, one per key, by whether their key is in ``existing``; known ones with the stored row.
 
-    The deduplicated batch is materialized once.  Only the batch's key range
+    The deduplicated batch is written once (Parquet in the shared folder).  Only the batch's key range
     of the table is read; while the batch fits a broadcast its keys meet the
     table on the map side, so the table is not shuffled.
     """
     keys = list(keys)
-    fresh = cut_lineage(dedup_by_key(batch, keys))
+    fresh = stage(dedup_by_key(batch, keys), "refresh-batch")
     if existing is None:
         return fresh, None
     rest = [c for c in fresh.columns if c not in keys]
@@ -75,7 +71,7 @@ def split_new_keys(
     wanted = fresh.select(*keys)
     small = fits(wanted, max_broadcast_keys)
     seen = stored.join(F.broadcast(wanted) if small else wanted, _same_keys(stored, wanted, keys), "left_semi")
-    seen = cut_lineage(dedup_by_key(seen, keys))
+    seen = stage(dedup_by_key(seen, keys), "refresh-known")
     new = fresh.join(seen, _same_keys(fresh, seen, keys), "left_anti")
     known = fresh.join(seen, _same_keys(fresh, seen, keys)).select(*[fresh[c] for c in fresh.columns], seen["_stored"])
     return new, known
@@ -88,22 +84,12 @@ def append_new_keys(
     return split_new_keys(existing, batch, keys, max_broadcast_keys)[0]
 
 
-def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when there is none yet; other errors are raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in _ABSENT:
-            return None
-        raise
-
-
 def refresh_once(spark: SparkSession, batch: DataFrame, target_path: str, keys: Sequence[str]) -> Refresh:
     """Append the new-key rows of ``batch`` to the parquet table at ``target_path``.
 
     A batch with other columns than the table is refused rather than cut to fit.
     """
-    existing = _read_target(spark, target_path)
+    existing = read_if_present(spark, target_path)
     if existing is not None and set(existing.columns) != set(batch.columns):
         raise ValueError(f"batch columns {sorted(set(batch.columns) ^ set(existing.columns))} are not in both batch and table")
     new, known = split_new_keys(existing, batch, keys)
@@ -130,7 +116,7 @@ def start_refresh(
     ``available_now`` processes what is there and stops (a scheduled daily or
     weekly refresh); otherwise it runs every ``processing_time``.
     """
-    if _read_target(spark, target_path) is None:
+    if read_if_present(spark, target_path) is None:
         # an empty table with the schema, so every micro-batch can anti-join
         spark.createDataFrame([], schema).write.parquet(target_path)
     stream = spark.readStream.schema(schema).parquet(source_dir)
