@@ -25,8 +25,22 @@ NAME_PATTERN = r"value[ \t]+\$?(\w+)"
 ENTRY_PATTERN = r"(?m)^[ \t]*('[^'\r\n]*'|-?\w+)[ \t]*=[ \t]*'((?:[^'\r\n]|'')*)'"
 # Pieces of the text: a quoted string of one line, a block comment, or anything between.
 PIECE_PATTERN = r"(?s)'[^'\r\n]*'|/\*.*?\*/|[^'/]+|['/]"
-# A ";" inside quotes is held back as the first of these characters until the blocks are cut.
+# A ";" inside quotes is held back as the first of these characters until the blocks are cut; either
+# of them in the text itself is written as the second and a digit meanwhile.
 HELD = "\ue000\ue001"
+_HELD_FORMS = ((HELD[1], HELD[1] + "1"), (HELD[0], HELD[1] + "0"), (";", HELD[0]))
+
+
+def _hold(c: Column) -> Column:
+    for own, held in _HELD_FORMS:
+        c = F.replace(c, F.lit(own), F.lit(held))
+    return c
+
+
+def _release(c: Column) -> Column:
+    for own, held in reversed(_HELD_FORMS):
+        c = F.replace(c, F.lit(held), F.lit(own))
+    return c
 
 
 def _protected(text: Column) -> Column:
@@ -34,17 +48,17 @@ def _protected(text: Column) -> Column:
     piece = F.transform(
         F.regexp_extract_all(text, F.lit(PIECE_PATTERN), F.lit(0)),
         lambda p: F.when(p.startswith("/*"), F.lit(" "))
-        .when(p.startswith("'"), F.translate(p, ";" + HELD[0], HELD)).otherwise(p),
+        .when(p.startswith("'"), _hold(p)).otherwise(p),
     )
     return F.array_join(piece, "")
 
 
 def _clean_code(c: Column) -> Column:
-    return F.trim(F.translate(F.regexp_replace(c, r"^'|'$", ""), HELD, ";" + HELD[0]))
+    return F.trim(_release(F.regexp_replace(c, r"^'|'$", "")))
 
 
 def _clean_label(c: Column) -> Column:
-    return F.trim(F.translate(F.replace(c, F.lit("''"), F.lit("'")), HELD + "\t", ";" + HELD[0]))
+    return F.trim(_release(F.translate(F.replace(c, F.lit("''"), F.lit("'")), "\t", "")))
 
 
 def parse_code_lists(
@@ -114,7 +128,7 @@ def render_code_list(
     Lines end in CRLF, codes are quoted, codes and labels are tab-padded and
     quotes in labels are doubled, as in hand-written label files.  What the
     format cannot carry is refused: line breaks and tabs in either, quotes in
-    codes, the two characters the parser reserves.  A list longer than ``max_entries``
+    codes.  A list longer than ``max_entries``
     is cut into several blocks of the same name by a hash of the code, so no
     block (one row, built in one task) grows with the data; the parser merges
     blocks of one name.
@@ -122,7 +136,7 @@ def render_code_list(
     from stellate.operators.lookup import bounded_broadcast
 
     code, label = F.col(code_col).cast("string"), F.col(label_col).cast("string")
-    refused = F.rlike(code, F.lit(f"['\t\r\n{HELD}]")) | F.rlike(label, F.lit(f"[\t\r\n{HELD}]"))
+    refused = F.rlike(code, F.lit("['\t\r\n]")) | F.rlike(label, F.lit("[\t\r\n]"))
     line = F.when(refused, F.raise_error(F.concat(F.lit("a code list cannot carry code "), code, F.lit(" with label "), label))).otherwise(
         F.concat(F.lit("\t'"), code, F.lit("'\t=\t'"), F.replace(label, F.lit("'"), F.lit("''")), F.lit("'")))
     sizes = df.groupBy(F.col(list_col).alias("_list")).agg(
