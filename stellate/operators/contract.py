@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.casts import tolerant_cast
-from stellate.session import scratch_path
+from stellate.session import stage
 
 
 @dataclass(frozen=True)
@@ -50,15 +50,32 @@ class Contract:
         return Contract(self.name, tuple(c for c in self.columns if c.name not in names), key)
 
     def ddl(self, using: str = "parquet") -> str:
-        cols = ", ".join(f"`{c.name}` {c.dtype}" for c in self.columns)
-        return f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}) USING {using}"
+        return f"CREATE TABLE IF NOT EXISTS {self.name} ({self.column_ddl()}) USING {using}"
 
+    def column_ddl(self) -> str:
+        """Column list with CHAR widths (checked by Spark at every insert) and NOT NULL."""
+        return ", ".join(
+            f"`{c.name}` {f'VARCHAR({c.max_length})' if c.max_length is not None else c.dtype}{'' if c.nullable else ' NOT NULL'}"
+            for c in self.columns
+        )
+
+    def properties(self) -> dict[str, str]:
+        """The constraints that Spark's Parquet tables do not check themselves, as table properties."""
+        return {NOT_NULL: ",".join(c.name for c in self.columns if not c.nullable), PRIMARY_KEY: ",".join(self.primary_key)}
+
+
+# Table properties that hold constraints (see ``Contract.properties``).
+NOT_NULL, PRIMARY_KEY = "stellate.not_null", "stellate.primary_key"
 
-def apply_contract(df: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:
-    """Select and cast to the contract by name; extra columns are dropped.
 
-    A missing source column raises when ``strict``, else it becomes NULL.
+def apply_contract(df: DataFrame, contract: Contract, optional: Sequence[str] = ()) -> DataFrame:
+    """Select and cast to the contract by name; extra columns are dropped (``drift`` names them).
+
+    A missing source column raises unless ``optional`` names its target column, which then is NULL.
     """
+    unknown = set(optional) - set(contract.names)
+    if unknown:
+        raise ValueError(f"{contract.name}: optional columns {sorted(unknown)} are not in the contract")
     types = {f.name.lower(): (f.name, f.dataType) for f in df.schema.fields}
     out = []
     for c in contract.columns:
@@ -67,14 +84,29 @@ def apply_contract(df: DataFrame, contract: Contract, strict: bool = False) -> D
         if src in types:
             real, st = types[src]
             expr = F.col(f"`{real}`") if st == target else tolerant_cast(F.col(f"`{real}`"), target, st)
-        elif strict:
-            raise ValueError(f"{contract.name}: source column {c.source or c.name!r} missing")
-        else:
+        elif c.name in optional:
             expr = F.lit(None).cast(target)
+        else:
+            raise ValueError(f"{contract.name}: source column {c.source or c.name!r} is missing (columns: {', '.join(df.columns)})")
         out.append(expr.alias(c.name))
     return df.select(*out)
 
 
+def drift(df: DataFrame, contract: Contract) -> DataFrame:
+    """(column_name, status, source_type, target_type): how a source's columns differ from the contract: ``missing``, ``extra`` or ``cast``."""
+    types = {f.name.lower(): f for f in df.schema.fields}
+    wanted = {(c.source or c.name).lower(): c for c in contract.columns}
+    rows = []
+    for key, c in wanted.items():
+        target = T._parse_datatype_string(c.dtype).simpleString()
+        if key not in types:
+            rows.append((c.source or c.name, "missing", None, target))
+        elif types[key].dataType.simpleString() != target:
+            rows.append((types[key].name, "cast", types[key].dataType.simpleString(), target))
+    rows += [(f.name, "extra", f.dataType.simpleString(), None) for key, f in types.items() if key not in wanted]
+    return df.sparkSession.createDataFrame(rows, "column_name string, status string, source_type string, target_type string")
+
+
 def violations(contract: Contract) -> list[tuple[Column, str]]:
     """(broken, reason) of every constraint; ``broken`` is never NULL."""
     checks = []
@@ -97,11 +129,6 @@ def _reasons(checks: Sequence[tuple[Column, str]]) -> Column:
     return F.concat(none, *[F.when(broken, F.array(F.lit(reason))).otherwise(none) for broken, reason in checks])
 
 
-def violation_reasons(contract: Contract) -> Column:
-    """Array of constraint violations of a conformed row (empty when valid)."""
-    return _reasons(violations(contract))
-
-
 def is_violated(contract: Contract) -> Column:
     """Whether a conformed row breaks any constraint: an ``OR`` of the plain checks."""
     return _any(violations(contract))
@@ -142,16 +169,15 @@ def enforce_contract(
     ``mode='fail'`` a violation raises (one bounded ``limit(1)`` probe) and
     ``rejects`` is empty.  Rows are split on a plain boolean, and only rejected
     rows build their reasons; with ``materialize`` the rows are written once to
-    the shared folder (as Parquet), so consuming both does not compute ``df`` twice.
+    the shared folder (as Parquet) first, so ``df`` is computed once: repeated keys
+    are found in the written rows (key columns only), and both results read those.
     """
     checks, columns = violations(contract), df.columns
+    if materialize:
+        df = stage(df, f"split-{contract.name}")
     if check_key and contract.primary_key:
         df = _flag_duplicate_keys(df, contract.primary_key)
         checks.append((F.col("_dup_key"), f"{', '.join(contract.primary_key)} duplicated"))
-    if materialize:
-        path = scratch_path(df.sparkSession, f"split-{contract.name}")
-        df.write.parquet(path)
-        df = df.sparkSession.read.schema(df.schema).parquet(path)
     broken = _any(checks)
     valid = df.filter(~broken).select(*[F.col(f"`{c}`") for c in columns])
     rejects = df.filter(broken).withColumn("reasons", _reasons(checks)).drop("_dup_key")

@@ -100,3 +100,13 @@ def top_key_share(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
     total = per_key.agg(F.sum("n_rows")).scalar()  # scalar subquery, evaluated once
     top = per_key.orderBy(F.col("n_rows").desc(), *keys).limit(n)
     return top.select(*keys, "n_rows", (F.col("n_rows") / total).alias("share"))
+
+
+def largest_share(df: DataFrame, keys: Sequence[str], tracked: int = 1000) -> float:
+    """Share of the most frequent key value among all rows, from a sketch of ``tracked`` values: one pass without a shuffle of keys.
+
+    The sketch can only overstate a count, by less than a ``tracked``-th of the rows or so; an empty frame gives 0.
+    """
+    key = F.xxhash64(*keys)
+    top = df.select(key.alias("k")).agg(F.expr(f"approx_top_k(k, 1, {tracked})").alias("top"), F.count(F.lit(1)).alias("rows")).first()  # one row
+    return top["top"][0]["count"] / top["rows"] if top["rows"] and top["top"] else 0.0

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stellate.operators.contract import Contract, apply_contract
-from stellate.operators.profile import top_key_share
+from stellate.operators.contract import NOT_NULL, PRIMARY_KEY, Contract, apply_contract
+from stellate.operators.profile import largest_share
 from stellate.sources.tables import NO_COLUMNS
 
 
@@ -97,8 +97,9 @@ def load_table(
     target_path: str | None = None,
     table_name: str | None = None,
     mode: str = "overwrite",
+    optional: Sequence[str] = (),
 ) -> DataFrame:
-    """Load a parquet table into a contract *by column name*, then store it.
+    """Load a parquet table into a contract *by column name*, then store it (a missing column is an error unless ``optional``).
 
     Stored at ``target_path`` (files), or as catalog table ``table_name``;
     with both, the catalog table is external at ``target_path`` (a shared
@@ -106,7 +107,7 @@ def load_table(
     data read back from storage (lineage cut).
     """
     src = spark.read.parquet(source_path)
-    shaped = apply_contract(src, contract)
+    shaped = apply_contract(src, contract, optional)
     if table_name:
         writer = shaped.write.mode(mode).format("parquet")
         if target_path:
@@ -132,31 +133,69 @@ def create_tables(
 
     Returns contract name -> catalog table name.  Locations are explicit, so
     the tables live in the shared folder rather than a machine-local warehouse.
+    CHAR widths are part of the column types, so Spark refuses longer values at
+    every insert; Spark does not check NOT NULL or keys of Parquet tables, so
+    these go to table properties, from which ``insert_checked`` enforces them.
     """
     made = {}
     for c in contracts:
         table = f"{prefix}{c.name}"
-        cols = ", ".join(f"`{col.name}` {col.dtype}" for col in c.columns)
+        held = ", ".join(f"'{k}' = '{v}'" for k, v in c.properties().items())
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-            f"LOCATION '{base.rstrip('/')}/{c.name}'"
+            f"CREATE TABLE IF NOT EXISTS {table} ({c.column_ddl()}) USING parquet "
+            f"TBLPROPERTIES ({held}) LOCATION '{base.rstrip('/')}/{c.name}'"
         )
         made[c.name] = table
     return made
 
 
-def insert_by_name(df: DataFrame, contract: Contract, table: str, overwrite: bool = False) -> int:
-    """Insert into a contract table matching columns by *name*; returns rows inserted.
+def table_constraints(spark: SparkSession, table: str) -> dict[str, list[str]]:
+    """Columns that must not be NULL, and the primary key, as the catalog holds them."""
+    held = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}  # a row per property
+    return {k: [c for c in held.get(k, "").split(",") if c] for k in (NOT_NULL, PRIMARY_KEY)}
 
-    ``insertInto`` is positional, so the frame is first shaped to the
-    contract's column order by name with tolerant casts.
+
+def insert_checked(df: DataFrame, table: str, overwrite: bool = False) -> int:
+    """Insert into a catalog table by column *name*, under the constraints that the table itself holds; returns rows inserted.
+
+    A NULL in a NOT NULL column, a key that repeats in ``df`` or (when appending)
+    is stored already, or a value longer than its CHAR width fails the insert as a
+    whole: nothing of ``df`` is stored.  A missing or extra column is refused.
     """
-    shaped = apply_contract(df, contract)
+    spark = df.sparkSession
+    target = spark.table(table)
+    if set(df.columns) != set(target.columns):
+        raise ValueError(f"{table}: columns {sorted(set(df.columns) ^ set(target.columns))} are not in both table and data")
+    rules = table_constraints(spark, table)
+    keys = rules[PRIMARY_KEY]
+    if keys:
+        rows = df.select(*[F.col(f"`{k}`") for k in keys], F.lit(1).alias("_own"))
+        if not overwrite:
+            rows = rows.unionByName(target.select(*[F.col(f"`{k}`") for k in keys], F.lit(0).alias("_own")))
+        twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_own").alias("_own")).where("_n > 1 and _own = 1")
+        first = twice.limit(1).collect()
+        if first:
+            raise ValueError(f"{table}: key {[first[0][k] for k in keys]} would be stored {first[0]['_n']} times")
+    return _insert(df.select(*[F.col(f"`{c}`") for c in target.columns]), rules[NOT_NULL], table, overwrite)
+
+
+def _insert(shaped: DataFrame, required: Sequence[str], table: str, overwrite: bool) -> int:
+    refused = {c: F.when(F.col(f"`{c}`").isNull(), F.raise_error(F.lit(f"{table}: {c} is null"))).otherwise(F.col(f"`{c}`")) for c in required}
     obs = Observation(f"insert_{uuid.uuid4().hex}")
-    shaped.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=overwrite)
+    shaped.withColumns(refused).observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table, overwrite=overwrite)
     return int(obs.get["rows"])
 
 
+def insert_by_name(df: DataFrame, contract: Contract, table: str, overwrite: bool = False, optional: Sequence[str] = ()) -> int:
+    """Insert into a contract table matching columns by *name*; returns rows inserted.
+
+    ``insertInto`` is positional, so the frame is first shaped to the
+    contract's column order by name with tolerant casts (``apply_contract``).  A
+    NULL in a NOT NULL column or a value beyond its CHAR width fails the insert.
+    """
+    return _insert(apply_contract(df, contract, optional), [c.name for c in contract.columns if not c.nullable], table, overwrite)
+
+
 def choose_buckets(
     df: DataFrame, rows_per_bucket: int = 4_000_000, max_buckets: int = 65_536
 ) -> int:
@@ -194,8 +233,7 @@ def save_bucketed(
     follows the largest key's share: one file for an even table.
     """
     if files_per_bucket is None:
-        top = top_key_share(df, key, n=1).collect()  # one row
-        files_per_bucket = max(1, -(-int(top[0]["share"] * buckets * 1000) // 1000)) if top else 1
+        files_per_bucket = max(1, -(-int(largest_share(df, key) * buckets * 1000) // 1000))
     if files_per_bucket == 1:
         # one shuffle into exactly the bucket layout: one file per bucket instead of one per (task, bucket)
         laid_out = df.repartition(buckets, *key)
