@@ -46,19 +46,25 @@ def cast_columns(df: DataFrame, casts: Mapping[str, T.DataType | str]) -> DataFr
     )
 
 
+def loss_aggregates(converted: Mapping[str, tuple[Column, Column]]) -> list[Column]:
+    """Named aggregates per column (source value, converted value): values present before, and those of them NULL after.
+
+    They can run in any aggregation, also one observed on a write (see ``stellate.operators.load_metrics``).
+    """
+    out = []
+    for name, (src, to) in converted.items():
+        out.append(F.count(src).alias(f"{name}__in"))
+        out.append(F.count_if(src.isNotNull() & to.isNull()).alias(f"{name}__lost"))
+    return out
+
+
 def cast_loss_report(df: DataFrame, casts: Mapping[str, T.DataType | str]) -> DataFrame:
     """(column_name, non_null_in, lost) per cast column, in one aggregate pass.
 
     ``lost`` counts values that were present before the cast and NULL after.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = []
-    for name, to in casts.items():
-        src = F.col(name)
-        out = tolerant_cast(name, to, types.get(name))
-        aggs.append(F.count(src).alias(f"{name}__in"))
-        aggs.append(F.count_if(src.isNotNull() & out.isNull()).alias(f"{name}__lost"))
-    wide = df.agg(*aggs)
+    wide = df.agg(*loss_aggregates({name: (F.col(name), tolerant_cast(name, to, types.get(name))) for name, to in casts.items()}))
     return wide.select(
         F.explode(
             F.array(

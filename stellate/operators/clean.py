@@ -76,8 +76,9 @@ def dedup_by_key(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     keep: str = "first",
+    count: str | None = None,
 ) -> DataFrame:
-    """One row per key.
+    """One row per key; ``count`` names a column for the number of rows the key had.
 
     The survivor is deterministic: the row that sorts first (``keep='first'``)
     or last by ``order_by`` and then by every other column, nulls first.  It is
@@ -89,21 +90,23 @@ def dedup_by_key(
     rest = [c for c in df.columns if c not in keys]
     order = [c for c in (order_by or []) if c not in keys]
     # a type without an order (MAP, also nested) is ranked by its JSON text
+    counted = [F.count(F.lit(1)).alias(count)] if count else []
+    more = [F.col(f"`{count}`")] if count else []
     fields = [_orderable(df, c).alias(f"_o{i}") for i, c in enumerate(order)]
     fields += [_orderable(df, c).alias(f"_t{i}") for i, c in enumerate(rest) if _has_map(df.schema[c].dataType)]
     if any(_has_map(df.schema[c].dataType) for c in rest):
         ordered = F.struct(*fields, *[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(rest) if not _has_map(df.schema[c].dataType)])
         whole = F.struct(*[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)])
         by = F.min_by if keep == "first" else F.max_by
-        agg = df.groupBy(*keys).agg(by(whole, ordered).alias("_s"))
-        return agg.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_s._r{rest.index(c)}").alias(c) for c in df.columns])
+        agg = df.groupBy(*keys).agg(by(whole, ordered).alias("_s"), *counted)
+        return agg.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_s._r{rest.index(c)}").alias(c) for c in df.columns], *more)
     fields += [F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)]
     if not rest:
-        return df.select(*keys).distinct()
+        return df.groupBy(*keys).agg(*counted) if count else df.select(*keys).distinct()
     pick = F.min if keep == "first" else F.max
-    agg = df.groupBy(*keys).agg(pick(F.struct(*fields)).alias("_s"))
+    agg = df.groupBy(*keys).agg(pick(F.struct(*fields)).alias("_s"), *counted)
     out = {c: F.col(f"_s._r{i}") for i, c in enumerate(rest)}
-    return agg.select(*[F.col(f"`{c}`") if c in keys else out[c].alias(c) for c in df.columns])
+    return agg.select(*[F.col(f"`{c}`") if c in keys else out[c].alias(c) for c in df.columns], *more)
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ is a pure DataFrame -> DataFrame function; nothing runs until a write.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stellate.functions.casts import tolerant_cast
@@ -22,6 +22,7 @@ from stellate.operators.clean import (
 from stellate.operators.contract import Col, Contract
 from stellate.operators.dims import distinct_dates, time_dimension
 from stellate.operators.keys import dense_key
+from stellate.operators.load_metrics import LoadMetrics
 from stellate.operators.lookup import decode, decode_roles
 from stellate.session import cut_lineage
 from stellate.sources.codelists import code_list, inline_code_list
@@ -36,6 +37,7 @@ COUNTRY_LIST = "i94cntyl"
 MODE_LIST = "i94model"
 STATE_LIST = "i94addrl"
 PORT_LIST = "i94prtl"
+NUMERIC_LISTS = ("country", "mode", "visa")  # lookups by codes that the fact holds as numbers
 VISA_CODES = {"1": "Business", "2": "Pleasure", "3": "Student"}
 
 # Names and types of the five target tables.
@@ -125,13 +127,29 @@ TIME = Contract(
 
 CONTRACTS = {c.name: c for c in (IMMIGRATION, TEMPERATURE, AIRPORT, DEMOGRAPHICS, TIME)}
 
-# Text columns of the cleaned sources and the types they are cast to.
+# Every converted column of the cleaned sources and its type (``day``: a day number); the conform steps
+# convert by this table and the loss report counts by it.
 CASTS = {
+    "immigration": {"cicid": "bigint", "arrdate": "day", "depdate": "day", "i94bir": "int", "biryear": "int"},
     "temperature": {"dt": "date", "AverageTemperature": "double", "AverageTemperatureUncertainty": "double"},
-    "demographics": {"Median_Age": "double", "Total_Population": "int", "Count": "int"},
+    "demographics": {
+        "Median_Age": "double", "Male_Population": "int", "Female_Population": "int", "Total_Population": "int", "Number_of_Veterans": "int",
+        "Foreign-born": "int", "Average_Household_Size": "double", "Count": "int",
+    },
     "airport": {"elevation_ft": "int"},
 }
 
+
+def converted(table: str, df: DataFrame) -> dict[str, tuple[Column, Column]]:
+    """Column -> (source value, converted value) for every entry of ``CASTS[table]``."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
+    for name, to in CASTS[table].items():
+        own = F.col(f"`{name}`")
+        out[name] = (own, day_number_to_date(own) if to == "day" else parse_date(own) if to == "date" else tolerant_cast(own, to, types.get(name)))
+    return out
+
+
 # Audited columns of the completeness check, per table.
 AUDITED = {
     "immigration": ("arrival_date", "departure_date", "port"),
@@ -143,17 +161,24 @@ AUDITED = {
 
 # ---- clean ---------------------------------------------------------------
 
-def clean_immigration(df: DataFrame) -> DataFrame:
+def clean_immigration(df: DataFrame, metrics: LoadMetrics | None = None) -> DataFrame:
     """Drop the unused columns and keep one row per ``cicid`` (deterministic survivor)."""
-    return dedup_by_key(drop_columns(df, *IMMIGRATION_DROP), ["cicid"])
+    return _one_row(drop_columns(df, *IMMIGRATION_DROP), "cicid", "immigration", metrics)
 
 
-def clean_airport(df: DataFrame, types: tuple[str, ...] | None = None, country: str | None = None) -> DataFrame:
+def _one_row(df: DataFrame, key: str, table: str, metrics: LoadMetrics | None) -> DataFrame:
+    """One row per key; ``metrics`` takes the rows read and removed on the way."""
+    return dedup_by_key(df, [key]) if metrics is None else metrics.duplicates(dedup_by_key(df, [key], count="_n"), table, "_n")
+
+
+def clean_airport(
+    df: DataFrame, types: tuple[str, ...] | None = None, country: str | None = None, metrics: LoadMetrics | None = None
+) -> DataFrame:
     """Drop unused columns, one row per ident, keep airports with an IATA code.
 
     ``types`` / ``country`` optionally narrow to e.g. large US airports.
     """
-    out = filter_not_null(dedup_by_key(drop_columns(df, *AIRPORT_DROP), ["ident"]), "iata_code")
+    out = filter_not_null(_one_row(drop_columns(df, *AIRPORT_DROP), "ident", "airport", metrics), "iata_code")
     if types:
         out = out.filter(F.col("type").isin(list(types)))
     if country:
@@ -206,16 +231,16 @@ def conform_immigration(
     d = decode(d, "i94visa", lookups["visa"], "visa", known_rows=len(VISA_CODES), unique=True)
     if port_names:
         d = decode(d, "i94port", lookups["port"], "port_name")
-    types = {f.name: f.dataType for f in df.schema.fields}
+    to = {name: new for name, (_, new) in converted("immigration", df).items()}
     return d.select(
-        tolerant_cast("cicid", "bigint", types.get("cicid")).alias("id"),
-        day_number_to_date("arrdate").alias("arrival_date"),
-        day_number_to_date("depdate").alias("departure_date"),
+        to["cicid"].alias("id"),
+        to["arrdate"].alias("arrival_date"),
+        to["depdate"].alias("departure_date"),
         "birth_country",
         "residence_country",
         F.col("i94port").alias("port"),
-        tolerant_cast("i94bir", "int", types.get("i94bir")).alias("age"),
-        tolerant_cast("biryear", "int", types.get("biryear")).alias("birth_year"),
+        to["i94bir"].alias("age"),
+        to["biryear"].alias("birth_year"),
         "visa",
         "gender",
         "mode",
@@ -240,12 +265,13 @@ def number_rows(name: str, df: DataFrame) -> DataFrame:
 
 def conform_temperature(df: DataFrame, with_id: bool = True) -> DataFrame:
     """Typed measurements: text date with ``yyyy-MM-dd``, tolerant doubles, dense ``id``."""
+    to = {name: new for name, (_, new) in converted("temperature", df).items()}
     out = df.select(
         F.col("Country").alias("country"),
         F.col("City").alias("city"),
-        parse_date("dt").alias("date"),
-        tolerant_cast("AverageTemperature", "double").alias("average_temp"),
-        tolerant_cast("AverageTemperatureUncertainty", "double").alias("uncertanty"),
+        to["dt"].alias("date"),
+        to["AverageTemperature"].alias("average_temp"),
+        to["AverageTemperatureUncertainty"].alias("uncertanty"),
     )
     if with_id:
         out = number_rows("temperature", out)
@@ -254,17 +280,18 @@ def conform_temperature(df: DataFrame, with_id: bool = True) -> DataFrame:
 
 def conform_demographics(df: DataFrame, with_id: bool = True) -> DataFrame:
     """Columns named as after ``clean_demographics`` (spaces -> ``_``)."""
+    to = {name: new for name, (_, new) in converted("demographics", df).items()}
     out = df.select(
-        tolerant_cast("Median_Age", "double").alias("median_age"),
-        tolerant_cast("Male_Population", "int").alias("male_population"),
-        tolerant_cast("Female_Population", "int").alias("female_population"),
-        tolerant_cast("Total_Population", "int").alias("total_population"),
-        tolerant_cast("Number_of_Veterans", "int").alias("number_veterans"),
-        tolerant_cast(F.col("`Foreign-born`"), "int").alias("foreign_born"),
-        tolerant_cast("Average_Household_Size", "double").alias("average_household"),
+        to["Median_Age"].alias("median_age"),
+        to["Male_Population"].alias("male_population"),
+        to["Female_Population"].alias("female_population"),
+        to["Total_Population"].alias("total_population"),
+        to["Number_of_Veterans"].alias("number_veterans"),
+        to["Foreign-born"].alias("foreign_born"),
+        to["Average_Household_Size"].alias("average_household"),
         F.col("State_Code").alias("state_code"),
         F.col("Race").alias("race"),
-        tolerant_cast("Count", "int").alias("count"),
+        to["Count"].alias("count"),
         F.col("State").alias("state"),
         F.col("City").alias("city"),
     )
@@ -279,7 +306,7 @@ def conform_airport(df: DataFrame) -> DataFrame:
         F.col("ident").alias("id"),
         "type",
         "name",
-        tolerant_cast("elevation_ft", "int").alias("elevation"),
+        converted("airport", df)["elevation_ft"][1].alias("elevation"),
         "continent",
         F.col("iso_country").alias("country"),
         F.col("iso_region").alias("region"),
@@ -365,27 +392,30 @@ def build_warehouse(
     DataFrames: ``load`` (rows and seconds per table), ``row_counts`` (written
     vs read back), ``completeness`` (audited columns of the loaded tables),
     ``rejects`` (rows per table and reason), ``sources`` (rows read per
-    source), ``duplicates`` (rows a key de-duplication removes) and
-    ``cast_losses`` (values the typed columns could not take).
+    source), ``duplicates`` (rows a key de-duplication removes),
+    ``cast_losses`` (values the converted columns could not take) and
+    ``merged_codes`` (codes of a list that mean one number but different labels).
+    Each source is read once: the counts ride on the write of its conformed rows.
     """
     from functools import reduce
 
-    from stellate.functions.casts import cast_loss_report
-    from stellate.operators.clean import duplicate_report
     from stellate.operators.contract import enforce_contract, reject_summary
+    from stellate.operators.lookup import merged_codes
     from stellate.operators.quality import completeness_audit, counts_frame, row_count_check
     from stellate.plans.warehouse import read_counts, write_tables
     from stellate.sources.codelists import parse_code_lists
 
-    sources = {"immigration": immigration, "temperature": temperature, "demographics": demographics, "airport": airport}
+    metrics = LoadMetrics()
     lookups = immigration_lookups(spark, parse_code_lists(spark, label_paths))
     cleaned = {
-        "temperature": clean_temperature(temperature),
-        "demographics": clean_demographics(demographics),
-        "airport": clean_airport(airport),
+        "immigration": clean_immigration(immigration, metrics),
+        "temperature": clean_temperature(metrics.rows(temperature, "temperature")),
+        "demographics": clean_demographics(metrics.rows(demographics, "demographics")),
+        "airport": clean_airport(airport, metrics=metrics),
     }
+    cleaned = {name: metrics.losses(df, name, converted(name, df)) for name, df in cleaned.items()}
     conformed = {
-        "immigration": conform_immigration(clean_immigration(immigration), lookups, state_default),
+        "immigration": conform_immigration(cleaned["immigration"], lookups, state_default),
         "temperature": conform_temperature(cleaned["temperature"], with_id=False),
         "demographics": conform_demographics(cleaned["demographics"], with_id=False),
         "airport": conform_airport(cleaned["airport"]),
@@ -414,14 +444,12 @@ def build_warehouse(
         [reject_summary(spark.read.parquet(f"{base}/_rejects/{t}")).select(F.lit(t).alias("table_name"), "*")
          for t in rejects],
     )
-    counted = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in sources.items()]
-    keyed = {"immigration": (immigration, ["cicid"]), "airport": (airport, ["ident"])}
-    duplicates = [duplicate_report(df, keys).select(F.lit(t).alias("table_name"), "*") for t, (df, keys) in keyed.items()]
-    losses = [cast_loss_report(cleaned[t], CASTS[t]).select(F.lit(t).alias("table_name"), "*") for t in CASTS]
+    merged = [merged_codes(lookups[name], "double").select(F.lit(name).alias("list_name"), "*") for name in NUMERIC_LISTS]
     return {
-        "sources": reduce(DataFrame.unionByName, counted),
-        "duplicates": reduce(DataFrame.unionByName, duplicates),
-        "cast_losses": reduce(DataFrame.unionByName, losses),
+        "sources": metrics.source_report(spark),
+        "duplicates": metrics.duplicate_report(spark),
+        "cast_losses": metrics.loss_report(spark),
+        "merged_codes": reduce(DataFrame.unionByName, merged),
         "load": load,
         "row_counts": row_count_check(expected, actual),
         "completeness": audit,

@@ -106,7 +106,7 @@ def label_file(spark: SparkSession, sf: str) -> str:
                             F.concat("n_name", F.lit("; it's /* one */ 'land'")).alias("label"))
     state = region.select(F.lit(star.STATE_LIST).alias("list_name"), (F.col("r_regionkey") + 1).cast("string").alias("code"), F.col("r_name").alias("label"))
     port = nation.select(F.lit(star.PORT_LIST).alias("list_name"), F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("label"))
-    mode = inline_code_list(spark, {"1": "Air", "2": "Sea", "3": "Land"}).select(F.lit(star.MODE_LIST).alias("list_name"), "code", "label")
+    mode = inline_code_list(spark, {"1": "Air", "2": "Sea", "3": "Land", "03": "Land route"}).select(F.lit(star.MODE_LIST).alias("list_name"), "code", "label")
     path = scratch_path(spark, "labels")
     rows = reduce(DataFrame.unionByName, [country, state, port, mode])
     render_code_list(rows, "list_name", "code", "label").write.option("maxRecordsPerFile", 100).text(path)
@@ -155,8 +155,9 @@ def q_star_warehouse(spark, sf):
     shape = {
         "sources": (F.lit("rows"), F.col("row_count")), "load": (F.lit("rows"), F.col("rows")), "row_counts": (F.lit("missing"), F.col("missing")),
         "rejects": (F.col("reason"), F.col("n_rows")), "duplicates": (F.lit("duplicate_rows"), F.col("duplicate_rows")),
-        "cast_losses": (F.col("column_name"), F.col("lost")), "completeness": (F.col("column_name"), F.round("pct", 6)),
+        "cast_losses": (F.col("column_name"), F.col("lost")), "merged_codes": (F.col("code").cast("string"), F.col("labels")), "completeness": (F.col("column_name"), F.round("pct", 6)),
     }
+    out["merged_codes"] = out["merged_codes"].withColumnRenamed("list_name", "table_name")
     parts = [out[k].select(F.lit(k).alias("report"), "table_name", item.alias("item"), value.cast("double").alias("value")) for k, (item, value) in shape.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -183,7 +184,7 @@ _IMMIGRATION = """
              'P' || (o_custkey % 40) AS port, CAST(o_custkey % 90 AS INTEGER) AS age, CAST(o_custkey % 80 + 1930 AS INTEGER) AS birth_year,
              CASE o_orderkey % 4 WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure' WHEN 3 THEN 'Student' END AS visa,
              CASE WHEN o_custkey % 97 = 0 THEN 'XX' WHEN o_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
-             CASE o_orderkey % 5 WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land' END AS mode,
+             CASE o_orderkey % 5 WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land route' END AS mode,
              s.r_name AS state, o_orderstatus AS type
       FROM raw LEFT JOIN nation b ON o_custkey % 30 = b.n_nationkey LEFT JOIN nation r ON o_orderkey % 27 = r.n_nationkey
       LEFT JOIN region s ON substr(o_orderpriority, 1, 1) = CAST(s.r_regionkey + 1 AS VARCHAR))
@@ -280,7 +281,11 @@ STAR_SQL = {
           UNION ALL SELECT 'cast_losses', 'temperature', 'dt', count(*) FROM temperature WHERE date IS NULL
           UNION ALL SELECT 'cast_losses', 'temperature', 'AverageTemperature', count(*) FROM temperature WHERE average_temp IS NULL
           UNION ALL SELECT 'cast_losses', 'temperature', 'AverageTemperatureUncertainty', 0
-          UNION ALL SELECT 'cast_losses', 'demographics', c, 0 FROM (VALUES ('Median_Age'), ('Total_Population'), ('Count')) v(c)
+          UNION ALL SELECT 'cast_losses', 'immigration', c, 0 FROM (VALUES ('cicid'), ('arrdate'), ('depdate'), ('i94bir'), ('biryear')) v(c)
+          UNION ALL SELECT 'cast_losses', 'demographics', 'Number_of_Veterans', count(*) FROM demographics WHERE number_veterans IS NULL
+          UNION ALL SELECT 'cast_losses', 'demographics', c, 0
+                    FROM (VALUES ('Median_Age'), ('Male_Population'), ('Female_Population'), ('Total_Population'), ('Foreign-born'), ('Average_Household_Size'), ('Count')) v(c)
+          UNION ALL SELECT 'merged_codes', 'mode', '3.0', 2
           UNION ALL SELECT 'cast_losses', 'airport', 'elevation_ft', count(*) FROM airport WHERE elevation IS NULL
           UNION ALL {" UNION ALL ".join([*_pct("immigration", "ok", "arrival_date", "departure_date", "port"), *_pct("temperature", "warm", "city", "country", "date"), *_pct("demographics", "demographics", "city", "state"), *_pct("airport", "airport", "region", "municipality", "iata_code")])})
         SELECT report, table_name, item, CAST(value AS DOUBLE) AS value FROM r
