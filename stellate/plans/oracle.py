@@ -9,6 +9,7 @@ round, so results are cast and truncated to Spark's types; its
 
 from __future__ import annotations
 
+from stellate.plans.load_queries import LOAD_SQL
 from stellate.plans.star_queries import STAR_SQL
 from stellate.sources.tables import TABLES
 
@@ -346,7 +347,7 @@ ORACLE_SQL: dict[str, str] = {
                COALESCE(CAST(n AS DOUBLE) * 100.0 / CAST(t AS DOUBLE) = 100.0, false) AS ok
         FROM r
     """,
-    "arrivals_by_place": _ORDERS_MONTH_NATION,
+    "arrivals_by_place": _KNOWN_ORDERS_MONTH_NATION,
     "drill_across": f"""
         WITH a AS ({_KNOWN_ORDERS_MONTH_NATION}), b AS ({_LINES_MONTH_NATION})
         SELECT COALESCE(a.year, b.year) AS year, COALESCE(a.month, b.month) AS month,
@@ -361,4 +362,5 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_append": _ORDERS_SLIM,
     "incremental_stream": _ORDERS_SLIM,
     **STAR_SQL,
+    **LOAD_SQL,
 }

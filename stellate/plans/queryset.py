@@ -23,6 +23,7 @@ from stellate.operators.dims import distinct_dates, time_dimension
 from stellate.operators.joins import left_join_skew_safe
 from stellate.operators.keys import dense_key
 from stellate.plans import warehouse
+from stellate.plans.load_queries import LOAD_QUERIES
 from stellate.plans.star_queries import STAR_QUERIES
 from stellate.session import cut_lineage, scratch_path
 from stellate.sources.codelists import inline_code_list, parse_code_lists, render_code_list
@@ -663,13 +664,19 @@ def q_quality_completeness(spark, sf):
 
 # ---- marts -----------------------------------------------------------------
 
+def _orders_with_unknown_customers(spark, sf) -> DataFrame:
+    """All orders; every tenth customer's name no customer."""
+    return _t(spark, sf, "orders", "o_custkey", "o_orderdate").withColumn(
+        "o_custkey", F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")))
+
+
 def q_arrivals_by_place(spark, sf):
-    o = _t(spark, sf, "orders", "o_custkey", "o_orderdate")
+    o = _orders_with_unknown_customers(spark, sf)
     # orders per (customer, month) first: a hot customer shrinks before the join
     per_cust = marts.by_month_and_place(o, "o_orderdate", "o_custkey", [F.count(F.lit(1)).alias("_n")], place_name="o_custkey")
     c = _t(spark, sf, "customer", "c_custkey", "c_nationkey")
     by_nation = (
-        per_cust.join(c, per_cust["o_custkey"] == c["c_custkey"])
+        per_cust.join(c, per_cust["o_custkey"] == c["c_custkey"], "left")
         .groupBy("year", "month", "c_nationkey")
         .agg(F.sum("_n").alias("n_orders"))
     )
@@ -680,8 +687,7 @@ def q_arrivals_by_place(spark, sf):
 def q_drill_across(spark, sf):
     nations = _nation_codes(spark, sf)
     # orders of unknown customers and lines of unknown suppliers meet in one row without a place
-    o = _t(spark, sf, "orders", "o_custkey", "o_orderdate").withColumn(
-        "o_custkey", F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")))
+    o = _orders_with_unknown_customers(spark, sf)
     c = _t(spark, sf, "customer", "c_custkey", "c_nationkey")
     per_cust = o.groupBy(
         "o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
@@ -799,4 +805,5 @@ QUERIES: dict[str, Query] = {
     "incremental_append": q_incremental_append,
     "incremental_stream": q_incremental_stream,
     **STAR_QUERIES,
+    **LOAD_QUERIES,
 }

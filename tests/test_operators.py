@@ -386,11 +386,15 @@ def test_catalog_loads_by_name(spark):
     assert not spark.catalog.tableExists(tables["orders"])
 
 
-def test_apply_contract_strict_and_lenient(spark):
+def test_apply_contract_refuses_missing_columns(spark):
     from stellate.plans.queryset import ORDERS
 
-    o = read_table(spark, SF001, "orders").drop("o_orderpriority")
-    lenient = contract.apply_contract(o, ORDERS)
+    o = read_table(spark, SF001, "orders").drop("o_orderpriority").withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    with pytest.raises(ValueError, match="o_orderpriority"):
+        contract.apply_contract(o, ORDERS)
+    lenient = contract.apply_contract(o, ORDERS, optional=["o_orderpriority"])
     assert lenient.filter(F.col("o_orderpriority").isNotNull()).count() == 0
-    with pytest.raises(ValueError):
-        contract.apply_contract(o, ORDERS, strict=True)
+    with pytest.raises(ValueError, match="not in the contract"):
+        contract.apply_contract(o, ORDERS, optional=["o_clerk"])
+    found = {(r.column_name, r.status) for r in contract.drift(o.withColumn("extra", F.lit(1)), ORDERS).collect()}
+    assert {("o_orderpriority", "missing"), ("extra", "extra"), ("o_totalprice", "cast")} <= found

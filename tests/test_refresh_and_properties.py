@@ -74,12 +74,12 @@ _label_chars = st.text(
 
 
 def test_labels_with_separators_and_comment_marks(spark, tmp_path):
-    entries = {"1": "a; b", "2": "x /* y", "3": "it's", "4": "z */ w", "5": "; value foo 'q' = 'r';"}
+    entries = {"1": "a; b", "2": "x /* y", "3": "it's", "4": "z */ w", "5": "; value foo 'q' = 'r';", "6": "\ue000;\ue001\ue0010", "\ue001x": "\ue0011;"}
     rows = spark.createDataFrame([("lst", k, v) for k, v in entries.items()], "list_name string, code string, label string")
     path = scratch_path(spark, "marks")
     render_code_list(rows, "list_name", "code", "label").write.text(path)
     assert {r.code: r.label for r in parse_code_lists(spark, path).collect()} == entries
-    for code, label in (("a'b", "x"), ("a", "x\ny"), ("a", "\ue000")):
+    for code, label in (("a'b", "x"), ("a", "x\ny"), ("a", "\tx")):
         with pytest.raises(Exception, match="cannot carry"):
             render_code_list(spark.createDataFrame([("l", code, label)], rows.schema), "list_name", "code", "label").collect()
 
