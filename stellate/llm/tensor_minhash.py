@@ -13,23 +13,28 @@ Steps, all of them jobs over the whole input:
 2. documents of equal word sequence become one class with an id of its own;
    only classes go on;
 3. half keys held by one class alone are dropped (they cannot meet), the rest
-   are paired into table keys;
-4. in each bucket every member is compared with the bucket's smallest member,
-   on full sets; linked members share a centre;
-5. buckets whose members still have several centres are compared across them:
-   directly when small, else through an exact prefix filter (two sets of
-   similarity s share one of their first (1-s)n+1 shingles in any common order;
-   here rare ones come first) and a parity sketch (its differing bits never
-   outnumber the symmetric difference of the sets), so no pair is left out and no
-   bucket is expanded into all pairs;
-6. all links become connected components of classes; a component bears the
+   are paired into table keys; a class's standing is how many classes hold its
+   half keys, summed over them;
+4. in each bucket every member is compared with the member of the highest standing
+   (ties by the digest, so numbering plays no part), on full sets: a family of
+   copies gathers around the text that most of them come from; the links
+   become connected components;
+5. buckets whose members still have several components are compared across them:
+   directly when small, else through an exact prefix filter with positions (in any
+   common order of shingles, here rare ones first, two sets of similarity s
+   share one among the first (1-s)n+1 of the larger and the first
+   (1-s)/(1+s)n+1 of the smaller, and no more than what stands behind it) and
+   a parity sketch (its differing bits never outnumber the symmetric difference of the
+   sets), so no pair is left out and no bucket is expanded into all pairs;
+6. the links found there join the components; a component bears the
    smallest doc_id in it, and its class with that doc_id (ties: the smaller
-   digest) is the kept one.
+   digest) is its head.
 
 Null or empty texts have an empty set and are linked with nothing.  Each input
-row is returned.  Rows that repeat a doc_id with one word sequence get equal
-results; with other texts each row follows its own text, so they can have
-different components, and one can be kept while another goes.  Extra columns are
+row is returned; kept says that its doc_id is its component's.  Rows that repeat a
+doc_id with one word sequence get equal results; with other texts each row follows
+its own text, so they can have different components (``mark`` adds ``head``: the
+row's text is its component's head, so only one of them is).  Extra columns are
 ignored.  A null doc_id stays alone.
 """
 
@@ -49,7 +54,7 @@ from stellate.llm.common import connected_components, stored
 
 HALF_KEYS, ROWS, SHINGLE, PERCENT = 10, 2, 4, 80
 SLOTS, SLOT_BLOCK, PARITY = 1 << 16, 1024, 16  # counters of the rarity sketch, in blocks; 64-bit words of the parity sketch
-SMALL_BUCKET = 32  # above it, a bucket of several components goes through the prefix filter
+SMALL_BUCKET = 8  # above it, a bucket of several components goes through the prefix filter
 
 
 def _digest(text: bytes) -> bytes:
@@ -144,16 +149,26 @@ def _fits(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _across(members: DataFrame, key: str, percent: int, sketch: bool = False) -> DataFrame:
-    """Pairs of one key whose ends lie in different components and whose sizes (and parity sketches) fit."""
-    more = ["parity"] if sketch else []
-    x = members.select(key, F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), *[F.col(c).alias("pa") for c in more])
-    y = members.select(key, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), *[F.col(c).alias("pb") for c in more])
+def _across(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket whose ends lie in different components and whose sizes fit."""
+    x = members.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = members.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     fit = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb", percent)
-    if sketch:
-        differ = sum((F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i])) for i in range(PARITY)), F.lit(0))
-        fit = fit & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
-    return x.join(y, key).where(fit).select("a", "b").distinct()
+    return x.join(y, "bucket").where(fit).select("a", "b").distinct()
+
+
+def _token_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a token, at places, of sizes and with sketches that allow the similarity."""
+    probe = prefixes.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("at").alias("ia"), F.col("parity").alias("pa"))
+    # a smaller set (ties: the smaller number) is found by its short prefix
+    short = prefixes.where("short").select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("at").alias("ib"), F.col("parity").alias("pb"))
+    smaller = (F.col("nb") < F.col("na")) | ((F.col("nb") == F.col("na")) & (F.col("b") < F.col("a")))
+    behind = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    differ = sum((F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i])) for i in range(PARITY)), F.lit(0))
+    both = F.col("na") + F.col("nb")
+    fit = smaller & (F.col("ca") != F.col("cb")) & _fits("na", "nb", percent) & (behind * (100 + percent) >= both * percent) & (
+        differ * (100 + percent) <= both * (100 - percent))
+    return probe.join(short, "token").where(fit).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _slot(tokens: np.ndarray) -> np.ndarray:
@@ -177,26 +192,30 @@ def _sum_slots(part: pd.DataFrame) -> pd.DataFrame:
 def _prefix_task(rarity: np.ndarray, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, at, parity = [], [], []
+            out, place, short, at, parity = [], [], [], [], []
             for i, tokens in enumerate(batch.column(3)):
                 t = tokens.values.to_numpy()
-                slot = _slot(t)
-                first = t[np.lexsort((t, rarity[slot]))][: len(t) - -(-len(t) * percent // 100) + 1]
-                first = first[rarity[_slot(first)] > 1]  # alone in its slot: nobody shares it
-                out.append(first)
-                at.append(np.full(len(first), i))
+                n = len(t)
+                first = t[np.lexsort((t, rarity[_slot(t)]))][: n - -(-n * percent // 100) + 1]
+                spot = np.flatnonzero(rarity[_slot(first)] > 1)  # alone in its slot: nobody shares it, but it keeps its place
+                out.append(first[spot])
+                place.append(spot)
+                short.append(spot < n - -(-2 * n * percent // (100 + percent)) + 1)
+                at.append(np.full(len(spot), i))
                 bits = np.bincount((ta.mix(t.view(np.uint64) + np.uint64(1)) % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
                 parity.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
             if out and len(take := np.concatenate(at)):
                 sketches = pa.ListArray.from_arrays(pa.array(np.arange(len(parity) + 1, dtype=np.int32) * PARITY), pa.array(np.concatenate(parity)))
                 take = pa.array(take)
-                yield pa.record_batch([pa.array(np.concatenate(out)), *[batch.column(c).take(take) for c in range(3)], sketches.take(take)],
-                                      ["token", "node", "n", "component", "parity"])
+                yield pa.record_batch([pa.array(np.concatenate(out)), *[batch.column(c).take(take) for c in range(3)],
+                                       pa.array(np.concatenate(place).astype(np.int64)), pa.array(np.concatenate(short)), sketches.take(take)],
+                                      ["token", "node", "n", "component", "at", "short", "parity"])
     return run
 
 
 def _prefix_members(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """token, node, n, component, parity: the rarest (1-s)n+1 shingles of every hot node, without those nobody shares."""
+    """token, node, n, component, at, short, parity: the rarest (1-s)n+1 shingles of every hot node with their places, without those
+    nobody shares; short: among the first (1-s)/(1+s)n+1."""
     whole = stored(hot.join(sets, "node").select("node", "n", "component", "shingles"), "hot-sets")
     # a task sends at most SLOTS / SLOT_BLOCK rows of counters, whatever it has read
     counts = whole.select("shingles").mapInArrow(_slot_task, "block int, n array<long>").groupBy("block").applyInPandas(
@@ -204,30 +223,35 @@ def _prefix_members(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rarity = np.zeros(SLOTS, dtype=np.int64)
     for r in counts.collect():  # SLOTS counters
         rarity[r["block"] * SLOT_BLOCK : (r["block"] + 1) * SLOT_BLOCK] = r["n"]
-    return whole.mapInArrow(_prefix_task(rarity, percent), "token long, node long, n long, component long, parity array<long>")
+    return whole.mapInArrow(_prefix_task(rarity, percent), "token long, node long, n long, component long, at long, short boolean, parity array<long>")
+
+
+def _numbered(classes: DataFrame) -> DataFrame:
+    return classes.withColumn("node", F.monotonically_increasing_id())
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: int = ROWS, percent: int = PERCENT,
                     small_bucket: int = SMALL_BUCKET, mark: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``mark`` adds each row's ``text_mark``."""
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``mark`` adds each row's ``text_mark`` and ``head``."""
     sig = stored(signatures(docs, k, m, r, mark), "signatures")
     # a node is a class, whatever its doc_id; the write fixes the ids
-    classes = stored(
+    classes = stored(_numbered(
         sig.where("n_shingles > 0 and doc_id is not null").groupBy("seq")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half"))
-        .withColumn("node", F.monotonically_increasing_id()), "classes")
-    half = classes.select("node", "n", F.posexplode("half").alias("i", "h"))
-    shared = half.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
-    own = half.join(shared, "h").groupBy("node", "n").agg(F.collect_list(F.struct("i", "h")).alias("hs"))  # 2m at most
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("half").alias("half"))), "classes")
+    half = classes.select("node", "n", F.xxhash64("seq").alias("tie"), F.posexplode("half").alias("i", "h"))
+    shared = half.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    own = half.join(shared, "h").groupBy("node", "n", "tie").agg(F.collect_list(F.struct("i", "h")).alias("hs"), F.sum("c").alias("standing"))  # 2m half keys at most
     first = F.expr(f"transform(filter(hs, x -> x.i < {m}), x -> x.h)")
     second = F.expr(f"transform(filter(hs, x -> x.i >= {m}), x -> x.h)")
+    rank = ("node", "n", "standing", "tie")
     members = stored(
-        own.select("node", "n", F.explode(first).alias("h1"), second.alias("hs2"))
-        .select("node", "n", "h1", F.explode("hs2").alias("h2"))
-        .select(F.xxhash64("h1", "h2").alias("bucket"), "node", "n"), "members")
-    star = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        own.select(*rank, F.explode(first).alias("h1"), second.alias("hs2"))
+        .select(*rank, "h1", F.explode("hs2").alias("h2"))
+        .select(F.xxhash64("h1", "h2").alias("bucket"), *rank), "members")
+    star = members.groupBy("bucket").agg(F.min(F.struct((-F.col("standing")).alias("down"), "tie", "node", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1")
     pairs = (
-        members.join(star, "bucket").where("node <> p.node").select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
+        members.join(star, "bucket").where("node <> p.node")
+        .select(F.least("p.node", "node").alias("a"), F.greatest("p.node", "node").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
         .where(_fits("na", "nb", percent)).select("a", "b").distinct()
     )
     met = members.join(star.select("bucket"), "bucket", "left_semi").select("node").distinct()
@@ -236,33 +260,32 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, m: int = HALF_KEYS, r: in
     # rows may repeat a doc_id with another text: the word sequence names the class that a set belongs to
     by_seq = shingle_sets(some, k).groupBy("seq").agg(F.min("shingles").alias("shingles"))
     sets = stored(by_seq.join(wanted.select("seq", "node"), "seq").select("node", "shingles"), "sets")
-    links = stored(_linked(pairs, sets, percent), "links")
-    # each member's smallest linked centre, and that one's: enough to tell what the stars left apart
-    up = stored(links.groupBy("b").agg(F.min("a").alias("a")), "centres")
-    above = up.select(F.col("b").alias("a"), F.col("a").alias("top"))
-    parts = up.join(above, "a", "left").select(F.col("b").alias("node"), F.coalesce("top", "a").alias("component"))
+    found = stored(connected_components(_linked(pairs, sets, percent)), "star-components")
     placed = stored(
-        members.join(star.select("bucket"), "bucket", "left_semi").join(parts, "node", "left")
+        members.select("bucket", "node", "n").join(star.select("bucket"), "bucket", "left_semi").join(found, "node", "left")
         .withColumn("component", F.coalesce("component", "node")), "placed")
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y").select("bucket", "c")
     rest = stored(placed.join(open_, "bucket"), "open-buckets")
-    pairs2 = _across(rest.where(F.col("c") <= small_bucket), "bucket", percent)
+    across = _across(rest.where(F.col("c") <= small_bucket), percent)
     hot = stored(rest.where(F.col("c") > small_bucket).select("node", "n", "component").distinct(), "hot")
     if not hot.isEmpty():
-        pairs2 = pairs2.unionByName(_across(stored(_prefix_members(hot, sets, percent), "prefixes"), "token", percent, sketch=True)).distinct()
-    pairs2 = pairs2.join(pairs, ["a", "b"], "left_anti")
-    more = _linked(pairs2, sets, percent)
-    found = connected_components(links.unionByName(more))
+        across = across.unionByName(_token_pairs(stored(_prefix_members(hot, sets, percent), "prefixes"), percent)).distinct()
+    more = stored(_linked(across.join(pairs, ["a", "b"], "left_anti"), sets, percent), "links-across")
+    if not more.isEmpty():
+        found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     place = classes.select("seq", "doc_id", "node").join(found, "node")
     heads = place.groupBy("component").agg(F.min(F.struct("doc_id", "seq")).alias("head"))
     linked = place.join(heads, "component").select("node", F.col("head.doc_id").alias("component_id"), (F.col("seq") == F.col("head.seq")).alias("is_head"))
     by_class = classes.select("seq", "doc_id", "node").join(linked, "node", "left").select(
         "seq", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("is_head", F.lit(True)).alias("is_head"))
     # rows without a set have no class: they stand alone
-    more_columns = ["mark"] if mark else []
-    return (
-        sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("seq")).alias("seq"), *more_columns)
-        .join(by_class, "seq", "left")
-        .withColumn("kept", F.coalesce(F.col("is_head") & (F.col("doc_id") == F.col("component_id")), F.lit(True)))
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "kept", *more_columns)
+    extra = ["mark"] if mark else []
+    out = (
+        sig.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("seq")).alias("seq"), *extra)
+        .join(by_class, "seq", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    if mark:
+        extra += ["head"]
+        out = out.withColumn("head", F.col("kept") & F.coalesce("is_head", F.lit(True)))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", *extra)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def shared_ids():
 
 def test_near_duplicates_of_ids_with_several_texts(spark):
     rows = shared_ids()
-    got = {(r.doc_id, r.mark): (r.n_shingles, r.component_id, r.kept) for r in tensor_minhash.near_duplicates(frame(spark, rows), mark=True).collect()}
+    got = {(r.doc_id, r.mark): (r.n_shingles, r.component_id, r.kept, r.head) for r in tensor_minhash.near_duplicates(frame(spark, rows), mark=True).collect()}
     assert len(got) == len(rows)
     texts = sorted({t for _, t in rows})
     sets = [shingle_set(t) for t in texts]
@@ -56,10 +57,10 @@ def test_near_duplicates_of_ids_with_several_texts(spark):
     least = {c: min(i for i, t in rows if comp[texts.index(t)] == c) for c in set(comp.values())}
     kept: dict[int, int] = {}
     for i, t in rows:
-        n, component, keep = got[i, hashlib.md5(t.encode()).digest()]
+        n, component, keep, head = got[i, hashlib.md5(t.encode()).digest()]
         c = comp[texts.index(t)]
-        assert (n, component) == (len(shingle_set(t)), least[c]) and (i == component or not keep)
-        kept[c] = kept.get(c, 0) + keep
+        assert (n, component, keep) == (len(shingle_set(t)), least[c], i == least[c]) and (keep or not head)
+        kept[c] = kept.get(c, 0) + head
     assert set(kept.values()) == {1} and len(kept) == 24
 
 
@@ -91,13 +92,38 @@ def test_prefix_filter_finds_every_link(spark):
     docs = frame(spark, list(enumerate(texts)))
     sets = tensor_minhash.shingle_sets(docs)
     hot = sets.select("node", F.size("shingles").cast("long").alias("n"), F.col("node").alias("component"))
-    pairs = tensor_minhash._across(tensor_minhash._prefix_members(hot, sets, 80), "token", 80, sketch=True)
+    pairs = tensor_minhash._token_pairs(tensor_minhash._prefix_members(hot, sets, 80), 80)
     got = {(r.a, r.b) for r in tensor_minhash._linked(pairs, sets, 80).collect()}
     own = [shingle_set(t) for t in texts]
     want = {(a, b) for a in range(80) for b in range(a + 1, 80) if 100 * len(own[a] & own[b]) >= 80 * len(own[a] | own[b])}
     assert got == want and want
 
 
+PAIRS: dict[str, int] = {}
+
+
+@pytest.mark.parametrize("first", ["smallest", "largest", "random"])
+def test_pairs_of_a_family_do_not_depend_on_numbering(spark, monkeypatch, first):
+    # 300 copies of one text, a few words changed in each, some beyond the threshold; the text itself numbered anywhere
+    texts = [prose(40, 200), *family(40, 300, 9)]
+    seen = {}
+    monkeypatch.setattr(tensor_minhash, "_numbered", lambda classes: classes.withColumn("node", {
+        "smallest": F.col("doc_id"), "largest": 1000 - F.col("doc_id"), "random": F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))}[first]))
+    real = tensor_minhash._linked
+
+    def linked(pairs, sets, percent):
+        seen.setdefault("pairs", []).append(pairs.count())
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(tensor_minhash, "_linked", linked)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in tensor_minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == near_by_hand(rows)
+    # the same pairs whatever the numbering, and few: pairs grow with the rows
+    PAIRS[first] = sum(seen["pairs"])
+    assert max(PAIRS.values()) < 1.2 * min(PAIRS.values()) and PAIRS[first] < 10 * len(texts), (PAIRS, seen)
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert tensor_minhash.near_duplicates(frame(spark, [])).count() == 0
 
@@ -205,6 +231,18 @@ def test_line_dedup_by_hand(spark):
     assert got[103].n_removed == 3 and got[104].n_removed == 0
 
 
+def test_line_dedup_time_grows_with_the_lines(spark):
+    def seconds(n):
+        text = "\n".join(f"line number {i}" for i in range(n))
+        docs = frame(spark, [(1, text), (2, text)])
+        start = time.perf_counter()
+        assert [r.n_removed for r in line_dedup.dedup_lines(docs).orderBy("doc_id").collect()] == [0, n]
+        return time.perf_counter() - start
+
+    seconds(2000)
+    assert seconds(64_000) < 4 * seconds(16_000) + 4
+
+
 def test_line_dedup_repeated_rows_and_empty(spark):
     rows = [(1, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (None, "a\nb\nc"), (None, "z")]
     got = line_dedup.dedup_lines(frame(spark, rows)).collect()
