@@ -39,7 +39,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id; rows without id stay."""
     marked = docs.select(*DOC_COLUMNS, text_mark().alias("mark"))
     # by id and text: another text under the same doc_id stays
-    gone = near_duplicates(docs, k=NEAR_SHINGLE, mark=True).where("not kept").select("doc_id", "mark").distinct()
+    gone = near_duplicates(docs, k=NEAR_SHINGLE, mark=True).where("not head").select("doc_id", "mark").distinct()
     return marked.join(gone, ["doc_id", "mark"], "left_anti").select(*DOC_COLUMNS)
 
 
