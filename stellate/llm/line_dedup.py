@@ -59,11 +59,11 @@ def repeated_lines(docs: DataFrame, k: int = LINES) -> DataFrame:
 def dedup_lines(docs: DataFrame, k: int = LINES) -> DataFrame:
     """doc_id, text, clean_text, n_lines, n_removed, for every row of ``docs``."""
     gone = repeated_lines(docs, k).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "gone")
-    own = _lines(docs).withColumn("tag", F.xxhash64("text"))
+    own = _lines(docs).withColumn("tag", F.xxhash64("text")).withColumn("_ls", F.split("text", "\n"))
     joined = own.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), "gone")
-    kept = F.array_join(F.transform(stay, lambda i: F.get(F.split("text", "\n"), i)), "\n")
+    # the lines are cut once a text (bound as ls), not once a line
+    kept = F.expr("transform(array(_ls), ls -> array_join(transform(array_except(sequence(0, size(ls) - 1), gone), i -> get(ls, i)), '\n'))[0]")
     return joined.select(
         "doc_id", "text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("clean_text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size("_ls")).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
