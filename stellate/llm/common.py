@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +29,16 @@ def stored_observed(df: DataFrame, name: str, **aggregates: Column) -> tuple[Dat
     return out, seen.get
 
 
+def row_places(df: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of every row and its place, place_file and place_row: unique, and the same when a task runs again."""
+    place = [F.xxhash64("_metadata.file_path").alias("place_file"), F.col("_metadata.row_index").alias("place_row")]
+    try:
+        return df.select(*columns, *place)
+    except AnalysisException:  # not a plain scan: give the rows a place first
+        own = stored(df.select(*columns), "places")
+        return own.select("*", *place)
+
+
 def ordered_rank(df: DataFrame, keys: list[str], rank: str = "rank", name: str = "ranked") -> DataFrame:
     """Adds the 0-based position in the order of ``keys`` (ties: any order, fixed by one write).
 
@@ -54,6 +68,30 @@ def ordered_rank(df: DataFrame, keys: list[str], rank: str = "rank", name: str =
     )
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows meanwhile, for tasks whose rows are packed blocks of many values."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def meet_on_grid(pieces: DataFrame, parts: DataFrame, blocks: int, shelves: int) -> DataFrame:
+    """Every packed piece of queries (``piece`` int) beside every packed part of an index (``part`` long), by block and shelf.
+
+    Each side is shuffled once, a piece to every shelf and a part to every block; a task holds the parts of a
+    shelf and streams the pieces of a block past them.
+    """
+    left = pieces.withColumn("block", F.col("piece") % blocks).withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
+    right = parts.withColumn("shelf", F.pmod(F.xxhash64("part"), F.lit(shelves)).cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return left.join(right, ["block", "shelf"])
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node with an edge; component is the smallest node reachable.
 

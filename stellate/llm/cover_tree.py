@@ -13,8 +13,8 @@ q.c - |q| r .. q.c + |q| r.
    cell of many rows is split by hash.  Each part of about ``TREE_ROWS``
    becomes a cover tree: the children of a node cover half its power of two, are
    further apart than that, and carry their own measured radius.
-3. Queries, packed in pieces, meet all trees on a grid of at most ``BLOCKS``
-   x ``SHELVES`` keys.  A task keeps the best found so far of each of its queries
+3. Queries, packed in pieces, meet all trees on a grid: at most ``BLOCKS`` blocks of
+   pieces, and shelves of at most ``SHELF_TREES`` trees (``SHELVES`` at least).  A task keeps the best found so far of each of its queries
    and walks a tree best first: each round opens the nodes of the highest upper
    bounds of every query, scores their children exactly, raises the thresholds, and
    drops nodes whose bounds lie outside all of the query's windows.  Pruning allows
@@ -40,9 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stellate.llm.common import stored, stored_observed
+from stellate.llm.common import meet_on_grid, small_batches, stored, stored_observed
 
-CELLS, TREE_ROWS, SHELVES, BLOCKS, PIECE = 256, 2048, 8, 64, 256
+CELLS, TREE_ROWS, SHELVES, SHELF_TREES, BLOCKS, PIECE = 256, 2048, 8, 256, 64, 256
 LEAF, WIDTH, LIMIT = 8, 32, 1 << 24
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
 _FAR = 1 << 62
@@ -129,13 +129,13 @@ def _tree_task(width: int, largest: float):
         point, radius, first, end, fresh = cover_tree(_gaps(x.astype(float), x.astype(float), largest))
         ends = np.cumsum([0, *part["ids"].str.len()]).astype(np.int32)
         cells = [x, part["label"].to_numpy(np.int64), np.concatenate(part["ids"].to_list()).astype(np.int64), ends, point, radius, first, end, fresh]
-        return pd.DataFrame([[int(part["cell"].iloc[0]), int(part["sub"].iloc[0]), *[c.tobytes() for c in cells]]],
-                            columns=["cell", "sub", "vecs", "labels", "ids", "id_ends", "point", "radius", "first", "end", "fresh"])
+        return pd.DataFrame([[(int(part["cell"].iloc[0]) << 32) + int(part["sub"].iloc[0]), *[c.tobytes() for c in cells]]],
+                            columns=["part", "vecs", "labels", "ids", "id_ends", "point", "radius", "first", "end", "fresh"])
     return run
 
 
-def cover_trees(rows: DataFrame, keep: int, tree_rows: int = TREE_ROWS, max_cells: int = CELLS) -> tuple[DataFrame, int]:
-    """One row per cover tree over ``rows`` (vec_id, label, vec; one row an id), and the vectors' width."""
+def cover_trees(rows: DataFrame, keep: int, tree_rows: int = TREE_ROWS, max_cells: int = CELLS) -> tuple[DataFrame, int, int]:
+    """One row per cover tree over ``rows`` (vec_id, label, vec; one row an id), the vectors' width, the number of trees."""
     spark = rows.sparkSession
     place = Window.partitionBy("vec", "label").orderBy("vec_id")
     few = rows.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= keep)
@@ -151,9 +151,9 @@ def cover_trees(rows: DataFrame, keep: int, tree_rows: int = TREE_ROWS, max_cell
     # a row per cell: at most ``max_cells``
     parts = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tree_rows).cast("int").alias("subs"))
     dealt = placed.join(F.broadcast(parts), "cell").withColumn("sub", F.pmod(F.xxhash64("vec", "label"), F.col("subs")).cast("int")).drop("subs")
-    schema = "cell int, sub int, vecs binary, labels binary, ids binary, id_ends binary, point binary, radius binary, first binary, end binary, fresh binary"
-    trees = stored(dealt.groupBy("cell", "sub").applyInPandas(_tree_task(width, largest), schema), "cover-trees")
-    return trees, width
+    schema = "part bigint, vecs binary, labels binary, ids binary, id_ends binary, point binary, radius binary, first binary, end binary, fresh binary"
+    trees, seen = stored_observed(dealt.groupBy("cell", "sub").applyInPandas(_tree_task(width, largest), schema), "cover-trees", n=F.count(F.lit(1)))
+    return trees, width, int(seen["n"])
 
 
 def _piece_task(width: int):
@@ -274,22 +274,21 @@ def _walk_task(width: int, keep: int, same: bool):
     return run
 
 
-def window_search(trees: DataFrame, width: int, queries: DataFrame, keep: int, same: bool, piece: int = PIECE) -> DataFrame:
+def window_search(trees: tuple[DataFrame, int, int], queries: DataFrame, keep: int, same: bool, piece: int = PIECE) -> DataFrame:
     """query_id, window, rank (from 1), vec_id, score: the first ``keep`` candidates of each window lo[i] .. hi[i] of every query.
 
-    ``queries``: vec_id, label, vec, lo, hi (arrays of equal length).  ``same``: candidates of the query's label, else of
-    other labels; never the query's own id.
+    ``trees`` as of ``cover_trees``.  ``queries``: vec_id, label, vec, lo, hi (arrays of equal length).  ``same``: candidates of the
+    query's label, else of other labels; never the query's own id.
     """
+    index, width, count = trees
     asked, seen = stored_observed(queries, "queries", n=F.count(F.lit(1)))
     pieces = max(-(-int(seen["n"]) // piece), 1)
     blocks = min(pieces, BLOCKS)
     packed = asked.withColumn("piece", F.pmod(F.xxhash64("vec_id"), F.lit(pieces)).cast("int")).groupBy("piece").applyInPandas(
         _piece_task(width), "piece int, qids binary, qlabels binary, qvecs binary, lo binary, hi binary")
-    # a grid of BLOCKS x SHELVES keys at most: each side is copied a bounded number of times
-    left = packed.withColumn("block", F.col("piece") % blocks).withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(SHELVES - 1))))
-    right = trees.withColumn("shelf", F.pmod(F.xxhash64("cell", "sub"), F.lit(SHELVES)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = left.join(right, ["block", "shelf"]).mapInPandas(_walk_task(width, keep, same), "query_id long, window int, score long, vec_id long")
+    met = meet_on_grid(packed, index, blocks, max(SHELVES, -(-count // SHELF_TREES)))
+    with small_batches(queries.sparkSession, 16):
+        found = stored(met.mapInPandas(_walk_task(width, keep, same), "query_id long, window int, score long, vec_id long"), "window-hits")
     order = Window.partitionBy("query_id", "window").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).select("query_id", "window", "rank", "vec_id", "score")
 
@@ -303,16 +302,16 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = POSITIV
     """
     one = rows.groupBy("vec_id").agg(F.min(F.struct("label", "vec")).alias("r")).select("vec_id", "r.label", "r.vec")
     one = stored(one, "vectors")
-    trees, width = cover_trees(one, max(positives + 1, negatives), tree_rows, max_cells)
+    trees = cover_trees(one, max(positives + 1, negatives), tree_rows, max_cells)
     asking = one.join(anchors.select("vec_id").distinct(), "vec_id", "left_semi")
     wide = asking.withColumn("lo", F.array(F.lit(-_FAR))).withColumn("hi", F.array(F.lit(_FAR)))
-    pos = stored(window_search(trees, width, wide, positives, True).select(
+    pos = stored(window_search(trees, wide, positives, True).select(
         F.col("query_id").alias("anchor_id"), (F.col("rank") - 1).alias("window"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
     # below 0 the window is empty
     ask = pos.where("positive_score >= 0").withColumn("lo", F.expr(f"({low} * positive_score + 99) div 100")).withColumn("hi", F.expr(f"({high} * positive_score) div 100"))
     ask = ask.withColumn("window", F.row_number().over(Window.partitionBy("anchor_id").orderBy("window")) - 1)
     spans = ask.groupBy("anchor_id").agg(F.sort_array(F.collect_list(F.struct("window", "lo", "hi"))).alias("s"))  # ``positives`` at most
     second = asking.join(spans, F.col("vec_id") == F.col("anchor_id")).select("vec_id", "label", "vec", F.col("s.lo").alias("lo"), F.col("s.hi").alias("hi"))
-    neg = window_search(trees, width, second, negatives, False)
+    neg = window_search(trees, second, negatives, False)
     return neg.withColumnRenamed("query_id", "anchor_id").join(ask, ["anchor_id", "window"]).select(
         "anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -10,16 +10,20 @@ orders (a pivot missing from an order has position ``depth``), takes the nearest
 the original vectors in double precision.  Nearness of pivots is the inner
 product with the normalised pivots.
 
-All vectors are indexed, all candidate work is per (query block, segment) pair,
-and only ``top`` rows of a pair go on to the merge.  Equal vectors are
+All vectors are indexed once: a segment's vectors and postings are one packed row of a
+written table.  Queries, packed in pieces with their own orders, meet the segments
+on a grid of blocks of pieces and shelves of at most ``SHELF_SEGMENTS`` segments; a
+task keeps the best ``top`` of each of its queries over all its segments, and only
+those go on to the merge.  Equal vectors are
 indexed once with their top+1 smallest ids (found by a group limit before the
 shuffle), which is all that ties to the smaller vec_id can ask for.
 
 Vectors that are null, zero, hold null or non-finite components, or whose length
 is not the commonest one (ties: the shorter) take no part, nor do null ids.
 Repeated rows (one id, one vector) count once; an id with several vectors is a
-candidate with each and asks with the smallest.  With few vectors every
-candidate is reranked, so the result is exact.  Extra columns are ignored.
+candidate with each and asks with the smallest.  ``least`` vectors of a segment are
+reranked at least (twice ``top``), so a table of no more is searched exactly.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stellate.llm.common import stored, stored_observed
+from stellate.llm.common import meet_on_grid, small_batches, stored, stored_observed
 
-PIVOTS, DEPTH, SEGMENT, QUERY_BLOCK, SHARE, LEAST, TOP = 256, 32, 16384, 4096, 0.3, 512, 20
+PIVOTS, DEPTH, SEGMENT, SHARE, LEAST, TOP = 256, 32, 4096, 0.35, 40, 20
+PIECE, BLOCKS, SHELVES, SHELF_SEGMENTS = 512, 64, 64, 64
 RESULT = "query_id long, vec_id long, score double"
 
 
@@ -70,33 +75,68 @@ def _vectors(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _search_task(pivots: np.ndarray, depth: int, share: float, least: int, top: int):
-    def run(queries: pd.DataFrame, segment: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(segment):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        x = _vectors(segment["v"])
-        q = _vectors(queries["v"])
+def _index_task(pivots: np.ndarray, depth: int):
+    """One segment: its vectors, their ids, and its inverted files, packed in one row."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        x = _vectors(part["v"])
         vectors, positions, starts = inverted_files(orders(x, pivots, depth), len(pivots))
-        mine = orders(q, pivots, depth)
+        ends = np.cumsum([0, *part["ids"].str.len()]).astype(np.int32)
+        cells = [x, np.concatenate(part["ids"].to_list()).astype(np.int64), ends, vectors, positions, starts.astype(np.int32)]
+        return pd.DataFrame([[int(part["part"].iloc[0]), *[c.tobytes() for c in cells]]], columns=["part", "x", "ids", "id_ends", "vectors", "positions", "starts"])
+    return run
+
+
+def _piece_task(pivots: np.ndarray, depth: int):
+    """Queries packed with their own orders of pivots."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        q = _vectors(part["v"])
+        cells = [part["vec_id"].to_numpy(np.int64), q, orders(q, pivots, depth).astype(np.int32)]
+        return pd.DataFrame([[int(part["piece"].iloc[0]), *[c.tobytes() for c in cells]]], columns=["piece", "query_ids", "q", "orders"])
+    return run
+
+
+class _Found:
+    """The nearest found so far of each query of a piece."""
+
+    def __init__(self, row, top: int):
+        self.queries = np.frombuffer(row.query_ids, np.int64)
+        self.q = np.frombuffer(row.q, np.float64).reshape(len(self.queries), -1)
+        self.orders = np.frombuffer(row.orders, np.int32).reshape(len(self.queries), -1)
+        self.top = top
+        self.best = [(np.zeros(0), np.zeros(0, np.int64))] * len(self.queries)
+
+    def search(self, row, share: float, least: int) -> None:
+        x = np.frombuffer(row.x, np.float64).reshape(-1, self.q.shape[1])
+        ids, ends = np.frombuffer(row.ids, np.int64), np.frombuffer(row.id_ends, np.int32)
+        vectors, positions, starts = (np.frombuffer(b, t) for b, t in ((row.vectors, np.int32), (row.positions, np.int16), (row.starts, np.int32)))
         positions = positions.astype(np.int64)
         take = min(len(x), max(least, int(np.ceil(share * len(x)))))
-        ids = segment["ids"].to_numpy()
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for k, query in enumerate(queries["vec_id"]):
-            far = footrule(mine[k], vectors, positions, starts, len(x))
+        for k, query in enumerate(self.queries):
+            far = footrule(self.orders[k], vectors, positions, starts, len(x))
             cand = np.arange(len(x)) if take == len(x) else np.argpartition(far, take - 1)[:take]
-            score = x[cand] @ q[k]
-            # the query's own vector may hold other ids, so one more than asked for
-            best = np.argpartition(-score, top)[: top + 1] if len(score) > top + 1 else np.arange(len(score))
-            floor = score[best].min()
-            best = np.flatnonzero(score >= floor)  # all ties at the end: the ids decide
-            got = [(i, s) for c, s in zip(cand[best], score[best]) for i in ids[c] if i != query]
-            got.sort(key=lambda t: (-t[1], t[0]))
-            got = got[:top]
-            out.append((query, np.array([g[0] for g in got], dtype=np.int64), np.array([g[1] for g in got])))
-        return pd.DataFrame({
-            "query_id": np.concatenate([np.full(len(i), q, dtype=np.int64) for q, i, _ in out]),
-            "vec_id": np.concatenate([i for _, i, _ in out]), "score": np.concatenate([s for _, _, s in out])})
+            score = x[cand] @ self.q[k]
+            # the query's own vector may hold other ids, so one more than asked for; all ties at the end: the ids decide
+            if len(score) > self.top + 1:
+                near = np.flatnonzero(score >= -np.partition(-score, self.top)[self.top])
+                cand, score = cand[near], score[near]
+            many = ends[cand + 1] - ends[cand]
+            own = ids[np.repeat(ends[cand] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            score = np.repeat(score, many)
+            other = own != query
+            s, i = np.concatenate([self.best[k][0], score[other]]), np.concatenate([self.best[k][1], own[other]])
+            order = np.lexsort((i, -s))[: self.top]
+            self.best[k] = (s[order], i[order])
+
+
+def _search_task(share: float, least: int, top: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces: dict[int, _Found] = {}
+        for f in frames:
+            for row in f.itertuples(index=False):
+                (pieces.get(row.piece) or pieces.setdefault(row.piece, _Found(row, top))).search(row, share, least)
+        for p in pieces.values():
+            yield pd.DataFrame({"query_id": np.repeat(p.queries, [len(s) for s, _ in p.best]), "vec_id": np.concatenate([i for _, i in p.best]),
+                                "score": np.concatenate([s for s, _ in p.best])})
     return run
 
 
@@ -109,7 +149,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: int = PIVOTS, depth: int = DEPTH, segment: int = SEGMENT,
-            query_block: int = QUERY_BLOCK, share: float = SHARE, least: int = LEAST) -> DataFrame:
+            piece: int = PIECE, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank, vec_id, score of the ``top`` nearest of ``vectors`` for each of ``queries`` (both as from ``usable``)."""
     spark = vectors.sparkSession
     # WindowGroupLimit keeps top+1 rows of a vector per task before the shuffle, however many copies there are
@@ -123,10 +163,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: int
     p = np.array([r["v"] for r in sample], dtype=np.float64)
     p /= np.linalg.norm(p, axis=1, keepdims=True)
     segments = max(1, -(-int(seen["n"]) // segment))
-    blocks = max(1, -(-int(qseen["n"]) // query_block))
-    # a query block meets every segment once; a pair is a task of bounded size
-    spread = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).withColumn("seg", F.explode(F.sequence(F.lit(0), F.lit(segments - 1))))
-    placed = index.withColumn("seg", F.pmod(F.xxhash64("v"), F.lit(segments)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    found = spread.groupBy("seg", "block").cogroup(placed.groupBy("seg", "block")).applyInPandas(_search_task(p, depth, share, least, top), RESULT)
+    pieces = max(1, -(-int(qseen["n"]) // piece))
+    # the postings are built and written once; every search reads them
+    dealt = index.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(segments)))
+    parts = stored(dealt.groupBy("part").applyInPandas(
+        _index_task(p, depth), "part long, x binary, ids binary, id_ends binary, vectors binary, positions binary, starts binary"), "postings")
+    packed = asked.withColumn("piece", F.pmod(F.xxhash64("vec_id"), F.lit(pieces)).cast("int")).groupBy("piece").applyInPandas(
+        _piece_task(p, depth), "piece int, query_ids binary, q binary, orders binary")
+    met = meet_on_grid(packed, parts, min(pieces, BLOCKS), max(min(segments, SHELVES), -(-segments // SHELF_SEGMENTS)))
+    with small_batches(spark, 2):
+        found = stored(met.mapInPandas(_search_task(share, least, top), RESULT), "found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return stored(found, "found").withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
