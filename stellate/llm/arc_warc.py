@@ -15,9 +15,15 @@ Archives are written by Spark's text sink (bytes of each record as a row), one
 gzip file a task of about ``FILE_BYTES`` of payload, and read whole, one file a
 row.  A record larger than that has a file to itself and its neighbours.
 
-Null URLs are written as ``-``, white space in URLs is percent-encoded, null html
-is an empty payload, a null page_id stays null (and is the last to be a
-response).  Repeated rows are records of their own.  Extra columns are ignored.
+Records are dealt to archives by the place of their row, so any number of repeated
+rows spreads over them.  A malformed record ends the job, or with
+``errors="stop"`` its archive only: the records before it are converted, and
+``arc_errors`` names archive, offset and reason.
+
+Null URLs are written as ``-``, white space in URLs is percent-encoded, bytes of a URL
+that are no UTF-8 become U+FFFD, null html is an empty payload, a null page_id stays
+null (and is the last to be a response).  Repeated rows are records of their own.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm.common import stored
+from stellate.llm.common import row_places, stored
 from stellate.session import scratch_path
 
 FILE_BYTES, REVISIT_BYTES = 12 << 20, 100
@@ -56,7 +62,7 @@ def _bytes(text: Column) -> Column:
 
 def write_arc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> int:
     """pages (page_id, url, html) as ARC files path/archive=N/; even N are version 1, odd N version 2.  Returns their number."""
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    own = row_places(pages, F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     total = own.agg(F.sum(_bytes(F.col("html")))).first()[0] or 0
     files = max(2, -(-int(total) // file_bytes))
     when = F.from_unixtime(F.lit(EPOCH) + F.coalesce(F.pmod("page_id", F.lit(1 << 31)), F.lit(0)), "yyyyMMddHHmmss")
@@ -64,8 +70,8 @@ def write_arc(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> int:
     second = F.col("archive") % 2 == 1
     line = _text(url, " 0.0.0.0 ", when, " text/html ", F.when(second, "200 - - 0 pages.arc ").otherwise(""))
     block = _text(HTTP, "X-Page-Id: ", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), "\r\nContent-Length: ", _bytes(F.col("html")).cast("string"), "\r\n\r\n", F.col("html"))
-    # dealt by identity, not by content: equal pages spread over the archives
-    records = own.withColumn("archive", F.pmod(F.xxhash64("page_id", "url"), F.lit(files)).cast("int")).withColumn("block", block)
+    # dealt by the row's place, not by content or identity: equal pages and repeated rows spread over the archives
+    records = own.withColumn("archive", F.pmod(F.xxhash64("place_file", "place_row"), F.lit(files)).cast("int")).withColumn("block", block)
     records = records.select("archive", F.lit(1).alias("ord"), _text(line, _bytes(F.col("block")).cast("string"), "\n", F.col("block")).alias("value"))
     about = F.when(second, _text("2 0 stellate\n", FIELDS[2], "\n")).otherwise(_text("1 0 stellate\n", FIELDS[1], "\n"))
     name = _text("filedesc://pages-", F.col("archive").cast("string"), ".arc 0.0.0.0 20000101000000 text/plain ", F.when(second, "200 - - 0 pages.arc ").otherwise(""))
@@ -90,8 +96,10 @@ def parse_arc(raw: bytes) -> Iterator[dict]:
         if data[at] in b"\r\n":
             at += 1
             continue
-        eol = data.index(b"\n", at)
+        eol = data.find(b"\n", at)
         fields = data[at:eol].rstrip(b"\r").split(b" ")
+        if eol < 0 or not fields[-1].isdigit():
+            raise ValueError(f"ARC header at {at} declares no length")
         size = int(fields[-1])
         block = data[eol + 1 : eol + 1 + size]
         if len(block) != size:
@@ -106,16 +114,26 @@ def parse_arc(raw: bytes) -> Iterator[dict]:
                 raise ValueError(f"ARC header at {at} does not have the fields of version {version}")
             got = dict(zip(names, fields))
             head, _, payload = block.partition(b"\r\n\r\n")
-            yield {"offset": at, "version": version, "url": got["URL"].decode(), "ip": got["IP-address"].decode(), "date": got["Archive-date"].decode(),
-                   "status": got.get("Result-code", b"200").decode(), "http": head, "payload": payload, "page_id": _page_id(head)}
+            text = {k: v.decode("utf-8", "replace") for k, v in got.items()}
+            yield {"offset": at, "version": version, "url": text["URL"], "ip": text["IP-address"], "date": text["Archive-date"],
+                   "status": text.get("Result-code", "200"), "http": head, "payload": payload, "page_id": _page_id(head)}
         at = eol + 1 + size
 
 
+def _records(raw: bytes, errors: str) -> Iterator[dict]:
+    """Records of one file; with ``stop``, those before the first malformed one."""
+    try:
+        yield from parse_arc(raw)
+    except ValueError:
+        if errors == "raise":
+            raise
+
+
 def _page_id(http: bytes) -> int | None:
     for line in http.split(b"\r\n")[1:]:
         key, _, value = line.partition(b":")
         if key.strip().lower() == b"x-page-id":
-            return None if value.strip() == b"-" else int(value)
+            return int(value) if value.strip().lstrip(b"-").isdigit() else None
     return None
 
 
@@ -123,19 +141,37 @@ def _record_id(archive: str, offset: int) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'pages-{archive}.arc/{offset}')}>"
 
 
-def _arc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _arc_task(errors: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, raw in zip(batch.column(0), batch.column(1)):
+                rows = [(archive.as_py(), r["offset"], r["version"], r["url"], r["page_id"], len(r["payload"]), hashlib.sha256(r["payload"]).hexdigest())
+                        for r in _records(raw.as_py(), errors)]
+                if rows:
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                                          ["archive", "offset", "version", "url", "page_id", "payload_bytes", "payload_digest"])
+    return run
+
+
+def read_arc(spark: SparkSession, path: str, errors: str = "raise") -> DataFrame:
+    """archive, offset, version, url, page_id, payload_bytes, payload_digest of every record."""
+    return archives(spark, path).mapInArrow(_arc_task(errors), "archive string, offset long, version int, url string, page_id long, payload_bytes long, payload_digest string")
+
+
+def _error_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, raw in zip(batch.column(0), batch.column(1)):
-            rows = [(archive.as_py(), r["offset"], r["version"], r["url"], r["page_id"], len(r["payload"]), hashlib.sha256(r["payload"]).hexdigest())
-                    for r in parse_arc(raw.as_py())]
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
-                                      ["archive", "offset", "version", "url", "page_id", "payload_bytes", "payload_digest"])
+            good = 0
+            try:
+                for _ in parse_arc(raw.as_py()):
+                    good += 1
+            except ValueError as e:
+                yield pa.record_batch([pa.array([archive.as_py()]), pa.array([good], pa.int64()), pa.array([str(e)])], ["archive", "records_before", "error"])
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """archive, offset, version, url, page_id, payload_bytes, payload_digest of every record."""
-    return archives(spark, path).mapInArrow(_arc_rows, "archive string, offset long, version int, url string, page_id long, payload_bytes long, payload_digest string")
+def arc_errors(spark: SparkSession, path: str) -> DataFrame:
+    """archive, records_before, error of every archive with a malformed record."""
+    return archives(spark, path).mapInArrow(_error_rows, "archive string, records_before long, error string")
 
 
 def _warc(headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -147,7 +183,13 @@ def _iso(date: str) -> str:
     return f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
 
 
-def _convert_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _convert_task(errors: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _converted(batches, errors)
+    return run
+
+
+def _converted(batches: Iterator[pa.RecordBatch], errors: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, raw, lists in zip(batch.column(0), batch.column(1), batch.column(2)):
             archive = archive.as_py()
@@ -155,7 +197,7 @@ def _convert_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             about = f"software: stellate\r\nformat: WARC File Format 1.0\r\nconverted-from: pages-{archive}.arc\r\n".encode()
             out = [_warc([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id(archive, -1)), ("WARC-Date", "2000-01-01T00:00:00Z"), ("Content-Type", "application/warc-fields")], about)]
             size = 0
-            for r in parse_arc(raw.as_py()):
+            for r in _records(raw.as_py(), errors):
                 to = refers.get(r["offset"])
                 head = r["http"] + b"\r\n\r\n"
                 block = head if to else head + r["payload"]
@@ -173,16 +215,16 @@ def _convert_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.record_batch([pa.array(out, pa.binary())], ["value"])
 
 
-def to_warc(spark: SparkSession, arc_path: str, path: str, files: int, revisit_bytes: int = REVISIT_BYTES) -> None:
+def to_warc(spark: SparkSession, arc_path: str, path: str, files: int, revisit_bytes: int = REVISIT_BYTES, errors: str = "raise") -> None:
     """Convert the ARC files under ``arc_path`` into WARC files under ``path``."""
-    rows = stored(read_arc(spark, arc_path), "arc-records")
+    rows = stored(read_arc(spark, arc_path, errors), "arc-records")
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "archive", "offset")
     first = rows.where(F.col("payload_bytes") >= revisit_bytes).groupBy("payload_digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = rows.where(F.col("payload_bytes") >= revisit_bytes).join(first, "payload_digest").where("not (archive = first.archive and offset = first.offset)")
     # one list an archive: no longer than the archive's records
     lists = again.groupBy("archive").agg(F.collect_list(F.struct("offset", F.col("first.archive").alias("to_archive"), F.col("first.offset").alias("to_offset"))).alias("lists"))
     both = archives(spark, arc_path).repartition(files, "archive").join(lists.repartition(files, "archive"), "archive", "left")
-    both.select("archive", "content", "lists").mapInArrow(_convert_task, "value binary").select(F.col("value").cast("string").alias("value")).write.options(
+    both.select("archive", "content", "lists").mapInArrow(_convert_task(errors), "value binary").select(F.col("value").cast("string").alias("value")).write.options(
         **GZIP, lineSep="\r\n").text(path)
 
 

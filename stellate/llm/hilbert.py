@@ -5,8 +5,11 @@ counts in the dimension's order (from exact counts of its distinct values).
 The cell coordinates become an index on the Hilbert curve (Skilling's
 transform, folded over the bits), rows are ordered by it, and the order is cut into
 runs: shard s holds the ranks from ceil(s*N/shards) on, so counts differ by
-one at most (law ``rows``).  Neighbouring cells lie in the same files, whose
-minima and maxima then prune on any of the dimensions.
+one at most (law ``rows``).  Neighbouring cells lie in the same files:
+``write_shards`` writes whole rows, a folder a shard, sorted along the curve, with a
+list of each file's smallest and largest value of every dimension beside them;
+``read_shards`` opens only files whose ranges meet its conditions, on any of the
+dimensions.
 
 Ties on the curve go by text checksum and doc_id, so equal texts of one cell lie
 together.  Null values of a dimension sort first; null texts have size 1 and
@@ -15,13 +18,13 @@ checksum 0.  Repeated rows take neighbouring slots.  Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stellate.llm.common import ordered_rank, stored_observed
 
-SHARDS, BITS = 16, 5
+SHARDS, BITS, DIMS, FOLDER = 16, 5, ("source", "lang", "size"), "curve_shard"
 
 
 def _cells(df: DataFrame, dim: str, bits: int, rows: int) -> DataFrame:
@@ -62,15 +65,11 @@ def hilbert_index(df: DataFrame, axes: list[str], bits: int, out: str = "curve")
     )
 
 
-def hilbert_shards(docs: DataFrame, dims: list[str] | None = None, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, curve for every row.
-
-    ``dims`` name columns of ``docs`` (or ``size``, the text's bytes + 1).
-    """
-    dims = dims or ["source", "lang", "size"]
+def _ranked(docs: DataFrame, dims: list[str], bits: int, carry: list[str]) -> tuple[DataFrame, int]:
+    """doc_id, size, text_crc32, curve, _rank, columns of ``carry`` as _c0, _c1, ... of every row, and the number of rows."""
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     meta = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(d) for d in dims if d != "size"],
-                       (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+                       (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)])
     meta, seen = stored_observed(meta, "shard-meta", n=F.count(F.lit(1)))
     rows = int(seen["n"])
     placed = meta
@@ -78,12 +77,61 @@ def hilbert_shards(docs: DataFrame, dims: list[str] | None = None, shards: int =
         cells = _cells(meta, d, bits, rows).withColumnRenamed(d, "_v")
         placed = placed.join(cells, F.col(d).eqNullSafe(F.col("_v")), "left").drop("_v")
     placed = hilbert_index(placed, [f"c_{d}" for d in dims], bits)
-    placed = placed.select("doc_id", "size", "text_crc32", "curve")
-    ranked = ordered_rank(placed, ["curve", "text_crc32", "doc_id", "size"], "_rank", "curve")
+    own = ["doc_id", "size", "text_crc32", "curve"]
+    return ordered_rank(placed.select(*own, *[f"_c{i}" for i in range(len(carry))]), ["curve", "text_crc32", "doc_id", "size"], "_rank", "curve"), rows
+
+
+def _shard(rows: int, shards: int) -> Column:
+    return F.expr(f"(_rank * {shards}) div {max(rows, 1)}").cast("int")
+
+
+def hilbert_shards(docs: DataFrame, dims: list[str] | None = None, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, curve for every row.
+
+    ``dims`` name columns of ``docs`` (or ``size``, the text's bytes + 1).
+    """
+    ranked, rows = _ranked(docs, dims or list(DIMS), bits, [])
     n = max(rows, 1)
-    shard = F.expr(f"(_rank * {shards}) div {n}").cast("int")
     first = F.expr(f"(cast(shard as bigint) * {n} + {shards - 1}) div {shards}")
     return (
-        ranked.withColumn("shard", shard).withColumn("slot", F.col("_rank") - first)
+        ranked.withColumn("shard", _shard(rows, shards)).withColumn("slot", F.col("_rank") - first)
         .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
     )
+
+
+def write_shards(docs: DataFrame, path: str, dims: list[str] | None = None, shards: int = SHARDS, bits: int = BITS) -> None:
+    """Whole rows of ``docs`` under ``path``/curve_shard=N, sorted along the curve, and ``path``/_ranges (a row a file)."""
+    dims = dims or list(DIMS)
+    columns = docs.columns
+    if FOLDER in columns or "size" in columns and "size" in dims:
+        raise ValueError(f"{FOLDER} and, as a dimension, size are added by the shards")
+    ranked, rows = _ranked(docs, dims, bits, columns)
+    sized = [F.col("size")] if "size" in dims else []
+    whole = ranked.withColumn(FOLDER, _shard(rows, shards)).repartitionByRange(shards, FOLDER, "_rank").sortWithinPartitions(FOLDER, "_rank")
+    whole = whole.select(*sized, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], FOLDER)
+    whole.write.partitionBy(FOLDER).parquet(path)
+    spark = docs.sparkSession
+    spark.createDataFrame([], whole.schema).coalesce(1).write.parquet(f"{path}/_schema")  # readers of a table without rows need it
+    ends = [f(F.col(f"`{d}`")).alias(f"{n}_{i}") for i, d in enumerate(dims) for n, f in (("low", F.min), ("high", F.max))]
+    spark.read.schema(whole.schema).parquet(path).groupBy(F.concat_ws("/", F.concat(F.lit(f"{FOLDER}="), F.col(FOLDER)), "_metadata.file_name").alias("file")).agg(
+        *ends, F.count(F.lit(1)).alias("rows")).coalesce(1).write.parquet(f"{path}/_ranges")
+
+
+def read_shards(spark: SparkSession, path: str, ranges: dict[str, tuple], dims: list[str] | None = None) -> DataFrame:
+    """Rows with low <= dimension <= high for every entry of ``ranges``; files whose own ranges lie outside are not opened.
+
+    ``dims`` as given to ``write_shards``.  Null values of a dimension meet no range.
+    """
+    dims = dims or list(DIMS)
+    listed = spark.read.parquet(f"{path}/_ranges")
+    for d, (low, high) in ranges.items():
+        i = dims.index(d)
+        listed = listed.where((F.col(f"low_{i}") <= F.lit(high)) & (F.col(f"high_{i}") >= F.lit(low)))
+    files = sorted(r["file"] for r in listed.select("file").collect())  # a row a file that is read
+    schema = spark.read.parquet(f"{path}/_schema").schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in files])
+    for d, (low, high) in ranges.items():
+        rows = rows.where(F.col(f"`{d}`").between(F.lit(low), F.lit(high)))
+    return rows
