@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stellate.llm import textarrays as ta
 from stellate.llm.common import stored
@@ -105,6 +106,12 @@ def gram_indices(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (bi >> np.uint32(17)).astype(np.int64), OFF_TRI + (tri >> np.uint32(15)).astype(np.int64)
 
 
+def grams_at(z: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``gram_indices`` of some positions only (each after two letters or edges at least, but for the first two)."""
+    one, two = np.where(pos >= 1, z[pos - 1], 0).astype(np.uint32), np.where(pos >= 2, z[pos - 2], 0).astype(np.uint32)
+    return (_hash(one, z[pos]) >> np.uint32(17)).astype(np.int64), OFF_TRI + (_hash(two, one, z[pos]) >> np.uint32(15)).astype(np.int64)
+
+
 def word_indices(z: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Prefix and suffix feature, lexicon feature and 64-bit identity of every word."""
     size = (end - start).astype(np.uint32)
@@ -196,10 +203,14 @@ def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 600
     change shows as often as segments meet.
     """
     k = len(languages)
-    texts = [r["text"].encode() for r in rows]
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    z, at = letters(data, offs)
+    # a slice of the sample at a time, so the decoder's temporaries stay small
+    parts, ends = [], [np.zeros(1, np.int64)]
+    for _, _, data, offs in ta.slices(pa.array([r["text"] for r in rows], pa.large_string())):
+        part, part_at = letters(data, offs)
+        ends.append(part_at[1:] + ends[-1][-1])
+        parts.append(part)
+    z, at = np.concatenate(parts or [np.zeros(0, np.uint32)]), np.concatenate(ends)
+    del parts, ends
     start, end, woffs = word_spans(z, at)
     label = np.array([languages.index(r["lang"]) for r in rows])
     rng = np.random.default_rng(seed)
@@ -223,7 +234,6 @@ def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 600
         picks.append(took[:CHAIN])
         tags.append(tag[:CHAIN])
     pick, y = np.array(picks).ravel(), np.array(tags)
-    bi, tri = gram_indices(z)
     pre, suf, lex, word = word_indices(z, start, end)
     _, inv, times = np.unique(word, return_inverse=True, return_counts=True)
     in_lexicon = times[inv] >= 2
@@ -232,7 +242,8 @@ def fit(rows: list, languages: list[str], chains: int = CHAINS, steps: int = 600
     pos = np.arange(size[pick].sum()) - np.repeat(np.cumsum(size[pick]) - size[pick], size[pick]) + np.repeat(start[pick], size[pick])
     own = np.arange(len(pick))
     known_word = in_lexicon[pick]
-    idx = np.concatenate([bi[pos], tri[pos], pre[pick], suf[pick], lex[pick][known_word]]).astype(np.int32)
+    bi, tri = grams_at(z, pos)
+    idx = np.concatenate([bi, tri, pre[pick], suf[pick], lex[pick][known_word]]).astype(np.int32)
     of = np.concatenate([rep, rep, own, own, own[known_word]]).astype(np.int32)
     del bi, tri, pre, suf, lex, rep, pos
     used, idx = np.unique(idx, return_inverse=True)
@@ -289,12 +300,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, chains: int = CHAIN
     known = known.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     order = [F.xxhash64("doc_id", F.lit(10)), F.col("doc_id"), F.col("lang")]
-    ids = None
-    for lang in languages:
-        part = known.where((F.col("lang") == lang) & F.rlike("text", F.lit(r"\p{L}"))).select("doc_id", "lang").distinct().orderBy(*order).limit(per_language)
-        ids = part if ids is None else ids.unionByName(part)
-    if ids is None:
+    if not languages:
         return [], np.zeros((DIMS, 0), np.float32), np.zeros((0, 0))
+    # the first ids by hash of each language: a group limit before the shuffle, one plan whatever the number of languages
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    some = known.where(F.rlike("text", F.lit(r"\p{L}"))).select("doc_id", "lang").distinct()
+    ids = some.withColumn("_n", place).where(F.col("_n") <= per_language).drop("_n")
     ids = stored(ids, "language-sample")  # per_language rows a language
     # of an id's rows in a language the smallest text with a letter
     lettered = known.where(F.rlike("text", F.lit(r"\p{L}")))

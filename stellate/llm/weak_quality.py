@@ -142,13 +142,16 @@ def shape_indices(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nd
     repetition), with the row of each."""
     c = SHAPE[data]
     code = c.copy()
+    since = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))  # a row's first bytes see nothing of the row before
     for back in (1, 2, 3):
-        code[back:] = code[back:] * np.uint32(41) + c[:-back] + np.uint32(back)
+        before = np.concatenate([np.zeros(min(back, len(c)), np.uint32), c[:-back]])
+        code = code * np.uint32(41) + np.where(since >= back, before, np.uint32(0)) + np.uint32(back)
     at = ((code * np.uint32(2654435761)) >> np.uint32(18)) % np.uint32(DIMS // 2)
     start, end, woffs = ta.words(data, offs)
     h = ta.span_hashes(data, start, end)
     same = np.zeros(len(h), dtype=np.uint32)
     same[1:] = h[1:] == h[:-1]
+    same[woffs[:-1][np.diff(woffs) > 0]] = 0
     tail = c[end - 1] * np.uint32(41) + c[np.maximum(end - 2, start)] if len(end) else np.zeros(0, np.uint32)
     long = np.minimum(end - start, 20).astype(np.uint32)
     word = ((tail * np.uint32(2) + same) * np.uint32(21) + long) * np.uint32(2246822519)
