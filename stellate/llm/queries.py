@@ -174,29 +174,31 @@ SELECT w.conv_id, w.depth, u.conv_id AS parent_conv_id, w.n_convs, w.n_children,
 FROM w JOIN s USING (k) LEFT JOIN w u ON w.depth > 0 AND u.depth = w.depth - 1 AND u.k = w.k[1:w.depth - 1]
 """
 
-# Winnowing: codes of words, rolling hashes modulo two primes, the rightmost smallest of each window of four.
-_ROLL = "(((coalesce(c[j], 0) % {p}) * 1000003 + coalesce(c[j + 1], 0) % {p}) % {p} * 1000003 + coalesce(c[j + 2], 0) % {p}) % {p}"
-PRINTS_SQL = f"""
+# Winnowing over a row per word: CRC-32 codes (by bits, once a distinct word), polynomial hashes, the rightmost smallest of each window of four.
+PRINTS_SQL = """
 WITH o AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, row_number() OVER (ORDER BY doc_id) AS r FROM documents),
 e AS (SELECT a.doc_id, a.r, a.t, a.n, b.t AS nt, left(a.t, (a.n - a.n // 4)::INT) || left(b.t, (a.n // 4)::INT) AS et
       FROM o a JOIN o b ON b.r = CASE WHEN a.r = (SELECT max(r) FROM o) THEN 1 ELSE a.r + 1 END),
 x AS (SELECT r, 0 AS kind, t AS s FROM e UNION ALL SELECT r, 1, et FROM e UNION ALL SELECT r, 2, nt FROM e),
-c AS (SELECT r, kind, list_transform(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+'), lambda w: ('0x' || substr(md5(w), 1, 15))::BIGINT + 1) AS c FROM x),
-h AS (SELECT r, kind, CASE WHEN len(c) = 0 THEN []::BIGINT[] ELSE list_transform(range(1, greatest(len(c) - 2, 1) + 1), lambda j:
-        {_ROLL.format(p=2147483647)} * 2147483648 + {_ROLL.format(p=2147483629)}) END AS h FROM c),
-m AS (SELECT r, kind, h, CASE WHEN len(h) = 0 THEN [] ELSE list_transform(range(1, greatest(len(h) - 3, 1) + 1), lambda j:
-        struct_pack(j := j, m := least(h[j], coalesce(h[j + 1], h[j]), coalesce(h[j + 2], h[j]), coalesce(h[j + 3], h[j])))) END AS m FROM h),
-p AS (SELECT r, kind, h, list_sort(list_distinct(list_transform(m, lambda v:
-        CASE WHEN h[v.j + 3] = v.m THEN v.j + 3 WHEN h[v.j + 2] = v.m THEN v.j + 2 WHEN h[v.j + 1] = v.m THEN v.j + 1 ELSE v.j END))) AS p FROM m),
-f AS (SELECT r, kind, coalesce(array_to_string(list_transform(p, lambda i: h[i] || '@' || (i - 1)), ' '), '') AS f,
-        list_distinct(list_transform(p, lambda i: h[i])) AS k FROM p),
-g AS (SELECT r, max(f) FILTER (kind = 0) AS f, max(f) FILTER (kind = 1) AS ef, any_value(k) FILTER (kind = 0) AS a, any_value(k) FILTER (kind = 1) AS b,
-        any_value(k) FILTER (kind = 2) AS c FROM f GROUP BY r),
-l AS (SELECT *, len(list_intersect(a, b)) AS ab, len(list_intersect(a, c)) AS ac FROM g)
-SELECT e.doc_id, e.n AS n_chars, sha256(e.et) AS edited_sha256, l.f AS fingerprint, l.ef AS edited_fingerprint,
+w AS (SELECT r, kind, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i, len(ws) AS n
+      FROM (SELECT r, kind, regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+') AS ws FROM x)),
+d AS (SELECT w, xor(4294967295, list_reduce(list_transform(range(0, octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i::INT + 1, 2))::BIGINT), lambda s, b:
+               list_reduce(range(0, 8), lambda q, i: CASE WHEN q % 2 = 1 THEN xor(q // 2, 3988292384) ELSE q // 2 END, xor(s, b)), 4294967295)) + 1 AS c
+      FROM (SELECT DISTINCT w FROM w)),
+h AS (SELECT r, kind, i, greatest(n - 2, 1) AS g,
+             ((c * 23003 + coalesce(lead(c, 1) OVER k, 0)) * 23003 + coalesce(lead(c, 2) OVER k, 0)) % 274877906899 AS h
+      FROM w JOIN d USING (w) WINDOW k AS (PARTITION BY r, kind ORDER BY i)),
+v AS (SELECT r, kind, i, g, h, lead(h, 1) OVER k AS h1, lead(h, 2) OVER k AS h2, lead(h, 3) OVER k AS h3, min(h) OVER (k ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS m
+      FROM h WHERE i < g WINDOW k AS (PARTITION BY r, kind ORDER BY i)),
+p AS (SELECT DISTINCT r, kind, m, CASE WHEN h3 = m THEN i + 3 WHEN h2 = m THEN i + 2 WHEN h1 = m THEN i + 1 ELSE i END AS spot FROM v WHERE i <= greatest(g - 4, 0)),
+f AS (SELECT r, kind, string_agg(m || '@' || spot, ' ' ORDER BY spot) AS f, list(DISTINCT m) AS k FROM p GROUP BY r, kind),
+j AS (SELECT e.doc_id, e.n, e.et, coalesce(a.f, '') AS f, coalesce(b.f, '') AS ef, coalesce(a.k, []) AS a, coalesce(b.k, []) AS b, coalesce(c.k, []) AS c
+      FROM e LEFT JOIN f a ON a.r = e.r AND a.kind = 0 LEFT JOIN f b ON b.r = e.r AND b.kind = 1 LEFT JOIN f c ON c.r = e.r AND c.kind = 2),
+l AS (SELECT *, len(list_intersect(a, b)) AS ab, len(list_intersect(a, c)) AS ac FROM j)
+SELECT doc_id, n AS n_chars, sha256(et) AS edited_sha256, f AS fingerprint, ef AS edited_fingerprint,
        CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE ab / (len(a) + len(b) - ab) END AS near_edited,
        CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac / (len(a) + len(c) - ac) END AS near_next
-FROM e JOIN l USING (r)
+FROM l
 """
 
 NEGATIVES_SQL = """

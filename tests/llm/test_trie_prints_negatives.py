@@ -128,19 +128,16 @@ def test_trie_of_the_table(spark):
 
 
 def plain_prints(text: str, k: int = 3, w: int = 4) -> list[tuple[int, int]]:
-    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
-    codes = [int(hashlib.md5(x).hexdigest()[:15], 16) + 1 for x in words]
+    codes = [zlib.crc32(x) + 1 for x in re.findall(rb"[^\x20\x09-\x0D]+", text.encode())]
     if not codes:
         return []
+    codes += [0] * (k - len(codes))
     hashes = []
-    for j in range(max(len(codes) - k + 1, 1)):
-        part = []
-        for prime in (2147483647, 2147483629):
-            h = 0
-            for i in range(k):
-                h = (h * 1000003 + (codes[j + i] if j + i < len(codes) else 0)) % prime
-            part.append(h)
-        hashes.append(part[0] * 2147483648 + part[1])
+    for j in range(len(codes) - k + 1):
+        h = 0
+        for c in codes[j : j + k]:
+            h = (h * 23003 + c) % 274877906899
+        hashes.append(h)
     picks = []
     for j in range(max(len(hashes) - w + 1, 1)):
         window = hashes[j : j + w]
@@ -185,6 +182,13 @@ def test_prints_against_plain(spark):
     assert all(len(v) == 1 for v in by_text.values())
 
 
+@pytest.mark.parametrize("k,w", [(1, 1), (2, 3), (5, 6)])
+def test_prints_of_other_widths(spark, k, w):
+    texts = [prose(70 + i, n) for i, n in enumerate((0, 1, 2, 4, 5, 9, 60))] + ["a a a a a a a a a b a a"]
+    got = winnow.winnow(frame(spark, list(enumerate(texts))), "text", "p", k, w).select("doc_id", winnow.entries("p").alias("e")).collect()
+    assert {r.doc_id: [tuple(x) for x in r.e] for r in got} == {i: plain_prints(t, k, w) for i, t in enumerate(texts)}
+
+
 def test_prints_of_tables_of_one_and_no_row(spark):
     one = winnow.edited_neighbours(as_file(spark, [(5, "alpha beta gamma delta", None, None)])).collect()
     assert [tuple(r) for r in one] == plain_neighbours([(5, "alpha beta gamma delta")]) and one[0].near_next == 1
