@@ -12,10 +12,15 @@ r <- max(0, r + p_d . M^-1 (t - S)), whose Hessian is a projection, so a step of
 is stable and soft memberships do not slow it down.  A pass over the documents
 (narrow, stored) returns only the K sums S_k (once also M) to the driver.
 
+Features are chosen on the executors (counts by domain, in blocks) and only chosen
+ones of the sample go to the driver, packed.
+
 ``copies`` turns the rate into whole copies: its floor, plus one when a hash of
-doc_id falls below the fraction.  Null and empty texts have no tokens: rate as
-by their posteriors, no effect on totals.  Repeated rows each have the rate.
-Without labelled documents all posteriors are equal.  Extra columns are ignored.
+doc_id (null: of tokens and posteriors) falls below the fraction.  Null and empty
+texts have no tokens: rate as by their posteriors, no effect on totals.  Repeated
+rows each have the rate.  Without labelled documents all posteriors are equal.  The
+fit stops after ``rounds`` passes at the latest; ``fit_mix`` says what it reached
+and whether that is within the tolerance.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +39,7 @@ from stellate.llm.length_buckets import token_count
 
 DOMAINS = ("clean", "toxic", "junk")
 WEIGHTS = {"clean": 0.98, "toxic": 0.02, "junk": 0.0}
-SAMPLE, DIMS, ROUNDS, TOLERANCE, CUT = 6000, 1 << 16, 40, 1e-6, 8
+SAMPLE, DIMS, ROUNDS, TOLERANCE, CUT, COUNT_BLOCK = 6000, 1 << 16, 40, 1e-6, 8, 1024
 
 
 def _letters() -> np.ndarray:
@@ -65,6 +71,7 @@ def word_indices(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     tail = ta.span_hashes(data, z, end)
     same = np.zeros(len(h), dtype=np.uint64)
     same[1:] = h[1:] == h[:-1]
+    same[woffs[:-1][np.diff(woffs) > 0]] = 0  # a row's first word repeats nothing
     caps = ((data[start] >= 65) & (data[start] <= 90) & (data[np.minimum(start + 1, end - 1)] >= 65) & (data[np.minimum(start + 1, end - 1)] <= 90)).astype(np.uint64) if len(start) else same
     word = (h >> np.uint64(20)) % np.uint64(DIMS // 2)
     shape = np.uint64(DIMS // 2) + (ta.mix(tail * np.uint64(4) + same * np.uint64(2) + caps) >> np.uint64(20)) % np.uint64(DIMS // 2)
@@ -85,8 +92,47 @@ def _feature_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 batch.column(2).slice(lo, hi - lo)], ["doc_id", "idx", "value", "domain"])
 
 
-def fit_domains(rows: list, kinds: int, steps: int = 200, least: int = 5, z_least: float = 4.0, l2: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Multinomial logistic regression on hashed features; words whose occurrence tells domains apart (z score) only."""
+def _count_task(kinds: int):
+    """In how many documents of a domain a feature occurs, by blocks of features."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((kinds, DIMS), dtype=np.int64)
+        for batch in batches:
+            for idx, domain in zip(batch.column(0), batch.column(1)):
+                total[domain.as_py()][np.frombuffer(idx.as_buffer(), dtype=np.int32)] += 1
+        cut = total.reshape(kinds, -1, COUNT_BLOCK)
+        k, block = np.nonzero(cut.any(axis=2))
+        ends = np.arange(len(k) + 1, dtype=np.int32) * COUNT_BLOCK
+        yield pa.record_batch([pa.array(k.astype(np.int32)), pa.array(block.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(cut[k, block].ravel()))],
+                              ["domain", "block", "n"])
+    return run
+
+
+def _sum_counts(part: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"domain": part["domain"].iloc[:1], "block": part["block"].iloc[:1], "n": [np.sum(np.stack(part["n"].to_numpy()), axis=0)]})
+
+
+def _thin_task(use: np.ndarray):
+    """Keeps the chosen features of each document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            idx = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in batch.column(1)]
+            val = [np.frombuffer(x.as_buffer(), dtype=np.float32) for x in batch.column(2)]
+            ok = [use[i] for i in idx]
+            yield pa.record_batch([batch.column(0), pa.array([i[o].tobytes() for i, o in zip(idx, ok)], pa.binary()), pa.array([v[o].tobytes() for v, o in zip(val, ok)], pa.binary()),
+                                   batch.column(3)], ["doc_id", "idx", "value", "domain"])
+    return run
+
+
+def chosen_features(counts: np.ndarray, sizes: np.ndarray, least: int = 5, z_least: float = 4.0) -> np.ndarray:
+    """Which features tell domains apart: words by the z score of their counts (feature x domain), shapes by their number alone."""
+    expect = counts.sum(axis=1, keepdims=True) * sizes / max(sizes.sum(), 1)
+    z = np.abs(counts - expect) / np.sqrt(np.maximum(expect, 0.5))
+    often = counts.sum(axis=1) >= least
+    return often & ((z.max(axis=1) >= z_least) | (np.arange(len(counts)) >= DIMS // 2))
+
+
+def fit_domains(rows: list, kinds: int, steps: int = 200, l2: float = 2e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Multinomial logistic regression on the chosen hashed features of the rows (idx, value, domain)."""
     if not rows:
         return np.zeros((DIMS, kinds)), np.zeros(kinds)
     idx = np.frombuffer(b"".join(r["idx"] for r in rows), dtype=np.int32)
@@ -94,12 +140,6 @@ def fit_domains(rows: list, kinds: int, steps: int = 200, least: int = 5, z_leas
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r["idx"]) // 4 for r in rows])
     y = np.array([r["domain"] for r in rows])
     size = np.bincount(y, minlength=kinds).astype(np.float64)
-    df = np.stack([np.bincount(idx[y[row] == k], minlength=DIMS) for k in range(kinds)], axis=1)
-    expect = df.sum(axis=1, keepdims=True) * size / size.sum()
-    z = np.abs(df - expect) / np.sqrt(np.maximum(expect, 0.5))
-    use = ((z.max(axis=1) >= z_least) & (df.sum(axis=1) >= least)) | ((np.arange(DIMS) >= DIMS // 2) & (df.sum(axis=1) >= least))
-    ok = use[idx]
-    idx, val, row = idx[ok], val[ok], row[ok]
     w, b = np.zeros((DIMS, kinds)), np.log(np.maximum(size, 0.5) / size.sum())
     weight = (1.0 / np.maximum(size, 1) / (size > 0).sum())[y]
     b[:] = np.where(size > 0, 0.0, -20.0)
@@ -149,9 +189,16 @@ def train_domains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> t
     picked = stored(picked, "sample")  # at most ``sample`` rows
     # of an id's rows the smallest text: no more rows than the sample has ids
     train = own.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
-    rows = train.select("doc_id", "text", "domain").mapInArrow(
-        _feature_task, "doc_id long, idx binary, value binary, domain int").collect()
-    rows = sorted((r for r in rows if len(r["idx"])), key=lambda r: r["doc_id"])
+    schema = "doc_id long, idx binary, value binary, domain int"
+    feats = stored(train.select("doc_id", "text", "domain").mapInArrow(_feature_task, schema).where("octet_length(idx) > 0"), "domain-features")
+    counts, sizes = np.zeros((DIMS, len(DOMAINS))), np.zeros(len(DOMAINS))
+    blocks = feats.select("idx", "domain").mapInArrow(_count_task(len(DOMAINS)), "domain int, block int, n array<long>")
+    for r in blocks.groupBy("domain", "block").applyInPandas(_sum_counts, "domain int, block int, n array<long>").collect():  # DIMS counters a domain
+        counts[r["block"] * COUNT_BLOCK : (r["block"] + 1) * COUNT_BLOCK, r["domain"]] = r["n"]
+    for r in feats.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect():  # a row a domain
+        sizes[r["domain"]] = r["n"]
+    rows = feats.mapInArrow(_thin_task(chosen_features(counts, sizes)), schema).collect()  # at most ``sample`` rows of chosen features
+    rows = sorted(rows, key=lambda r: r["doc_id"])
     w, b = fit_domains(rows, len(DOMAINS))
     used = np.flatnonzero(np.abs(w).max(axis=1) > 0)
     return used, w[used], b
@@ -165,8 +212,13 @@ def domain_posteriors(docs: DataFrame, model: tuple, carry: tuple[str, ...] = ()
     return sized.mapInArrow(_posterior_task(*model), f"doc_id long, n_tokens long, {extra}p array<double>")
 
 
-def _step(rate: Column, push: list[float]) -> Column:
-    return F.greatest(F.lit(0.0), rate + sum((F.col("p")[k] * F.lit(float(g)) for k, g in enumerate(push)), F.lit(0.0)))
+def pushed(rate: str, pushes: list[list[float]]) -> Column:
+    """The rate after the gradient steps in order: one fold over a literal array, whatever their number."""
+    if not pushes:
+        return F.expr(rate)
+    steps = ", ".join(f"array({', '.join(f'{float(g)!r}D' for g in push)})" for push in pushes)
+    move = " + ".join(["0D", *[f"p[{k}] * g[{k}]" for k in range(len(pushes[0]))]])
+    return F.expr(f"aggregate(array({steps}), {rate}, (r, g) -> greatest(0D, r + ({move})))")
 
 
 def fit_rates(members: DataFrame, weights: list[float], total: float | None = None, rounds: int = ROUNDS,
@@ -192,31 +244,36 @@ def fit_rates(members: DataFrame, weights: list[float], total: float | None = No
             break
         pending.append([float(x) for x in inverse @ (target - reached)])
         pushes.append(pending[-1])
-        rate = F.col("rate")
-        moved = now
-        for push in pending:  # replayed from the last written rates
-            moved = moved.withColumn("rate", _step(rate, push))
+        moved = now.withColumn("rate", pushed("rate", pending))  # replayed from the last written rates
         if len(pending) == CUT:
             now, got = stored_observed(moved, "members", **sums)
             pending = []
         else:
             got = moved.agg(*[c.alias(k) for k, c in sums.items()]).first().asDict()
         reached = np.array([got[f"s{k}"] or 0.0 for k in range(kinds)])
-    for push in pending:
-        now = now.withColumn("rate", _step(F.col("rate"), push))
-    return now, {"target": target.tolist(), "reached": reached.tolist(), "supply": supply.tolist(), "pushes": pushes}
+    met = bool(np.abs(target - reached).max(initial=0) <= tolerance * max(total, 1))
+    return now.withColumn("rate", pushed("rate", pending)), {
+        "target": target.tolist(), "reached": reached.tolist(), "supply": supply.tolist(), "met": met, "pushes": pushes}
 
 
 def copies_of(rate: str, doc_id: str = "doc_id") -> Column:
-    draw = F.shiftrightunsigned(F.xxhash64(doc_id, F.lit(44)), 11) / F.lit(float(1 << 53))
+    one = F.coalesce(F.col(doc_id), F.xxhash64("n_tokens", "p"))  # rows without id draw by what is known of them
+    draw = F.shiftrightunsigned(F.xxhash64(one, F.lit(44)), 11) / F.lit(float(1 << 53))
     return (F.floor(rate) + (draw < F.col(rate) - F.floor(rate)).cast("long")).cast("long")
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, n_tokens, p_clean, p_toxic, p_junk, rate, copies for every row of ``docs``."""
+def fit_mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE) -> tuple[DataFrame, dict]:
+    """(doc_id, n_tokens, p_clean, p_toxic, p_junk, rate, copies for every row of ``docs``; target, reached and supplied tokens by
+    domain, and whether the targets are met)."""
     weights = weights or WEIGHTS
-    rated, _ = fit_rates(domain_posteriors(docs, train_domains(docs, labels, sample)), [weights[d] for d in DOMAINS])
-    return rated.select("doc_id", "n_tokens", *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate", copies_of("rate").alias("copies"))
+    rated, fit = fit_rates(domain_posteriors(docs, train_domains(docs, labels, sample)), [weights[d] for d in DOMAINS])
+    rows = rated.select("doc_id", "n_tokens", *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate", copies_of("rate").alias("copies"))
+    return rows, {k: dict(zip(DOMAINS, fit[k])) for k in ("target", "reached", "supply")} | {"met": fit["met"]}
+
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``fit_mix``."""
+    return fit_mix(docs, labels, weights, sample)[0]
 
 
 def mixed_rows(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -228,8 +285,6 @@ def mixed_rows(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | N
     weights = weights or WEIGHTS
     model = train_domains(docs, labels, sample)
     _, fit = fit_rates(domain_posteriors(docs, model), [weights[d] for d in DOMAINS])
-    rows = domain_posteriors(docs, model, tuple(docs.columns)).withColumn("rate", F.lit(1.0))
-    for push in fit["pushes"]:
-        rows = rows.withColumn("rate", _step(F.col("rate"), push))
+    rows = domain_posteriors(docs, model, tuple(docs.columns)).withColumn("rate", pushed("1D", fit["pushes"]))
     rows = rows.withColumn("copies", copies_of("rate")).where("copies > 0").withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
