@@ -3,31 +3,86 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stellate.operators.profile import frequent_hashes
 
-def left_join_skew_safe(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
-    """``left LEFT OUTER JOIN right`` as (inner join) UNION ALL (unmatched left rows).
+# Rows of both sides that one task joins, on average.
+ROWS_PER_TASK = 500_000
+
+
+def left_join_skew_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """``left LEFT OUTER JOIN right`` whose tasks stay small, whatever the row count and the largest key.
+
+    ``keys`` pairs (left column, right column); output columns are the left
+    columns followed by the right columns, as in the plain left join.  Few
+    rows (``rows_per_task`` for each core, both sides counted first) are left to
+    adaptive execution (``_left_join_by_parts``).  It sizes tasks by compressed
+    bytes, of which sorted keys take next to none, so more rows are dealt by
+    key over a width that follows their number instead.  Keys with over
+    ``rows_per_task`` rows of a side (a sketch of each side finds them) are joined
+    apart from the others by ``_left_join_by_parts``, and left rows with a NULL
+    key, which match nothing, are then not dealt at all.
+    """
+    spark = left.sparkSession
+    n_left, n_right = left.count(), right.count()
+    if n_left + n_right <= rows_per_task * spark.sparkContext.defaultParallelism:
+        return _left_join_by_parts(left, right, keys)
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(n_left + n_right) // rows_per_task))
+    sides = [(left, [lk for lk, _ in keys], n_left), (right, [rk for _, rk in keys], n_right)]
+    hashes = [frequent_hashes(df, cols, rows_per_task / n) if n > rows_per_task else [] for df, cols, n in sides]
+    if not any(hashes):
+        return _left_join_dealt(left, right, keys, width)
+    if any(left.schema[lk].dataType != right.schema[rk].dataType for lk, rk in keys):
+        return _left_join_by_parts(left, right, keys)  # equal after a cast only: a key is no single value then
+    names = [f"__hk{i}" for i in range(len(keys))]
+    hot = reduce(DataFrame.unionByName, [
+        df.filter(F.xxhash64(*[df[c] for c in cols]).isin(found)).select(*[df[c].alias(k) for c, k in zip(cols, names, strict=True)])
+        for (df, cols, _), found in zip(sides, hashes, strict=True) if found
+    ]).distinct()
+
+    def apart(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+        return df.join(F.broadcast(hot), _equal(df, hot, list(zip(cols, names, strict=True))), how)
+
+    (_, lks, _), (_, rks, _) = sides
+    has_key = reduce(Column.__and__, [left[lk].isNotNull() for lk in lks])
+    return (
+        _left_join_dealt(apart(left.filter(has_key), lks, "left_anti"), apart(right, rks, "left_anti"), keys, width)
+        .unionByName(_left_join_by_parts(apart(left, lks, "left_semi"), apart(right, rks, "left_semi"), keys))
+        .unionByName(_without_match(left.filter(~has_key), right))
+    )
+
+
+def _equal(a: DataFrame, b: DataFrame, keys: Sequence[tuple[str, str]]) -> Column:
+    return reduce(Column.__and__, [a[x] == b[y] for x, y in keys])
+
+
+def _without_match(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left rows with NULL in the columns of ``right``."""
+    return left.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
+
+
+def _left_join_dealt(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], width: int) -> DataFrame:
+    """The plain left join over ``width`` partitions, which adaptive execution does not merge."""
+    a = left.repartition(width, *[left[lk] for lk, _ in keys])
+    b = right.repartition(width, *[right[rk] for _, rk in keys])
+    return a.join(b, _equal(a, b, keys), "left")
+
+
+def _left_join_by_parts(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
+    """The left join as (inner join) UNION ALL (unmatched left rows).
 
     Adaptive execution can split a hot key of either side of an inner join,
     but in an outer join only the preserved side.  The unmatched rows come
     from an anti join against the *distinct* right keys, which are reduced on
     the map side first, so a hot right key never lands whole in one task.
-    ``keys`` pairs (left column, right column); output columns are the left
-    columns followed by the right columns, as in the plain left join.
     """
-    cond = None
-    for lk, rk in keys:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    matched = left.join(right, cond, "inner")
+    matched = left.join(right, _equal(left, right, keys), "inner")
     right_keys = right.select(*[F.col(rk).alias(f"__rk{i}") for i, (_, rk) in enumerate(keys)]).distinct()
-    anti_cond = None
-    for i, (lk, _) in enumerate(keys):
-        c = left[lk] == right_keys[f"__rk{i}"]
-        anti_cond = c if anti_cond is None else anti_cond & c
-    unmatched = left.join(right_keys, anti_cond, "left_anti")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(unmatched.select(*left.columns, *nulls))
+    unmatched = left.join(right_keys, _equal(left, right_keys, [(lk, f"__rk{i}") for i, (lk, _) in enumerate(keys)]), "left_anti")
+    return matched.unionByName(_without_match(unmatched, right))

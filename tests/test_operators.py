@@ -297,6 +297,51 @@ def test_hot_key_outer_join_is_split_by_adaptive_execution(spark):
                 spark.conf.set(k, v)
 
 
+def _joined_rows_by_task(spark, df):
+    """Rows of each task that writes ``df``."""
+    path = scratch_path(spark, "joined")
+    df.write.parquet(path)
+    return [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+
+
+def test_skew_safe_left_join_has_small_tasks(spark):
+    # sorted keys compress so well that adaptive execution puts most of them in a few tasks
+    left = spark.range(0, 60000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    right = spark.range(0, 90000).select((F.col("id") * 2 % 80000).alias("rk"), F.col("id").alias("b"))
+    safe = left_join_skew_safe(left, right, [("k", "rk")], rows_per_task=2000)
+    plain = left.join(right, left["k"] == right["rk"], "left")
+    assert safe.columns == plain.columns
+    assert sorted(map(tuple, safe.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    tasks = _joined_rows_by_task(spark, safe)
+    assert len(tasks) >= 70 and max(tasks) < 3 * 2000
+    assert len(_joined_rows_by_task(spark, plain)) <= 8
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right", "both", "null"])
+def test_skew_safe_left_join_takes_hot_keys_apart(spark, hot_side):
+    def rows(n, every, hot, names):
+        key = F.when(F.col("id") % every == 0, hot).otherwise(F.col("id") * 2)
+        return spark.range(0, n).select(key.alias(names[0]), (F.col("id") % 5).cast("int").alias(names[1]), F.col("id").alias(names[2]))
+
+    null = F.lit(None).cast("long")
+    left = rows(30000, 2 if hot_side in ("left", "null") else 1000, null if hot_side == "null" else F.lit(7), ("k", "c", "a"))
+    right = rows(40000, 3 if hot_side == "right" else 20000 if hot_side == "left" else 1500, F.lit(7), ("rk", "rc", "b"))
+    if hot_side == "both":  # several keys, of which one is hot on each side and one has no match
+        left = left.unionByName(spark.range(0, 3000).select(F.lit(9).cast("long").alias("k"), F.lit(0).alias("c"), F.col("id").alias("a")))
+        right = right.unionByName(spark.range(0, 3000).select(F.lit(11).cast("long").alias("rk"), F.lit(0).alias("rc"), F.col("id").alias("b")))
+    for keys in ([("k", "rk")], [("k", "rk"), ("c", "rc")]):
+        plain = left.join(right, [left[x] == right[y] for x, y in keys], "left")
+        safe = left_join_skew_safe(left, right, keys, rows_per_task=1000)
+        assert safe.columns == plain.columns
+        assert safe.exceptAll(plain).isEmpty() and plain.exceptAll(safe).isEmpty()
+    assert "LeftSemi" in _plan(safe)
+    # keys that are equal after a cast only
+    text = right.withColumn("rk", F.concat(F.lit("0"), F.col("rk").cast("string")))
+    plain = left.join(text, left["k"] == text["rk"], "left")
+    safe = left_join_skew_safe(left, text, [("k", "rk")], rows_per_task=1000)
+    assert safe.exceptAll(plain).isEmpty() and plain.exceptAll(safe).isEmpty()
+
+
 def test_range_partitioning_spreads_hot_leading_value(spark):
     # a third of the rows share the leading ordering value; the full (unique)
     # ordering still cuts them into several ranges of similar size
