@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stellate.operators.lookup import bounded_broadcast
 from stellate.operators.profile import frequent_hashes
+from stellate.session import cut_lineage
 
 # Rows of both sides that one task joins, on average.
 ROWS_PER_TASK = 500_000
@@ -26,8 +28,8 @@ def left_join_skew_safe(
     bytes, of which sorted keys take next to none, so more rows are dealt by
     key over a width that follows their number instead.  Keys with over
     ``rows_per_task`` rows of a side (a sketch of each side finds them) are joined
-    apart from the others by ``_left_join_by_parts``, and left rows with a NULL
-    key, which match nothing, are then not dealt at all.
+    apart (``_left_join_hot``), and rows with a NULL key, which match nothing,
+    are then not dealt at all.
     """
     spark = left.sparkSession
     n_left, n_right = left.count(), right.count()
@@ -41,23 +43,53 @@ def left_join_skew_safe(
     if any(left.schema[lk].dataType != right.schema[rk].dataType for lk, rk in keys):
         return _left_join_by_parts(left, right, keys)  # equal after a cast only: a key is no single value then
     names = [f"__hk{i}" for i in range(len(keys))]
-    hot = reduce(DataFrame.unionByName, [
-        df.filter(F.xxhash64(*[df[c] for c in cols]).isin(found)).select(*[df[c].alias(k) for c, k in zip(cols, names, strict=True)])
-        for (df, cols, _), found in zip(sides, hashes, strict=True) if found
-    ]).distinct()
-
-    def apart(df: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
-        return df.join(F.broadcast(hot), _equal(df, hot, list(zip(cols, names, strict=True))), how)
-
     (_, lks, _), (_, rks, _) = sides
-    has_key = reduce(Column.__and__, [left[lk].isNotNull() for lk in lks])
+    hot_right = _key_values(right, rks, hashes[1], names)
+    hot_left = _key_values(left, lks, hashes[0], names)
+    hot_left = hot_left.join(F.broadcast(hot_right), names, "left_anti")  # hot on the left only
+    hot = hot_right.unionByName(hot_left)
+    has_key = _all_set(left, lks)
     return (
-        _left_join_dealt(apart(left.filter(has_key), lks, "left_anti"), apart(right, rks, "left_anti"), keys, width)
-        .unionByName(_left_join_by_parts(apart(left, lks, "left_semi"), apart(right, rks, "left_semi"), keys))
+        _left_join_dealt(
+            _of_keys(left.filter(has_key), lks, hot, "left_anti"), _of_keys(right.filter(_all_set(right, rks)), rks, hot, "left_anti"), keys, width
+        )
+        .unionByName(_left_join_hot(left, right, keys, hot_left, hot_right))
         .unionByName(_without_match(left.filter(~has_key), right))
     )
 
 
+def _all_set(df: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [df[c].isNotNull() for c in cols])
+
+
+def _key_values(df: DataFrame, cols: Sequence[str], hashes: Sequence[int], names: Sequence[str]) -> DataFrame:
+    """The distinct key values of these hashes (few: a hash seldom has two), as columns ``names``, kept in the shared folder."""
+    found = df.filter(F.xxhash64(*[df[c] for c in cols]).isin(list(hashes)) & _all_set(df, cols))
+    return cut_lineage(found.select(*[df[c].alias(k) for c, k in zip(cols, names, strict=True)]).distinct())
+
+
+def _of_keys(df: DataFrame, cols: Sequence[str], keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows with one of the few ``keys`` (or none of them: ``left_anti``)."""
+    return df.join(F.broadcast(keys), _equal(df, keys, list(zip(cols, keys.columns, strict=True))), how)
+
+
+def _left_join_hot(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], hot_left: DataFrame, hot_right: DataFrame) -> DataFrame:
+    """The left join of the rows with hot keys (hot on the left only, and on the right).
+
+    The rows of the other side are replicated to the many where they are,
+    within the bounds of a broadcast; beyond, adaptive execution splits the
+    inner join.  Which hot keys have a right row is a list no longer than the hot keys.
+    """
+    lks, rks = [lk for lk, _ in keys], [rk for _, rk in keys]
+    few, many = bounded_broadcast(_of_keys(left, lks, hot_right)), _of_keys(right, rks, hot_right)
+    out = few.join(many, _equal(few, many, keys), "inner")
+    many, few = _of_keys(left, lks, hot_left), bounded_broadcast(_of_keys(right, rks, hot_left))
+    out = out.unionByName(many.join(few, _equal(many, few, keys), "inner"))
+    hot = hot_right.unionByName(hot_left)
+    matched = _of_keys(right, rks, hot).select(*[right[rk].alias(k) for rk, k in zip(rks, hot.columns, strict=True)]).distinct()
+    return out.unionByName(_without_match(_of_keys(_of_keys(left, lks, hot), lks, matched, "left_anti"), right))
+
+
 def _equal(a: DataFrame, b: DataFrame, keys: Sequence[tuple[str, str]]) -> Column:
     return reduce(Column.__and__, [a[x] == b[y] for x, y in keys])
 
